@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodeplane.session import checkpoint_dir
 
@@ -45,3 +47,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def strings(column: pa.Array) -> list[str]:
     """A string column as Python strings; null is the empty text."""
     return [x or "" for x in column.to_pylist()]
+
+
+def shield(df: DataFrame, *keep: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with all columns but `keep` under names that no operator uses, and what gives a result df's columns back."""
+    inner = {c: c if c in keep else f"_in{i}" for i, c in enumerate(df.columns)}
+    return (
+        df.select(*[F.col(f"`{c}`").alias(x) for c, x in inner.items()]),
+        lambda out: out.select(*[F.col(x).alias(c) for c, x in inner.items()]),
+    )

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodeplane.llm.decontam import OP8_SQL, op8_benchmark_decontamination
+from lodeplane.llm.langid import op9_kneser_ney_language_id
 from lodeplane.llm.packing import op4_min_bin_slack_packing
 from lodeplane.llm.sharding import op6_hypergeometric_sharding
 
@@ -14,7 +16,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op4_min_bin_slack_packing,
         op6_hypergeometric_sharding,
+        op8_benchmark_decontamination,
+        op9_kneser_ney_language_id,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_benchmark_decontamination": OP8_SQL}
