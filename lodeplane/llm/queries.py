@@ -9,15 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from lodeplane.llm.decontam import OP8_SQL, op8_benchmark_decontamination
 from lodeplane.llm.langid import op9_kneser_ney_language_id
 from lodeplane.llm.packing import op4_min_bin_slack_packing
+from lodeplane.llm.pii import op10_disclosure_sanitisation
 from lodeplane.llm.sharding import op6_hypergeometric_sharding
+from lodeplane.llm.urls import op2_url_ngram_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_url_ngram_filter,
         op4_min_bin_slack_packing,
         op6_hypergeometric_sharding,
         op8_benchmark_decontamination,
         op9_kneser_ney_language_id,
+        op10_disclosure_sanitisation,
     )
 }
 

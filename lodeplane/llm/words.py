@@ -53,6 +53,7 @@ class Words:
     end: np.ndarray
     key: np.ndarray
     first: np.ndarray
+    offsets: np.ndarray  # bytes where the rows begin
 
     @property
     def row(self) -> np.ndarray:
@@ -72,18 +73,22 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> Words:
     inside, n = low != 0, len(raw)
     if not n:
         z = np.zeros(0, np.int64)
-        return Words(low, z, z, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
+        return Words(low, z, z, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), offsets)
     edges = offsets[(offsets > 0) & (offsets < n)]
     before, after = np.empty(n, bool), np.empty(n, bool)
     before[0] = after[-1] = False
     before[1:], after[:-1] = inside[:-1], inside[1:]
     before[edges] = after[edges - 1] = False
     start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    return Words(low, start, end, hashes_of(low, start, end), np.searchsorted(start, offsets), offsets)
+
+
+def hashes_of(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans: differences of the sums of a polynomial, brought to a common power."""
     with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_VALUE[low] * powers(_BASE, n), out=sums[1:])
-        key = mixed((sums[end] - sums[start]) * powers(_INVERSE, n)[start] + (end - start).astype(np.uint64))
-    return Words(low, start, end, key, np.searchsorted(start, offsets))
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_VALUE[raw] * powers(_BASE, len(raw)), out=sums[1:])
+        return mixed((sums[end] - sums[start]) * powers(_INVERSE, len(raw))[start] + (end - start).astype(np.uint64))
 
 
 def shingles(key: np.ndarray, n: int) -> np.ndarray:
