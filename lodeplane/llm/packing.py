@@ -10,9 +10,9 @@ partition isn't a whole window; it is dealt out in sequences of powers of two, w
 
 from __future__ import annotations
 
-from array import array
+from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,18 +20,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import small_batches, strings, table
+from lodeplane.llm.common import small_batches, table
+from lodeplane.llm.wordtokens import word_tokenizer
 
 CAPACITY = 4096
 #: Tokens that a task holds before it packs them.
 POOL_TOKENS = 4_000_000
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
 
 Piece = tuple[int, int, int]  # document, first token, tokens
 
 
-def best_fill(lengths: list[int], counts: dict[int, int], target: int) -> tuple[int, dict[int, int]]:
+def best_fill(lengths: Iterable[int], counts: dict[int, int], target: int) -> tuple[int, dict[int, int]]:
     """The largest sum of at most `target` that items of these lengths (longest first) and counts reach, and how many of each make it."""
     reach, goal, limit, steps = 1, 1 << target, (1 << (target + 1)) - 1, []
     for n in lengths:
@@ -58,34 +57,33 @@ def pack_items(items: list[Piece], capacity: int) -> tuple[list[list[Piece]], li
     held: dict[int, list[Piece]] = defaultdict(list)
     for item in reversed(items):
         held[item[2]].append(item)
-    counts, windows, total = {n: len(x) for n, x in held.items()}, [], sum(x[2] for x in items)
-    lengths = sorted(counts, reverse=True)
+    counts, windows, total = defaultdict(int, {n: len(x) for n, x in held.items()}), [], sum(x[2] for x in items)
+    lengths = sorted(counts)
 
     def take(n: int) -> Piece:
         counts[n] -= 1
+        if not counts[n]:
+            del lengths[bisect_left(lengths, n)]
         return held[n].pop()
 
     while total >= capacity:
-        top = lengths[0]
+        top = lengths[-1]
         counts[top] -= 1
-        filled, used = best_fill(lengths, counts, capacity - top)
+        filled, used = best_fill(reversed(lengths), counts, capacity - top)
         counts[top] += 1
         used[top] = used.get(top, 0) + 1
         slack = capacity - top - filled
-        for _ in range(min(counts[n] // m for n, m in used.items()) if not slack else 1):
-            windows.append([take(n) for n, m in used.items() for _ in range(m)])
+        times = 1 if slack else min(counts[n] // m for n, m in used.items())
+        windows += [[take(n) for n, m in used.items() for _ in range(m)] for _ in range(times)]
         if slack:
-            lengths = [n for n in lengths if counts[n]]
-            doc, start, n = take(lengths[0])
+            doc, start, n = take(lengths[-1])
             windows[-1].append((doc, start, slack))
+            if not counts[n - slack]:
+                insort(lengths, n - slack)
+            counts[n - slack] += 1
             held[n - slack].append((doc, start + slack, n - slack))
-            counts[n - slack] = counts.get(n - slack, 0) + 1
-            total -= capacity
-            lengths = sorted((n for n in counts if counts[n]), reverse=True)
-        else:
-            total = sum(n * c for n, c in counts.items())
-            lengths = [n for n in lengths if counts[n]]
-    return windows, [x for n in lengths for x in reversed(held[n])]
+        total -= capacity * times
+    return windows, [x for n in reversed(lengths) for x in reversed(held[n])]
 
 
 def in_powers(items: list[Piece]) -> list[list[Piece]]:
@@ -104,33 +102,6 @@ def in_powers(items: list[Piece]) -> list[list[Piece]]:
     return out
 
 
-class WordTokenizer:
-    """Ids of a tokenizer that drops white space and never merges across it, with a memory of words already met.
-
-    A text with separators on which Python and the tokenizer could disagree goes to the tokenizer whole.
-    """
-
-    def __init__(self, path: str, end_id: int) -> None:
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.code = "H" if max(self.tok.get_vocab_size(), end_id) < 65_536 else "I"
-        self.words: dict[str, bytes] = {}
-        self.end = array(self.code, [end_id]).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        odd = [any(c in x for c in "\x1c\x1d\x1e\x1f") for x in texts]
-        split = [[x] if o else x.split() for x, o in zip(texts, odd, strict=True)]
-        new = list(set().union(*split) - self.words.keys())
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words, new = {}, list(set().union(*split))
-        for word, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.words[word] = array(self.code, e.ids).tobytes()
-        get = self.words.__getitem__
-        return [b"".join(map(get, x)) + self.end for x in split]
-
-
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPACITY, pool_tokens: int = POOL_TOKENS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of documents in sequences of at most `capacity` tokens.
 
@@ -138,13 +109,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPA
     offset. A null or empty text is the end token alone; repeated rows and null ids are packed like any others; an
     empty table gives no rows. sequence_id holds the partition's number above bit 33 and counts within it below.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 512)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, task = WordTokenizer(tokenizer_path, end_id), TaskContext.get().partitionId()
+        tok, task = word_tokenizer(tokenizer_path, end_id), TaskContext.get().partitionId()
         ids: list[int | None] = []
         tokens: list[np.ndarray] = []
         items: list[Piece] = []
@@ -177,8 +148,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPA
                 items, whole, size = [(place[d], s, n) for d, s, n in left], [], sum(x[2] for x in left)
 
         for batch in batches:
-            for doc_id, raw in zip(batch.column(0).to_pylist(), tok.encode(strings(batch.column(1))), strict=True):
-                x, doc = np.frombuffer(raw, tok.code), len(ids)
+            for doc_id, x in zip(batch.column(0).to_pylist(), tok.encode(batch.column(1)), strict=True):
+                doc = len(ids)
                 ids.append(doc_id)
                 tokens.append(x)
                 cut = len(x) - len(x) % capacity
