@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodeplane.llm.decontam import OP8_SQL, op8_benchmark_decontamination
+from lodeplane.llm.fingerprint import op7_closed_syncmer_fingerprints
 from lodeplane.llm.langid import op9_kneser_ney_language_id
 from lodeplane.llm.packing import op4_min_bin_slack_packing
 from lodeplane.llm.pii import op10_disclosure_sanitisation
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_url_ngram_filter,
         op4_min_bin_slack_packing,
         op6_hypergeometric_sharding,
+        op7_closed_syncmer_fingerprints,
         op8_benchmark_decontamination,
         op9_kneser_ney_language_id,
         op10_disclosure_sanitisation,
