@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodeplane.llm.decontam import OP8_SQL, op8_benchmark_decontamination
 from lodeplane.llm.fingerprint import op7_closed_syncmer_fingerprints
+from lodeplane.llm.html import op1_line_block_html
 from lodeplane.llm.langid import op9_kneser_ney_language_id
 from lodeplane.llm.packing import op4_min_bin_slack_packing
 from lodeplane.llm.pii import op10_disclosure_sanitisation
@@ -17,6 +18,7 @@ from lodeplane.llm.urls import op2_url_ngram_filter
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_line_block_html,
         op2_url_ngram_filter,
         op4_min_bin_slack_packing,
         op6_hypergeometric_sharding,
