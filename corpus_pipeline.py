@@ -1,8 +1,61 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input."""
 
-STAGES: list = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodeplane.llm.common import stored, table
+from lodeplane.llm.decontam import clean_of_benchmark
+from lodeplane.llm.langid import in_known_language
+from lodeplane.llm.ngram_join import one_of_each
+from lodeplane.llm.packing import pack, tokenizer_file
+from lodeplane.llm.pii import without_personal_data
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the models know; what they reject goes."""
+    return in_known_language(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of the benchmark."""
+    return clean_of_benchmark(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data and what discloses it taken out of their texts."""
+    return without_personal_data(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in sequences of at most 4096 tokens."""
+    pieces = pack(docs.select("doc_id", "text"), tokenizer_file(), end_id=2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [
+    ("language_id", language),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("pii", personal_data),
+    ("packing", packing),
+]
+
+#: Language models, MinHash groups and packing aren't expressible in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = stored(docs, name)
+    return docs

@@ -10,6 +10,7 @@ from lodeplane.llm.decontam import OP8_SQL, op8_benchmark_decontamination
 from lodeplane.llm.fingerprint import op7_closed_syncmer_fingerprints
 from lodeplane.llm.html import op1_line_block_html
 from lodeplane.llm.langid import op9_kneser_ney_language_id
+from lodeplane.llm.licenses import op5_patience_license_scan
 from lodeplane.llm.ngram_join import op3_minhash_ngram_join
 from lodeplane.llm.packing import op4_min_bin_slack_packing
 from lodeplane.llm.pii import op10_disclosure_sanitisation
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_url_ngram_filter,
         op3_minhash_ngram_join,
         op4_min_bin_slack_packing,
+        op5_patience_license_scan,
         op6_hypergeometric_sharding,
         op7_closed_syncmer_fingerprints,
         op8_benchmark_decontamination,
