@@ -160,7 +160,7 @@ def scan_licenses(docs: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES)
 def op5_patience_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document."""
     found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    spans = F.array_join(F.transform("licenses", lambda x: F.concat_ws(":", x.name, x.start, x.end)), ",")
+    spans = F.array_join(F.transform("licenses", lambda x: F.concat_ws(":", x["name"], x["start"], x["end"])), ",")
     return found.select(
         "doc_id",
         F.size("licenses").cast("long").alias("n_found"),
