@@ -25,6 +25,8 @@ from lodeplane.llm.words import Filter, in_sorted, words
 CANDIDATE = 0.7
 #: Coverage that counts; templates of fewer than SHORT words must be covered whole.
 COVERAGE, SHORT = 0.85, 12
+#: Share of the words from the first match to the last that must match.
+DENSITY = 0.8
 
 
 def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
@@ -114,7 +116,7 @@ class Templates:
         held[row, kind] = 1
         enough = (held @ self.member >= np.ceil(CANDIDATE * self.distinct)) & (self.distinct > 0)
         cuts = np.searchsorted(row, np.arange(len(column) + 1))
-        out: list[list[tuple[int, int, str, float]]] = [[] for _ in range(len(column))]
+        out: list[list[tuple[int, int, str, float, int]]] = [[] for _ in range(len(column))]
         for r, t in np.argwhere(enough).tolist():
             mine = self.member[kind[cuts[r] : cuts[r + 1]], t] > 0
             own, length = place[cuts[r] : cuts[r + 1]][mine].tolist(), len(self.keys[t])
@@ -122,18 +124,20 @@ class Templates:
                 a, b = max(int(w.first[r]), a - length // 4), min(int(w.first[r + 1]), b + length // 4)
                 matched = patience(w.key[a:b].tolist(), self.keys[t])
                 share = len(matched) / length
+                if matched and len(matched) < DENSITY * (matched[-1][0] + 1 - matched[0][0]):
+                    continue
                 if share >= (COVERAGE if length >= SHORT else 1.0):
                     first = int(w.first[r])
-                    out[r].append((a + matched[0][0] - first, a + matched[-1][0] + 1 - first, self.names[t], share))
+                    out[r].append((a + matched[0][0] - first, a + matched[-1][0] + 1 - first, self.names[t], share, len(matched)))
         return [disjoint(x) for x in out]
 
 
-def disjoint(found: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str, float]]:
+def disjoint(found: list[tuple[int, int, str, float, int]]) -> list[tuple[int, int, str, float]]:
     """Of overlapping matches the one with the most matched words stays, then the shortest, then the first by name."""
     kept: list[tuple[int, int, str, float]] = []
-    for x in sorted(found, key=lambda x: (-round((x[1] - x[0]) * x[3], 6), x[1] - x[0], x[2], x[0])):
+    for x in sorted(found, key=lambda x: (-x[4], x[1] - x[0], x[2], x[0])):
         if all(x[1] <= y[0] or y[1] <= x[0] for y in kept):
-            kept.append(x)
+            kept.append(x[:4])
     return sorted(kept)
 
 
