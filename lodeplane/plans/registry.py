@@ -1,11 +1,9 @@
-"""Every query of the relational engine with its oracle."""
+"""Every query of the relational engine with its oracle, gathered from the modules of this package."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from lodeplane.plans import entities, history_and_series, relational, scalar, spatial, sources_and_quality
+from lodeplane.plans.base import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-FLAGSHIP = ""
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+FLAGSHIP = "latest_event_per_user"
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "entities", "history_and_series", "relational", "scalar", "sources_and_quality", "spatial"]
