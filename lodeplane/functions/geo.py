@@ -76,3 +76,42 @@ def _sides(ring: Column) -> Column:
 def area(ring: Column) -> Column:
     """Of a simple ring, by the shoelace formula."""
     return F.abs(F.aggregate(_sides(ring), F.lit(0.0), lambda s, e: s + (e["0"].x * e["1"].y - e["1"].x * e["0"].y))) / 2
+
+
+def repaired(ring: Column) -> Column:
+    """A ring without repeated neighbours and without its first corner at its end."""
+    open_ring = F.when((F.size(ring) > 1) & (F.element_at(ring, 1) == F.element_at(ring, -1)), F.slice(ring, F.lit(1), F.size(ring) - 1)).otherwise(ring)
+    return F.filter(open_ring, lambda p, i: (i == 0) | (p != F.get(open_ring, i - 1)))
+
+
+def centroid(ring: Column) -> Column:
+    """Of a simple ring's area; null for a ring without area."""
+    cross = lambda e: e["0"].x * e["1"].y - e["1"].x * e["0"].y
+    total = lambda f: F.aggregate(_sides(ring), F.lit(0.0), f)
+    twice = total(lambda s, e: s + cross(e))
+    return F.when(
+        twice != 0,
+        F.struct(
+            (total(lambda s, e: s + (e["0"].x + e["1"].x) * cross(e)) / (3 * twice)).alias("x"),
+            (total(lambda s, e: s + (e["0"].y + e["1"].y) * cross(e)) / (3 * twice)).alias("y"),
+        ),
+    )
+
+
+def clipped(subject: Column, window: Column) -> Column:
+    """The part of a ring inside a convex counter-clockwise ring, side by side of the latter; empty if they don't meet."""
+
+    def cut(ring: Column, e: Column) -> Column:
+        side = lambda p: (e["1"].x - e["0"].x) * (p.y - e["0"].y) - (e["1"].y - e["0"].y) * (p.x - e["0"].x)
+
+        def step(s: Column) -> Column:
+            a, b = s["0"], s["1"]
+            t = side(a) / F.nullif(side(a) - side(b), F.lit(0.0))
+            meet = F.struct((a.x + t * (b.x - a.x)).alias("x"), (a.y + t * (b.y - a.y)).alias("y"))
+            crossing = (side(a) >= 0) != (side(b) >= 0)
+            none = F.array().cast("array<struct<x: double, y: double>>")
+            return F.concat(F.when(crossing, F.array(meet)).otherwise(none), F.when(side(b) >= 0, F.array(F.struct(b.x.alias("x"), b.y.alias("y")))).otherwise(none))
+
+        return F.flatten(F.transform(_sides(ring), step))
+
+    return F.aggregate(_sides(window), subject.cast("array<struct<x: double, y: double>>"), cut)

@@ -83,3 +83,20 @@ def parsed_period(c: Column) -> Column:
 def row_hash(*columns: Column) -> Column:
     """sha256 of the values as text, each behind its length; null differs from any text."""
     return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(c.cast("string")), F.lit(":"), c.cast("string")), F.lit("-")) for c in columns]).cast("binary"), 256)
+
+
+def padded_trigrams(c: Column) -> Column:
+    """Distinct runs of three characters of each folded word behind two blanks and before one."""
+    per_word = F.transform(tokens(folded(c)), lambda w: F.concat(F.lit("  "), w, F.lit(" ")))
+    return F.array_distinct(F.flatten(F.transform(per_word, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.substring(w, i, F.lit(3))))))
+
+
+def trigram_similarity(a: Column, b: Column) -> Column:
+    """Share of padded trigrams in common; 0 where neither text has one."""
+    return F.coalesce(jaccard(padded_trigrams(a), padded_trigrams(b)), F.lit(0.0))
+
+
+def sounds_alike(a: Column, b: Column) -> Column:
+    """Whether the first words of two names have the same phonetic code (soundex)."""
+    first = lambda c: F.soundex(F.get(F.split(folded(c), " "), F.lit(0)))
+    return first(a) == first(b)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lodeplane.plans import entities, history_and_series, relational, scalar, spatial, sources_and_quality
+from lodeplane.plans import composites, entities, history_and_series, relational, scalar, spatial, sources_and_quality
 from lodeplane.plans.base import ORACLES, QUERIES
 
 FLAGSHIP = "latest_event_per_user"
-__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "entities", "history_and_series", "relational", "scalar", "sources_and_quality", "spatial"]
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES", "composites", "entities", "history_and_series", "relational", "scalar", "sources_and_quality", "spatial"]
