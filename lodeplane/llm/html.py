@@ -172,15 +172,15 @@ def extract(pages: DataFrame, html_col: str = "html", window: int = WINDOW, surg
     """pages without the html column, plus text (empty for null, empty or textless pages). Each row by itself; a column text of pages is replaced."""
     small_batches(pages.sparkSession)
     kept = [c for c in pages.columns if c not in (html_col, "text")]
-    source = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{html_col}`").alias("_html"))
+    source = pages.select(*[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(kept)], F.col(f"`{html_col}`").alias("_html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([main_text(x, window, surge) for x in strings(batch.column(len(kept)))], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*kept, "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*batch.schema.names[:-1], "text"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in source.schema if f.name != "_html")
-    return source.mapInArrow(run, f"{fields}text string")
+    return source.mapInArrow(run, f"{fields}text string").toDF(*kept, "text")
 
 
 def op1_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import small_batches, stored, table
+from lodeplane.llm.common import shield, small_batches, stored, table
 from lodeplane.llm.words import mixed, shingles, words
 from lodeplane.operators.graph import connected_components
 
@@ -229,6 +229,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
 
     Of repeated rows of that one, one stays; texts without words all stay. docs' columns are kept.
     """
+    docs, restore = shield(docs, "doc_id", "text")
     rows, classes = near_duplicates(docs.select("doc_id", "text"), **options)
     first = classes.groupBy("group").agg(F.min(F.struct("first_id", "first_key")).alias("x")).select(F.col("x.first_id").alias("_id"), F.col("x.first_key").alias("_key"))
     wordless = rows.filter("n_grams = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
@@ -238,10 +239,10 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     repeated = stored(repeated, "repeated")
     kept = keyed.join(stored(first.union(wordless), "kept"), same, "left_semi")
     if repeated.isEmpty():
-        return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+        return restore(kept)
     single = kept.join(repeated, same, "left_anti")
     once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_text_key"])
-    return single.union(once).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return restore(single.union(once))
 
 
 def op3_minhash_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
