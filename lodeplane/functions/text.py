@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Accented letters and their plain forms, place by place.
@@ -100,3 +100,18 @@ def sounds_alike(a: Column, b: Column) -> Column:
     """Whether the first words of two names have the same phonetic code (soundex)."""
     first = lambda c: F.soundex(F.get(F.split(folded(c), " "), F.lit(0)))
     return first(a) == first(b)
+
+
+def snake_name(name: str) -> str:
+    """A column name in lower case with underscores before inner capitals and for anything else."""
+    import re
+
+    return re.sub(r"[^a-z0-9]+", "_", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower()).strip("_")
+
+
+def snake_columns(df: DataFrame) -> DataFrame:
+    """df with its columns' names in snake case; raises if two become one."""
+    names = [snake_name(c) for c in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError("names clash")
+    return df.toDF(*names)

@@ -81,3 +81,17 @@ def without_overlaps(primary: DataFrame, secondary: DataFrame, block: str, size:
     own = (F.col("s_x1") - F.col("s_x0")) * (F.col("s_y1") - F.col("s_y0"))
     covered = met.filter(side("x") * side("y") >= share * own).select(F.col("s_id").alias("id"))
     return primary.union(secondary.join(covered, "id", "left_anti").select(primary.columns))
+
+
+def slopes(grid: DataFrame, side: float) -> DataFrame:
+    """grid (tile, row, col, z) of elevations plus slope in degrees by Horn's eight neighbours; null at a tile's rim or beside a gap.
+
+    Each cell is sent to its neighbours' places with its two weights and summed there: one aggregation, no self-join.
+    """
+    weights = [(i, j, -j * (2 if i == 0 else 1), -i * (2 if j == 0 else 1)) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j]
+    sent = F.array(*[F.struct((F.col("row") + i).alias("row"), (F.col("col") + j).alias("col"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, j, a, b in weights])
+    z = F.col("z").cast("double")
+    around = grid.filter("z IS NOT NULL").select("tile", z.alias("z"), F.inline(sent)).groupBy("tile", "row", "col")
+    sums = around.agg(F.count("*").alias("n"), F.sum(F.col("a") * F.col("z")).alias("gx"), F.sum(F.col("b") * F.col("z")).alias("gy"))
+    steep = F.degrees(F.atan(F.sqrt(F.col("gx") * F.col("gx") + F.col("gy") * F.col("gy")) / (8 * side)))
+    return grid.join(sums, ["tile", "row", "col"], "left").withColumn("slope", F.when((F.col("n") == 8) & F.col("z").isNotNull(), steep)).drop("n", "gx", "gy")

@@ -158,3 +158,44 @@ def date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", F.to_date(ts).alias("day"), F.to_date(F.date_trunc("week", ts)).alias("week"), (F.weekday(ts) + 1).cast("long").alias("weekday"), F.hour(ts).cast("long").alias("hour"), F.date_diff(F.to_date(ts), F.lit("2024-01-01").cast("date")).alias("age_days"), F.last_day(ts).alias("month_end")
     )
+
+
+_ADDRESS = "(CASE c_custkey % 3 WHEN 0 THEN c_nationkey || ', Harbour Street, apt ' || c_custkey % 9 WHEN 1 THEN 'Avenida São João — Building ' || c_nationkey ELSE ' Old  ROAD ' || c_custkey END)"
+_SHORT = "trim(regexp_replace(lower(translate({a}, '" + T.ACCENTED + "', '" + T.PLAIN + "')), '[^a-z0-9]+', ' ', 'g'))"
+for _word, _abbreviation in T.STREET_WORDS:
+    _SHORT = f"regexp_replace({_SHORT}, '\\b{_word}\\b', '{_abbreviation}', 'g')"
+
+
+@query(f"SELECT c_custkey, trim(regexp_replace({_SHORT.format(a=_ADDRESS)}, '\\b(apt|fl|unit) [0-9a-z]+$', '')) AS address FROM customer")
+def normal_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses folded, shortened, and without their units."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    raw = F.when(k % 3 == 0, F.concat(n, F.lit(", Harbour Street, apt "), k % 9)).when(k % 3 == 1, F.concat(F.lit("Avenida São João — Building "), n)).otherwise(F.concat(F.lit(" Old  ROAD "), k))
+    return table(spark, sf_dir, "customer").select("c_custkey", T.normal_address(raw).alias("address"))
+
+
+@query("""
+SELECT o_orderkey, pos - 1 AS place, CAST(json_extract_string(j, '$.part') AS BIGINT) AS part, json_type(json_extract(j, '$.part')) = 'UBIGINT' AS is_number, len(json_keys(j)) = 3 AS has_note
+FROM (SELECT o_orderkey, unnest(d) AS j, generate_subscripts(d, 1) AS pos FROM (SELECT l_orderkey AS o_orderkey, list(to_json({'part': l_partkey, 'qty': l_quantity}) ORDER BY l_linenumber, l_partkey) AS d FROM lineitem WHERE l_orderkey % 5 = 0 GROUP BY 1))
+""")
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with arrays, unnested with their places, under guards of kind and of keys."""
+    lines = table(spark, sf_dir, "lineitem").filter("l_orderkey % 5 = 0").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    built = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_quantity"))), lambda x: F.struct(x.l_partkey.alias("part"), x.l_quantity.alias("qty")))
+    documents = lines.agg(F.to_json(built).alias("document"))
+    rows = documents.select("o_orderkey", F.posexplode(F.from_json("document", "array<string>")).alias("place", "j")).withColumn("v", F.parse_json("j"))
+    kind = F.schema_of_variant(F.variant_get("v", "$.part", "variant"))
+    return rows.select("o_orderkey", F.col("place").cast("long").alias("place"), F.variant_get("v", "$.part", "bigint").alias("part"), (kind == "BIGINT").alias("is_number"), (F.size(F.json_object_keys("j")) == 3).alias("has_note"))
+
+
+@query(r"""
+SELECT doc_id, CAST(len(regexp_extract_all(text, '[0-9]+')) AS BIGINT) AS n_numbers, nullif(regexp_extract(text, '([0-9]+)', 1), '') AS first_number,
+  CASE WHEN length(text) < 500 THEN 'short' WHEN length(text) < 3000 THEN 'medium' ELSE 'long' END AS bucket, regexp_matches(text, '(?i)licen[cs]e') AS licensed FROM documents
+""")
+def text_heuristics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers in texts, a bucket of length, and a flag that ignores case."""
+    text, size = F.col("text"), F.length("text")
+    bucket = F.when(size < 500, "short").when(size < 3000, "medium").otherwise("long")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.size(F.regexp_extract_all("text", F.lit("[0-9]+"), 0)).cast("long").alias("n_numbers"), F.nullif(F.regexp_extract("text", "([0-9]+)", 1), F.lit("")).alias("first_number"), bucket.alias("bucket"), text.rlike("(?i)licen[cs]e").alias("licensed")
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodeplane.functions.geo import area, mercator_sql, projected
 from lodeplane.operators.relational import newest_by
-from lodeplane.operators.spatial import density_clusters, nearest, points_in_polygons, within_distance, without_overlaps
+from lodeplane.operators.spatial import density_clusters, nearest, points_in_polygons, slopes, within_distance, without_overlaps
 from lodeplane.plans.base import query, table
 
 
@@ -118,3 +118,16 @@ def first_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lateral look-up with a limit of one, with a stated order."""
     hits = points_in_diamonds(spark, sf_dir).withColumn("order", -F.col("polygon"))
     return newest_by(hits, ["id"], "order").select("id", "polygon")
+
+
+@query("""
+WITH g AS (SELECT p_partkey // 100 AS tile, p_partkey % 100 // 10 AS r, p_partkey % 10 AS c, p_size AS z FROM part),
+n AS (SELECT a.tile, a.r, a.c, count(*) AS n, sum((a.c - b.c) * CASE WHEN a.r = b.r THEN 2 ELSE 1 END * b.z) AS gx, sum((a.r - b.r) * CASE WHEN a.c = b.c THEN 2 ELSE 1 END * b.z) AS gy
+  FROM g a JOIN g b ON a.tile = b.tile AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 AND (a.r <> b.r OR a.c <> b.c) GROUP BY 1, 2, 3)
+SELECT tile, r AS row, c AS col, CASE WHEN n = 8 THEN round(degrees(atan(sqrt(CAST(gx * gx + gy * gy AS DOUBLE)) / 16)), 6) END AS slope FROM n
+""")
+def terrain_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slopes of tiles of a raster that are kept as rows."""
+    k = F.col("p_partkey")
+    grid = table(spark, sf_dir, "part").select(F.floor(k / 100).cast("long").alias("tile"), F.floor(k % 100 / 10).cast("long").alias("row"), (k % 10).alias("col"), F.col("p_size").alias("z"))
+    return slopes(grid, 2.0).select("tile", "row", "col", F.round("slope", 6).alias("slope"))
