@@ -37,9 +37,12 @@ NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search f
 NOT_TEXT_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert alerts warning "
     "sidebar sidebars sidenav rail menu menus nav navbar navigation breadcrumb breadcrumbs topbar toolbar header masthead footer foot copyright comment comments commentlist "
-    "reply replies respond disqus discussion social share sharing related recommended recommendations newsletter subscribe subscription signup login popup popover "
+    "reply replies respond responses disqus discussion social share sharing related recommended recommendations newsletter subscribe subscription signup login popup popover "
     "modal overlay widget pagination pager skip search form".split()
 )
+#: First words of a class that say what is absent or how it's laid out.
+MODIFIERS = frozenset("no not non has have with without is".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'"<>]++|"[^"<]*"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^<>]*\Z""",
     re.DOTALL,
@@ -63,8 +66,14 @@ class Lines:
         self.inside.append(inside)
 
 
-def unwanted(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element holds no text of the article."""
+def unwanted_name(token: str, in_article: bool) -> bool:
+    """Whether a class or id marks what isn't the article: not as in `no-sidebar`, and an article's own header holds its title."""
+    parts = [x.lower() for x in _NAME_WORDS.split(token) if x]
+    return bool(parts) and parts[0] not in MODIFIERS and any(x in NOT_TEXT_NAMES and not (x == "header" and in_article) for x in parts)
+
+
+def unwanted(name: str, attributes: str, in_article: bool, by_name: bool) -> bool:
+    """Whether an element holds no text of the article. by_name: by class and id too."""
     if name in NOT_TEXT and not (name == "header" and in_article):
         return True
     if not attributes or name in ("html", "body", "article", "main"):
@@ -75,12 +84,12 @@ def unwanted(name: str, attributes: str, in_article: bool) -> bool:
             return True
         if key == "role" and value.lower() in NOT_TEXT_ROLES:
             return True
-        if key in ("class", "id") and any(x.lower() in NOT_TEXT_NAMES for x in _NAME_WORDS.split(value)):
+        if by_name and key in ("class", "id") and name not in HEADINGS and any(unwanted_name(x, in_article) for x in value.split()):
             return True
     return False
 
 
-def stripped(page: str) -> Lines:
+def stripped(page: str, by_name: bool = True) -> Lines:
     """The page's blocks as lines. An unwanted element ends at its end tag, or where an article begins."""
     lines, parts, linked = Lines(), [], 0
     at, link, article, skipping, depth = 0, 0, 0, "", 0
@@ -123,7 +132,7 @@ def stripped(page: str) -> Lines:
             say(" ")
         elif name == "a":
             link = 0 if end else 1
-        elif not end and unwanted(name, m[3] or m[6] or "", article > 0) and not (m[3] or m[6] or "").endswith("/"):
+        elif not end and unwanted(name, m[3] or m[6] or "", article > 0, by_name) and not (m[3] or m[6] or "").endswith("/"):
             close()
             skipping, depth = name, 1
         elif name in BLOCKS:
@@ -165,7 +174,9 @@ def between_surge_and_dive(lines: Lines, window: int = WINDOW, surge: int = SURG
 
 
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
-    return "\n".join(between_surge_and_dive(stripped(page), window, surge))
+    """The page's text; where classes and ids leave none at all, they aren't believed."""
+    found = between_surge_and_dive(stripped(page), window, surge) or between_surge_and_dive(stripped(page, by_name=False), window, surge)
+    return "\n".join(found)
 
 
 def extract(pages: DataFrame, html_col: str = "html", window: int = WINDOW, surge: int = SURGE) -> DataFrame:

@@ -21,6 +21,12 @@ def test_surge_and_dive_without_marks():
     assert main_text(PLAIN).split("\n") == ["Head", LONG.strip(), "Short.", LONG.strip()]
 
 
+def test_classes_are_believed_with_care():
+    assert main_text(f'<div class="content no-sidebar"><h1 class="page-header">T</h1><p>{LONG}</p></div>').split("\n") == ["T", LONG.strip()]
+    assert main_text('<article><div class="entry-header"><h1>T</h1></div><p>x</p><div class="alert box">n</div></article>') == "T\nx"
+    assert main_text(f'<div id="widget"><p>{LONG}</p></div>') == LONG.strip()
+
+
 def test_odd_pages():
     assert main_text("") == "" and main_text("<p></p><!-- x") == "" and main_text("just text &amp; more") == "just text & more"
     assert main_text("<article><p>a <b>b</b>c\n\t d<") == "a bc d<"
