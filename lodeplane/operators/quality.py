@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -60,9 +60,7 @@ def profile(df: DataFrame, columns: Sequence[str], top: int = 3) -> DataFrame:
     ).select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col("_n").alias("n_rows"), F.round(F.col(f"_null_{c}") * 100.0 / F.col("_n"), 2).alias("null_pct"), F.col(f"_distinct_{c}").alias("n_distinct")) for c in columns])))
     values = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])))
     counts = values.filter("value IS NOT NULL").groupBy("column", "value").agg(F.count("*").alias("n"))
-    # the least of n, by count and then value, without gathering all values: numbers in windows keep only the first
-    from pyspark.sql import Window
-
+    # the constant limit on ranks holds in each task before the shuffle: a column's values aren't gathered
     first = counts.withColumn("rn", F.row_number().over(Window.partitionBy("column").orderBy(F.col("n").desc(), "value"))).filter(F.col("rn") <= top)
     tops = first.groupBy("column").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "value", "n"))), lambda x: F.concat_ws("=", x["value"], x["n"])), "|").alias("top_values"))
     return stats.join(tops, "column", "left")

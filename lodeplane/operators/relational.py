@@ -17,8 +17,7 @@ SMALL_ROWS = 100_000
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first n rows of each key in the given order. Name a full order: ties are broken arbitrarily otherwise.
 
-    For n = 1 rows are reduced to one a key before the shuffle, so that a hot key isn't gathered in one task; the order must then
-    be made of orderable columns, ascending or descending as given to `order_key`.
+    The constant limit on ranks also holds in each task before the shuffle, so that a hot key's rows aren't gathered.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
@@ -90,9 +89,12 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "sk") -> DataFr
 
 
 def stratified_top(df: DataFrame, area: str, stratum: str, order: Sequence[Column], n: int, strata: int) -> DataFrame:
-    """The first n rows of each stratum of an area; where strata fall short of n * strata together, the area's next rows of any stratum."""
+    """The first n rows of each stratum of an area; where strata fall short of n * strata together, the area's next rows of any stratum.
+
+    A gap is at most n * strata rows, so that no stratum's later rows are needed; a constant limit on ranks also holds before the shuffle.
+    """
     w = Window.partitionBy(area, stratum).orderBy(*order)
-    ranked = df.withColumn("_rn", F.row_number().over(w))
+    ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n * (strata + 1))
     first = ranked.filter(F.col("_rn") <= n)
     gaps = first.groupBy(area).agg((F.lit(n * strata) - F.count("*")).alias("_gap"))
     rest = ranked.filter(F.col("_rn") > n).join(gaps, area)

@@ -21,11 +21,12 @@ def within_distance(left: DataFrame, right: DataFrame, reach: float) -> DataFram
 def density_clusters(points: DataFrame, eps: float) -> DataFrame:
     """points (id, x, y) plus cluster for a density clustering with one point as the least cluster: the least id that steps of at most eps reach.
 
-    Points that share a small cell are within eps of each other: they are tied to the cell's least point instead of in all pairs, and only cells'
-    neighbours are compared point by point.
+    Points at one place count once. Points that share a small cell are within eps of each other: they are tied to the cell's least point
+    instead of in all pairs, and only cells' neighbours are compared place by place.
     """
     side = eps / 1.4142135623730952
-    at = points.withColumns({"cx": cell(F.col("x"), side), "cy": cell(F.col("y"), side)})
+    places = points.groupBy("x", "y").agg(F.min("id").alias("id"))
+    at = places.withColumns({"cx": cell(F.col("x"), side), "cy": cell(F.col("y"), side)})
     ties = at.join(at.groupBy("cx", "cy").agg(F.min("id").alias("least")), ["cx", "cy"]).filter("id <> least").select(F.col("id").alias("u"), F.col("least").alias("v"))
     other = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if (i, j) > (0, 0)]
     ahead = F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i, j in other])
@@ -35,7 +36,8 @@ def density_clusters(points: DataFrame, eps: float) -> DataFrame:
     # one tie between two cells is enough
     steps = near.groupBy("ux", "uy", "cx", "cy").agg(F.min(F.struct("u", "v")).alias("t")).select("t.u", "t.v")
     found = connected_components(ties.union(steps)).select(F.col("node").alias("id"), "component")
-    return points.join(found, "id", "left").withColumn("cluster", F.coalesce("component", "id")).drop("component")
+    of_place = places.join(found, "id", "left").select("x", "y", F.coalesce("component", "id").alias("cluster"))
+    return points.join(of_place, ["x", "y"]).select(*points.columns, "cluster")
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
