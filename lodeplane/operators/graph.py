@@ -15,7 +15,8 @@ def _distinct_edges(u: Column, v: Column, df: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above u is tied to the least of u and its neighbours."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # a table of its own: the join then has two plain shuffles, of which a hot node's can be split at run time
+    least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return _distinct_edges(F.col("v"), F.col("m"), both.join(least, "u").filter("v > u"))
 
 
