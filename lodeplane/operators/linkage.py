@@ -8,19 +8,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeplane.operators.graph import connected_components
+from lodeplane.session import cut_lineage
 
 
 def jaccard_pairs(df: DataFrame, id_col: str, block: str, elements: str, threshold: float) -> DataFrame:
     """Rows (a, b, similarity), a < b, of the same block whose arrays (without repeats) have at least this Jaccard similarity.
 
-    Only the necessary prefix of each array is joined: of n elements, in an order that is the same for all, the first
-    n - ceil(threshold * n) + 1 must hold one that a similar array's prefix also holds. Arrays are ordered by a hash, so that prefixes
-    hold rare and common elements alike; the whole arrays are compared after.
+    Only the necessary prefix of each array is joined: of n elements, ordered from rare to frequent in their block, the first
+    n - ceil(threshold * n) + 1 must hold one that a similar array's prefix also holds. Frequent elements hardly ever stand in a
+    prefix, so that they don't pair all rows of a block; the whole arrays are compared after. Ids are taken to be unique.
     """
     base = df.select(F.col(id_col).alias("id"), F.col(block).alias("block"), F.col(elements).alias("e")).filter(F.size("e") > 0)
-    ordered = F.transform(F.array_sort(F.transform("e", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x")))), lambda x: x["h"])
-    prefix = F.slice(ordered, F.lit(1), (F.size("e") - F.ceil(F.lit(threshold) * F.size("e") - F.lit(1e-9)) + 1).cast("int"))
-    tokens = base.select("id", "block", F.explode(F.array_distinct(prefix)).alias("t"))
+    exploded = base.select("id", "block", F.explode("e").alias("t"))
+    counts = cut_lineage(exploded.groupBy("block", "t").agg(F.count("*").alias("n")))
+    ordered = F.array_sort(F.collect_list(F.struct("n", F.xxhash64("t").alias("h"), "t")))
+    ranked = exploded.join(counts, ["block", "t"]).groupBy("id", "block").agg(ordered.alias("o"))
+    n = F.size("o")
+    prefix = F.slice("o", F.lit(1), (n - F.ceil(F.lit(threshold) * n - F.lit(1e-9)) + 1).cast("int"))
+    tokens = ranked.select("id", "block", F.explode(F.transform(prefix, lambda x: x["t"])).alias("t"))
     pairs = tokens.alias("x").join(tokens.alias("y"), ["block", "t"]).filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     left, right = base.select(F.col("id").alias("a"), F.col("e").alias("ea")), base.select(F.col("id").alias("b"), F.col("e").alias("eb"))
     shared = F.size(F.array_intersect("ea", "eb"))
