@@ -43,8 +43,9 @@ NOT_TEXT_NAMES = frozenset(
 #: First words of a class that say what is absent or how it's laid out.
 MODIFIERS = frozenset("no not non has have with without is".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Comments, declarations, tags with quoted attributes (of bounded size, so that broken ones cost little), other tags, a tag cut off at the end.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'"<>]++|"[^"<]*"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^<>]*\Z""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^'"<>]++|"[^"]{0,2000}"|'[^']{0,2000}'){0,500}+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*+)>|</?[a-zA-Z][^<>]*+\Z""",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")

@@ -33,7 +33,8 @@ def test_odd_pages():
     assert main_text('<div class="ad">x<article><p>kept</p></article>') == "kept"
     assert main_text("<article><p>a</p><scr") == "a" and main_text("<article>x<script>y") == "x"
     assert len(main_text("<article>" + "<p>word " * 30_000)) == 5 * 30_000 - 1
-    main_text("<a '" * 5_000), main_text("<" * 50_000), main_text('<div class="ad">' * 5_000)
+    assert main_text('<article><p title="a<b>c">x</p>') == "x"
+    main_text("<a " * 50_000), main_text('<a "<a" ' * 5_000), main_text("<a '" * 5_000), main_text("<" * 50_000), main_text('<div class="ad">' * 5_000)
 
 
 def test_columns_nulls_and_repeats(spark):
