@@ -26,7 +26,7 @@ from lodeplane.operators.graph import connected_components
 
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9995, 160
 #: Classes in a block.
-BLOCK = 256
+BLOCK = 128
 #: Columns of the matrices that a task multiplies at once.
 COLUMNS = 4096
 
@@ -184,6 +184,8 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
 
     wanted = classes.join(place.select("class"), "class", "left_semi").select("class", F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "n_rows", "bands")
     texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).select("class", "n_rows", "bands", "text")
+    if not repeated_rows(signed).isEmpty():
+        texts = texts.dropDuplicates(["class"])  # rows that are the same in id and text too: one a task before the shuffle
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +196,6 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
     compared = whole.union(cut).join(sets, "class")
 
     def compare(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
-        members = members.drop_duplicates("class")  # a text that stands in several rows
         own, count, side = members["class"].to_numpy(), members["n_rows"].to_numpy(), members["side"].to_numpy()
         grams = [np.frombuffer(x, "<u8") for x in members["grams"]]
         bands_of = np.stack(members["bands"].to_list())
@@ -214,6 +215,11 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
     return signed.drop("bands"), out
 
 
+def repeated_rows(rows: DataFrame) -> DataFrame:
+    """Ids and texts that stand in several rows."""
+    return rows.filter("n_grams > 0").groupBy("doc_id", "text_key").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+
+
 def with_groups(docs: DataFrame, **options) -> DataFrame:
     """doc_id, class_id (the least doc_id of the group, the own one for texts without words), n_links (other rows alike, copies included), n_copies."""
     rows, classes = near_duplicates(docs, **options)
@@ -235,8 +241,7 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     wordless = rows.filter("n_grams = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
     keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    repeated = rows.filter("n_grams > 0").groupBy("doc_id", "text_key").count().filter("count > 1").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    repeated = stored(repeated, "repeated")
+    repeated = stored(repeated_rows(rows), "repeated")
     kept = keyed.join(stored(first.union(wordless), "kept"), same, "left_semi")
     if repeated.isEmpty():
         return restore(kept)
