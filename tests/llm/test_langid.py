@@ -1,5 +1,7 @@
 import collections
 import math
+import random
+import string
 
 import numpy as np
 from lodeplane.llm.langid import ORDER, discount, grams, identify, in_known_language, op9_kneser_ney_language_id, symbols, train
@@ -88,3 +90,16 @@ def test_held_out_accuracy(spark):
     held = [(got[d.doc_id].lang_pred, d.lang) for d in docs if got[d.doc_id].held_out]
     assert len(got) == len(docs) and len(held) > 200 and sum(a == b for a, b in held) / len(held) > 0.98
     assert sum(r.rejected for r in got.values()) < 0.01 * len(got)
+
+
+def test_texts_of_no_known_language_are_rejected(spark):
+    """At the tolerance of production: a language left out, and letters at random; the known languages stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("text IS NOT NULL")
+    models = train(docs.filter("lang <> 'de'").select("lang", "text"))
+    cut = docs.filter("lang = 'de' AND n_chars >= 400").selectExpr("doc_id", "substring(text, 1, 300) AS text")
+    out = identify(cut, models).collect()
+    assert len(out) > 50 and sum(r.rejected for r in out) > 0.95 * len(out)
+    draw = random.Random(3)
+    noise = spark.createDataFrame([(i, "".join(draw.choices(string.ascii_lowercase + "   ", k=30))) for i in range(100)], "doc_id long, text string")
+    assert identify(noise, models).filter("rejected").count() == 100
+    assert identify(docs.filter("lang <> 'de'"), models).filter("rejected").count() < 0.01 * docs.count()
