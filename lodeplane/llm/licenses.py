@@ -3,7 +3,10 @@
 A notice is a template. In documents that hold enough of a template's distinct words, runs of words about as long as the
 template in which enough of them meet are aligned with it: words that occur once in both are anchors, the longest increasing
 subsequence of their places is kept, and the gaps between anchors are aligned in the same way; equal words at the ends of
-a gap match too. Coverage is the share of the template's words that match.
+a gap match too. Coverage is the share of the template's words that match. What a match leaves before and behind it is searched again.
+
+Words that tell licenses apart must agree: a notice's numbers, right after the word before them, and its telling words must match,
+and no other telling word may stand in the run. Of a full text, each telling word must match once.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ CANDIDATE = 0.7
 COVERAGE, SHORT = 0.85, 12
 #: Share of the words from the first match to the last that must match.
 DENSITY = 0.8
+#: Words that tell a license from others, those that do so behind `gnu`, and the words from which a template is a full text.
+TELLING = frozenset("sharealike sa noncommercial nc noderivatives noderivs nd endorse".split())
+TELLING_GNU = frozenset("affero lesser library".split())
+FULL = 150
 
 
 def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
@@ -70,28 +77,29 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def candidate_runs(places: list[int], kinds: list[int], distinct: int, length: int) -> list[tuple[int, int]]:
-    """Runs [a, b) of words, disjoint, that hold enough of the template's distinct words; the fullest first where they overlap.
+def candidate_runs(places: list[int], kinds: list[int], distinct: int, length: int) -> list[tuple[int, int, int]]:
+    """Runs (a, tight, b) of words [a, b) that hold enough of the template's distinct words; the fullest first, then the shortest.
 
-    places: where words of the template stand in the document; kinds: which.
+    places: where words of the template stand in the document; kinds: which. [tight, b) holds the same distinct words.
     """
     need, reach = max(1, int(np.ceil(CANDIDATE * distinct))), length + length // 2 + 2
     held: Counter = Counter()
-    lo, full = 0, []
+    inner: Counter = Counter()
+    lo, tight, full = 0, 0, []
     for hi, (p, k) in enumerate(zip(places, kinds, strict=True)):
         held[k] += 1
+        inner[k] += 1
         while places[lo] <= p - reach:
             held[kinds[lo]] -= 1
             if not held[kinds[lo]]:
                 del held[kinds[lo]]
             lo += 1
+        while tight < lo or tight < hi and inner[kinds[tight]] > 1:
+            inner[kinds[tight]] -= 1
+            tight += 1
         if len(held) >= need:
-            full.append((-len(held), p - places[lo], places[lo], p + 1))
-    out: list[tuple[int, int]] = []
-    for _, _, a, b in sorted(full):
-        if all(b <= x or y <= a for x, y in out):
-            out.append((a, b))
-    return sorted(out)
+            full.append((-len(held), p - places[tight], places[lo], places[tight], p + 1))
+    return [(a, t, b) for _, _, a, t, b in sorted(full)]
 
 
 class Templates:
@@ -104,6 +112,60 @@ class Templates:
         for t, own in enumerate(self.keys):
             self.member[np.searchsorted(self.all, np.array(own, np.uint64)), t] = 1
         self.distinct = self.member.sum(axis=0)
+        key = lambda x: words(pa.array([" ".join(sorted(x))], pa.large_string())).key.tolist()
+        self.telling, self.telling_gnu, (self.gnu, self.affero) = set(key(TELLING)), set(key(TELLING_GNU)), (*key(["gnu"]), *key(["affero"]))
+        self.numbers = [
+            {i for i, (x, y) in enumerate(zip(w.start[a:b].tolist(), w.end[a:b].tolist(), strict=True)) if w.low[x:y].tobytes().lstrip(b"v").isdigit()} if b - a < FULL else set()
+            for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)
+        ]
+        self.marks = [self.marked(own) for own in self.keys]
+
+    def marked(self, keys: Sequence[int]) -> set[int]:
+        """Places of telling words. Full texts of the same steward name each other's licenses: see `agrees`."""
+        return {i for i, x in enumerate(keys) if x in self.telling or x in self.telling_gnu and i and keys[i - 1] == self.gnu}
+
+    def agrees(self, t: int, run: Sequence[int], matched: list[tuple[int, int]]) -> bool:
+        """Whether the words that tell licenses apart are the same in a run and in template t."""
+        own, there = self.keys[t], {j: i for i, j in matched}
+        lost = self.marks[t] - there.keys()
+        extra = {i for i in self.marked(run) if matched[0][0] <= i <= matched[-1][0]} - {i for i, _ in matched}
+        if len(own) >= FULL:  # `lesser` and `library` took each other's place in full texts that name both
+            found = {own[j] for j in self.marks[t] & there.keys()}
+            swapped = {x for x in self.telling_gnu if x != self.affero}
+            return {own[j] for j in lost} - swapped <= found and {run[i] for i in extra} <= swapped
+        follows = lambda j: j in there and (not j or there.get(j - 1) == there[j] - 1)
+        return not lost and not extra and all(follows(j) for j in self.numbers[t])
+
+    def matches(self, t: int, key: np.ndarray, place: np.ndarray, kind: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int, int]]:
+        """Matches (first word, end, matched words) of template t in the words lo to hi - 1; what each leaves is searched again.
+
+        place, kind: where the template's words stand, and which. A run that doesn't match stands for those that end within an eighth
+        of the template from its end, as their alignments span nearly the same words.
+        """
+        own, todo = self.keys[t], [(lo, hi)]
+        length, distinct = len(own), int(self.distinct[t])
+        while todo:
+            lo, hi = todo.pop()
+            i, j = np.searchsorted(place, (lo, hi))
+            failed: list[int] = []
+            for loose, tight, end in candidate_runs(place[i:j].tolist(), kind[i:j].tolist(), distinct, length):
+                at = bisect_left(failed, end)
+                if any(abs(x - end) < length // 8 for x in failed[max(0, at - 1) : at + 1]):
+                    continue
+                found = None
+                for start in dict.fromkeys((tight, loose)):
+                    a, b = max(lo, start - length // 4), min(hi, end + length // 4)
+                    run = key[a:b].tolist()
+                    matched = patience(run, own)
+                    enough = len(matched) >= (COVERAGE if length >= SHORT else 1.0) * length
+                    if enough and len(matched) >= DENSITY * (matched[-1][0] + 1 - matched[0][0]) and self.agrees(t, run, matched):
+                        found = (a + matched[0][0], a + matched[-1][0] + 1, len(matched))
+                        break
+                if found:
+                    yield found
+                    todo += [(lo, found[0]), (found[1], hi)]
+                    break
+                failed.insert(at, end)
 
     def scan(self, column: pa.Array) -> list[list[tuple[int, int, str, float]]]:
         """Of each text: (first word, end, license, coverage), disjoint, in order."""
@@ -119,16 +181,9 @@ class Templates:
         out: list[list[tuple[int, int, str, float, int]]] = [[] for _ in range(len(column))]
         for r, t in np.argwhere(enough).tolist():
             mine = self.member[kind[cuts[r] : cuts[r + 1]], t] > 0
-            own, length = place[cuts[r] : cuts[r + 1]][mine].tolist(), len(self.keys[t])
-            for a, b in candidate_runs(own, kind[cuts[r] : cuts[r + 1]][mine].tolist(), int(self.distinct[t]), length):
-                a, b = max(int(w.first[r]), a - length // 4), min(int(w.first[r + 1]), b + length // 4)
-                matched = patience(w.key[a:b].tolist(), self.keys[t])
-                share = len(matched) / length
-                if matched and len(matched) < DENSITY * (matched[-1][0] + 1 - matched[0][0]):
-                    continue
-                if share >= (COVERAGE if length >= SHORT else 1.0):
-                    first = int(w.first[r])
-                    out[r].append((a + matched[0][0] - first, a + matched[-1][0] + 1 - first, self.names[t], share, len(matched)))
+            first, length = int(w.first[r]), len(self.keys[t])
+            for a, b, n in self.matches(t, w.key, place[cuts[r] : cuts[r + 1]][mine], kind[cuts[r] : cuts[r + 1]][mine], first, int(w.first[r + 1])):
+                out[r].append((a - first, b - first, self.names[t], n / length, n))
         return [disjoint(x) for x in out]
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 from lodeplane.llm.license_texts import NOTICES
 from lodeplane.llm.licenses import op5_patience_license_scan, patience, scan_licenses
@@ -45,3 +46,37 @@ def test_query(spark):
         w = " ".join(words(d.text))
         plain = {n for n, t in NOTICES if f" {' '.join(words(t))} " in f" {w} "}
         assert set(filter(None, got[d.doc_id].licenses.split(","))) >= plain if plain else got[d.doc_id].n_found == 0
+
+
+def test_adjacent_notices_are_all_found(spark, make):
+    text = {n: t for n, t in NOTICES[:15]}
+    mit = NOTICES[3][1]
+    docs = [(1, f"{mit} {mit} {mit}"), (2, f"{text['gpl-3.0']}\n{NOTICES[6][1]}\n{text['gpl-3.0']}"), (3, "\n".join(t for _, t in NOTICES[:15]))]
+    found = {r.doc_id: [x["name"] for x in r.licenses] for r in scan_licenses(make(docs)).collect()}
+    assert found == {1: ["mit"] * 3, 2: ["gpl-3.0"] * 3, 3: [n for n, _ in NOTICES[:15]]}
+
+
+def test_licenses_of_one_wording_are_told_apart(spark, make):
+    docs = [
+        (1, "This work is licensed under the GNU General Public License, version 2."),
+        (2, "This work is licensed under the GNU General Public License, version 2. There are 3 kinds of it."),
+        (3, "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+        (4, "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+        (5, NOTICES[7][1].replace("GNU General", "GNU Affero General")),
+        (6, NOTICES[7][1].replace("version 3", "version 2")),
+        (7, "This work is licensed under the GNU General Public License, version 7."),
+        (8, "This work is licensed under the GNU General Public License, version 2. This work is licensed under the GNU General Public License, version 3."),
+    ]
+    found = {r.doc_id: [x["name"] for x in r.licenses] for r in scan_licenses(make(docs)).collect()}
+    assert found == {1: ["gpl-2.0"], 2: ["gpl-2.0"], 3: ["cc-by-sa-4.0"], 4: ["cc-by-nd-4.0"], 5: ["agpl-3.0"], 6: ["gpl-2.0"], 7: [], 8: ["gpl-2.0", "gpl-3.0"]}
+
+
+def test_full_texts(spark, make):
+    """Each as one match of its own name, also with words lost; a text of another license with nearly the same words isn't taken for it."""
+    random.seed(4)
+    bodies = [(n, t) for n, t in NOTICES if len(words(t)) >= 150]
+    assert {"gpl-2.0", "gpl-3.0", "lgpl-2.1", "apache-2.0", "mit", "bsd-2-clause", "bsd-3-clause", "isc", "cc0-1.0", "mpl-2.0"} <= {n for n, _ in NOTICES} and len(bodies) >= 15
+    docs = [(i, " ".join(w for w in words(t) if random.random() > 0.03 or w == "endorse")) for i, (_, t) in enumerate(bodies)]
+    docs.append((99, re.sub("(?i)gnu general", "GNU Affero General", dict(bodies)["gpl-3.0"])))
+    found = {r.doc_id: [x["name"] for x in r.licenses] for r in scan_licenses(make(docs)).collect()}
+    assert found == {**{i: [n] for i, (n, _) in enumerate(bodies)}, 99: ["agpl-3.0"]}
