@@ -3,8 +3,8 @@
 Protected entities are the values that the patterns find. From all documents it's counted how many hold an entity, and in how
 many a term stands near it. A term discloses an entity if its pointwise mutual information with it, log p(e|t)/p(e), is at least
 `threshold` of the entity's information -log p(e), where p(e|t) is the share of the documents with the term that
-have it near the entity. Terms need `support` different contexts (copies of a context count once). A disclosing term is
-generalised wherever it stands, or removed from `remove_at` on.
+have it near the entity. Terms are words of any kind, numbers too. They need `support` different contexts, in one document or in
+several (copies of a context count once). A disclosing term is generalised wherever it stands, or removed from `remove_at` on.
 
 Counting is by keys, summed in tasks first. Only terms with enough support are candidates; they are counted in all documents and
 searched in blocks of bounded size.
@@ -39,6 +39,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,}+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NO_DIGITS = re.compile(r"[^0-9]+")
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -82,33 +83,51 @@ def base_spans(text: str) -> list[Span]:
 
 
 def entity_contexts(docs: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
-    """Rows (entity, term, context, n): in n documents the term stands near the entity in this context; term 0 counts documents with the entity."""
-    reach = 24 * near  # characters that hold so many words but for very long ones
+    """Rows (entity, term, context, n): the term stands near the entity in this context; the sum of n is the number of such documents.
+
+    A document counts in the first of its contexts. Term 0 counts documents with the entity.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             before, after, owners = [], [], []
             for row, text in enumerate(strings(batch.column(0))):
                 for a, kind, b in base_spans(text):
-                    before.append(text[max(0, a - reach) : a])
-                    after.append(text[b : b + reach])
+                    before.append(words_around(text, a, near, -1))
+                    after.append(words_around(text, b, near, 1))
                     owners.append((row, xxhash.xxh3_64_intdigest(f"{KINDS[kind]}:{text[a:b].lower()}")))
             front, back = words(pa.array(before, pa.large_string())), words(pa.array(after, pa.large_string()))
-            found: dict[tuple[int, int], dict[int, int]] = {}
+            found: dict[tuple[int, int], dict[tuple[int, int], None]] = {}
             for i, owner in enumerate(owners):
                 near_by = []
                 for w, last in ((front, True), (back, False)):
                     lo, hi = int(w.first[i]), int(w.first[i + 1])
                     lo, hi = (max(lo, hi - near), hi) if last else (lo, min(hi, lo + near))
-                    near_by.append(w.key[lo:hi][w.low[w.start[lo:hi]] > 57])  # words that begin with a letter
+                    near_by.append(w.key[lo:hi])
                 own = np.concatenate(near_by)
                 context = int(shingles(own, len(own))[0]) if len(own) else 0
-                found.setdefault(owner, {0: 0}).update(dict.fromkeys(own.tolist(), context))
-            rows = [(e, t, c) for (_, e), terms in found.items() for t, c in terms.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([r[j] for r in rows], np.uint64).view(np.int64)) for j in range(3)], names=["entity", "term", "context"])
-
-    pairs = docs.select("text").mapInArrow(run, "entity long, term long, context long")
-    return pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
+                found.setdefault(owner, {(0, 0): None}).update(dict.fromkeys((t, context) for t in own.tolist()))
+            rows = []
+            for (_, entity), pairs in found.items():
+                seen: set[int] = set()
+                for term, context in pairs:
+                    rows.append((entity, term, context, int(term not in seen)))
+                    seen.add(term)
+            names = ["entity", "term", "context", "n"]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([r[j] for r in rows], np.uint64).view(np.int64)) for j in range(4)], names=names)
+
+    pairs = docs.select("text").mapInArrow(run, "entity long, term long, context long, n long")
+    return pairs.groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
+
+
+def words_around(text: str, at: int, near: int, step: int) -> str:
+    """What stands before (step -1) or after a place: more than `near` words, so that the nearest are whole, or all there is."""
+    reach = 24 * near
+    while True:
+        part = text[max(0, at - reach) : at] if step < 0 else text[at : at + reach]
+        if len(part) < reach or sum(1 for _ in _WORD.finditer(part)) > near:
+            return part
+        reach *= 2
 
 
 def in_blocks(terms: DataFrame, block_terms: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -2,7 +2,9 @@ import hashlib
 import math
 import random
 
-from lodeplane.llm.pii import KINDS, base_spans, find_personal_data, luhn, op10_disclosure_sanitisation, without_personal_data
+from pyspark.sql import functions as F
+
+from lodeplane.llm.pii import KINDS, base_spans, entity_contexts, find_personal_data, luhn, op10_disclosure_sanitisation, without_personal_data
 from tests.llm import brute
 from tests.oracle import SF
 
@@ -71,3 +73,29 @@ def test_query(spark):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == j for _, k, _ in want) for j in range(4)]
         assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
         assert set(filter(None, line.split(","))) <= set(r.spans.split(","))
+
+
+def terms_by_doc(make, docs):
+    return {r.doc_id: {r.text[s.start : s.end] for s in r.spans if s.kind == 4} for r in find_personal_data(make(docs)).collect()}
+
+
+def plain(n=30):
+    return [(i, f"plain words number q{i} of a river and a stone") for i in range(1000, 1000 + n)]
+
+
+def test_contexts_of_one_document_count(spark, make):
+    lines = [f"river{i} stone{i} cloud{i} Zebulon meadow{i} ann@example.com window{i} door{i}." + " and so on with other things until the next line" for i in range(5)]
+    found = terms_by_doc(make, [(1, "\n".join(lines)), *plain()])
+    assert "Zebulon" in found[1] and "river3" not in found[1]
+    # a document counts once, in whichever contexts: three with five lines each, one with the name alone
+    docs = [(i, "\n".join(x.replace("river", f"r{i}x") for x in lines)) for i in range(3)] + [(9, "Zebulon alone")]
+    contexts = entity_contexts(make([*docs, *plain()]))
+    assert {r.n for r in contexts.groupBy("entity", "term").agg(F.sum("n").alias("n")).filter("term = 0").collect()} == {3}
+    assert contexts.groupBy("entity", "term").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] == 3
+
+
+def test_numbers_and_words_behind_long_ones_are_terms(spark, make):
+    long = " ".join(c * 60 for c in "abcdef")
+    docs = [(i, f"x{i} account 471199 of ann@example.com y{i}") for i in range(4)] + [(10 + i, f"z{i} Quentin {long} bob@example.com u{i}") for i in range(4)]
+    found = terms_by_doc(make, [*docs, *plain()])
+    assert all("471199" in found[i] for i in range(4)) and all("Quentin" in found[10 + i] for i in range(4))
