@@ -3,27 +3,36 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeplane.session import checkpoint_dir
 
-#: Rows of one Arrow batch. Texts can be long: a batch of Spark's default size could hold gigabytes.
-BATCH_ROWS = 256
+#: Rows, and bytes of text, that a worker takes up at once. A longer text is taken up alone.
+PIECE_ROWS, PIECE_BYTES = 256, 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the memory of a Python worker: Arrow batches of few rows."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def pieces(batches: Iterable[pa.RecordBatch], text: int | str = 0, rows: int = PIECE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of few rows and bytes of a text column, so that a worker's arrays stay small; nothing is copied."""
+    for batch in batches:
+        column = batch.column(text)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(ends):
+            done = int(ends[at - 1]) if at else 0
+            end = min(int(np.searchsorted(ends, done + PIECE_BYTES, "right")), at + rows)
+            end = max(end, at + 1)
+            yield batch.slice(at, end - at)
+            at = end
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import shield, small_batches, table
+from lodeplane.llm.common import shield, pieces, table
 from lodeplane.llm.words import Filter, in_sorted, shingles, words
 
 WINDOW = 10
@@ -83,7 +83,7 @@ def counted(docs: DataFrame, block: Block) -> dict[int, dict[int, int]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = {n: Filter(t) for n, t in tokens.items()}
         sums = {n: np.zeros(len(t), np.int64) for n, t in tokens.items()}
-        for batch in batches:
+        for batch in pieces(batches):
             w = words(batch.column(0))
             for n, t in tokens.items():
                 grams = shingles(w.key, n)
@@ -120,7 +120,7 @@ def probe(docs: DataFrame, block: Block, index: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = {n: Filter(tokens) for n, (tokens, _) in index.items()}
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             w = words(batch.column(batch.schema.get_field_index("text")))
             spans: list[list[tuple[int, int]]] = [[] for _ in range(batch.num_rows)]
             items: list[set] = [set() for _ in range(batch.num_rows)]
@@ -166,7 +166,6 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, item
     Null texts have no words. Items without words have no window; a null item id is listed as null. Equal items or windows
     each count. docs' own columns n_words, spans and items are replaced. An empty benchmark hits nothing.
     """
-    small_batches(docs.sparkSession)
     docs = docs.drop("n_words", "spans", "items")
     probed = []
     for block in blocks(benchmark, item_col, item_text, size, block_bytes):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import small_batches, strings, table
+from lodeplane.llm.common import pieces, strings, table
 from lodeplane.llm.words import mixed, powers
 
 K, S = 40, 8
@@ -126,12 +126,11 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def fingerprints(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
     """docs (with a string column text) plus fingerprint; a null text counts as empty. A column fingerprint of docs is replaced."""
-    small_batches(docs.sparkSession)
     docs = docs.drop("fingerprint")
     at_text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, at_text):
             own = [written(x) for x in anchors(strings(batch.column(at_text)), k, s)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.string())], names=[*batch.schema.names, "fingerprint"])
 
@@ -184,14 +183,13 @@ def in_order(docs: DataFrame, parts_each: int = 4) -> DataFrame:
 
 def with_edits(docs: DataFrame, share: int = 3) -> DataFrame:
     """Each document with its fingerprint, and that of its edited text: its last 1/share replaced by the beginning of the document that follows."""
-    small_batches(docs.sparkSession)
     ordered = in_order(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "_run", "_next")
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: list[tuple] = []  # the row before, with its anchors, if its run may go on
-        for batch in batches:
+        for batch in pieces(batches, 1):
             ids, texts, runs, nexts = (batch.column(i).to_pylist() for i in range(4))
             rows = last + list(zip(ids, texts, runs, nexts, anchors(texts), strict=True))
             pairs = [(x, y) for x, y in zip(rows[:-1], rows[1:], strict=True) if x[2] == y[2] and not x[3]]

@@ -1,14 +1,22 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped so that every block is a line. What can't be the article (scripts, menus, forms, adverts, comments and the like, by
-element, role, class or id) leaves blank lines, and so does everything outside the article elements where a page has some.
-Over the lines, characters outside links are summed in windows of a few lines. The text begins at the surge, the first line of a
-run whose windows reach the threshold, and ends at the dive, the last line of the last such run; what lies between is kept
-but for lines that are mostly links.
+Markup is stripped so that every block is a line. Over the lines, characters outside links are summed in windows of WINDOW lines. The
+text surges where a window, looking ahead, reaches the threshold, from the line on where the windows before it rose over FOOT of the
+threshold; it dives where a whole window is empty. What lies between is kept but for lines that are mostly links. A page may surge
+several times. The threshold is `surge` characters, or on short pages SHARE of the fullest window.
+
+Elements, roles, classes and ids only weigh lines before that. What can't be the article (scripts, menus, forms, adverts, comments and the
+like) counts nothing: it leaves a window of empty lines, so that the distribution dives there, but inside an article element, whose own
+boxes don't interrupt it, one. Where a page has article elements, lines outside count OUTSIDE of their characters. Other containers leave an empty
+line. Pages that are all of that kind by class or id alone are read again without believing these.
+
+A page that is null, empty or without text gives the empty text. Each page is read by itself, so repeated rows give the same text; pages of any length
+are scanned once from start to end.
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from collections.abc import Iterator
@@ -18,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import small_batches, strings, table
+from lodeplane.llm.common import pieces, strings, table
 
-#: Lines in a window, and the characters in it that make a surge where no element marks the article.
-WINDOW, SURGE = 3, 80
+#: Lines in a window, the characters in it that make a surge, the share of the fullest window that suffices, and that of a surge at its foot.
+WINDOW, SURGE, SHARE, FOOT = 3, 80, 0.5, 1 / 8
+#: What a character outside the article elements counts on a page that has some.
+OUTSIDE = 0.25
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -40,14 +50,20 @@ NOT_TEXT_NAMES = frozenset(
     "reply replies respond responses disqus discussion social share sharing related recommended recommendations newsletter subscribe subscription signup login popup popover "
     "modal overlay widget pagination pager skip search form".split()
 )
-#: First words of a class that say what is absent or how it's laid out.
+#: Of a compound name, its first word decides if it is one of these, else its last one that isn't NEUTRAL.
+TELLING_FIRST = frozenset("ad ads advert adverts advertisement sponsor sponsored promo cookie cookies gdpr newsletter comment comments disqus related".split())
+NEUTRAL = frozenset(
+    "area bar block body bottom box center col column container content div group inner item items left list main outer page panel post posts "
+    "region right row section site title top wrap wrapper".split()
+)
+#: Words by which a class says what is absent or how the page is laid out.
 MODIFIERS = frozenset("no not non has have with without is".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Comments, declarations, tags with quoted attributes (of bounded size, so that broken ones cost little), other tags, a tag cut off at the end.
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^'"<>]++|"[^"]{0,2000}"|'[^']{0,2000}'){0,500}+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*+)>|</?[a-zA-Z][^<>]*+\Z""",
-    re.DOTALL,
-)
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that end where the next of their kind begins or their parent ends.
+OPTIONAL_END = frozenset("p li dt dd td th tr option".split())
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_TO_QUOTE = re.compile(r"""[^"'>]*""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME_WORDS = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
@@ -55,7 +71,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECAS
 
 @dataclass
 class Lines:
-    """Blocks of text, with characters in links, and whether they stand in an article element; blank lines mark what was left out."""
+    """Blocks of text, with characters in links, and whether they stand in an article element; empty lines are gaps."""
 
     text: list[str] = field(default_factory=list)
     linked: list[int] = field(default_factory=list)
@@ -66,20 +82,112 @@ class Lines:
         self.linked.append(linked)
         self.inside.append(inside)
 
+    def gap(self, lines: int) -> None:
+        """At least so many empty lines at the end."""
+        there = 0
+        while there < min(lines, len(self.text)) and not self.text[-1 - there]:
+            there += 1
+        for _ in range(lines - there):
+            self.add("", 0, False)
+
+
+@dataclass
+class Tag:
+    name: str
+    end: bool
+    attributes: str
+
+
+class Scanner:
+    """Reads a page once: text, and tags whose quoted attribute values may be of any length and hold any characters."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.at = page, 0
+        self.gone: set[str] = set()  # quotes and end tags of which none is left
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.gone:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.gone.add(what)
+        return found
+
+    def __iter__(self) -> Iterator[str | Tag]:
+        page = self.page
+        while self.at < len(page):
+            start = self.find("<", self.at)
+            if start < 0:
+                break
+            after = page[start + 1 : start + 2]
+            name = _NAME.match(page, start + 1 + (after == "/"))
+            if not name and after not in ("!", "?"):
+                yield page[self.at : start + 1]  # no tag
+                self.at = start + 1
+                continue
+            if start > self.at:
+                yield page[self.at : start]
+            if not name:
+                comment = page.startswith("<!--", start)
+                stop = self.find("-->" if comment else ">", start + 2)
+                self.at = len(page) if stop < 0 else stop + (3 if comment else 1)
+                continue
+            stop = self.tag_end(name.end())
+            self.at = stop + 1
+            if stop < len(page):  # a tag that the page's end cuts off is none
+                yield Tag(name[0].lower(), after == "/", page[name.end() : stop])
+        if self.at < len(page):
+            yield page[self.at :]
+
+    def tag_end(self, at: int) -> int:
+        """The place of the > that ends a tag; only behind = does a quote begin a value. The page's length if there is none."""
+        page = self.page
+        while True:
+            at = _TO_QUOTE.match(page, at).end()
+            if at >= len(page) or page[at] == ">":
+                return at
+            back = at - 1
+            while page[back].isspace():
+                back -= 1
+            stop = self.find(page[at], at + 1) if page[back] == "=" else -1
+            at = max(at, stop) + 1
+
+    def skip_content(self, name: str) -> None:
+        """Go on behind the element's end tag; a title without one has no content, others have all that's left."""
+        found = None if f"</{name}" in self.gone else end_tag(name).search(self.page, self.at)
+        if found:
+            self.at = found.end()
+            return
+        self.gone.add(f"</{name}")
+        if name != "title":
+            self.at = len(self.page)
+
+
+@functools.cache
+def end_tag(name: str) -> re.Pattern[str]:
+    """The end tag of one of the RAW elements."""
+    return re.compile(rf"</{re.escape(name)}(?![^\s/>])[^>]*(?:>|\Z)", re.IGNORECASE)
+
 
 def unwanted_name(token: str, in_article: bool) -> bool:
-    """Whether a class or id marks what isn't the article: not as in `no-sidebar`, and an article's own header holds its title."""
+    """Whether a class or id marks what isn't the article: as a whole, not as in `no-sidebar` or `alert-history`. An article's own header holds its title."""
     parts = [x.lower() for x in _NAME_WORDS.split(token) if x]
-    return bool(parts) and parts[0] not in MODIFIERS and any(x in NOT_TEXT_NAMES and not (x == "header" and in_article) for x in parts)
+    if not parts or MODIFIERS.intersection(parts):
+        return False
+    last = next((x for x in reversed(parts) if x not in NEUTRAL), "")
+    return parts[0] in TELLING_FIRST or last in NOT_TEXT_NAMES and not (last == "header" and in_article)
 
 
-def unwanted(name: str, attributes: str, in_article: bool, by_name: bool) -> bool:
+def unwanted(tag: Tag, in_article: bool, by_name: bool) -> bool:
     """Whether an element holds no text of the article. by_name: by class and id too."""
+    name = tag.name
+    if name in VOID:
+        return False
     if name in NOT_TEXT and not (name == "header" and in_article):
         return True
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not tag.attributes or name in ("html", "body", "article", "main"):
         return False
-    for m in _ATTRIBUTE.finditer(attributes):
+    for m in _ATTRIBUTE.finditer(tag.attributes):
         key, value = m[1].lower(), html.unescape((m[2] or "").strip("\"'"))
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
             return True
@@ -90,50 +198,46 @@ def unwanted(name: str, attributes: str, in_article: bool, by_name: bool) -> boo
     return False
 
 
-def stripped(page: str, by_name: bool = True) -> Lines:
+def stripped(page: str, by_name: bool = True, window: int = WINDOW) -> Lines:
     """The page's blocks as lines. An unwanted element ends at its end tag, or where an article begins."""
     lines, parts, linked = Lines(), [], 0
-    at, link, article, skipping, depth = 0, 0, 0, "", 0
+    link, article, skipping, depth = 0, 0, "", 0
 
     def close() -> None:
         nonlocal parts, linked
-        text = " ".join(html.unescape("".join(parts)).split())
+        text = " ".join("".join(parts).split())
         if text:
             lines.add(text, min(linked, len(text)), article > 0)
         parts, linked = [], 0
 
-    def say(text: str) -> None:
-        nonlocal linked
-        if text and not skipping:
-            parts.append(text)
-            linked += len(" ".join(html.unescape(text).split())) if link else 0
-
-    while m := _TOKEN.search(page, at):
-        say(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
-        end = bool(m[1] or m[4])
-        if not name:
+    scanner = Scanner(page)
+    for token in scanner:
+        if isinstance(token, str):
+            if not skipping:
+                text = html.unescape(token)
+                parts.append(text)
+                linked += len(" ".join(text.split())) if link else 0
             continue
+        name, end = token.name, token.end
         if name in RAW and not end:
-            stop = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = stop.end() if stop else len(page) if name != "title" else at
-            say(" ")
+            scanner.skip_content(name)
+            parts.append(" ")
             continue
         if skipping:
+            over = skipping in OPTIONAL_END and (name == skipping or end and name in BLOCKS)
             depth += (name == skipping) * (-1 if end else 1)
-            if depth and not (name in ARTICLES and not end and not article):
+            if depth and not over and not (name in ARTICLES and not end and not article):
                 continue
+            own_end = end and name == skipping
             skipping = ""
-            for _ in range(WINDOW):
-                lines.add("", 0, False)
-            if end:
+            lines.gap(1 if article else window)
+            if own_end:
                 continue
         if name == "br":
-            say(" ")
+            parts.append(" ")
         elif name == "a":
             link = 0 if end else 1
-        elif not end and unwanted(name, m[3] or m[6] or "", article > 0, by_name) and not (m[3] or m[6] or "").endswith("/"):
+        elif not end and not token.attributes.endswith("/") and unwanted(token, article > 0, by_name):
             close()
             skipping, depth = name, 1
         elif name in BLOCKS:
@@ -141,53 +245,50 @@ def stripped(page: str, by_name: bool = True) -> Lines:
             link = 0
             if name in ARTICLES:
                 article = max(0, article + (-1 if end else 1))
-            if name in CONTAINERS:
-                lines.add("", 0, False)
-    say(page[at:])
+                lines.gap(1 if article > (0 if end else 1) else window)
+            elif name in CONTAINERS:
+                lines.gap(1)
     close()
     return lines
 
 
-def between_surge_and_dive(lines: Lines, window: int = WINDOW, surge: int = SURGE) -> list[str]:
+def between_surge_and_dive(lines: Lines, window: int = WINDOW, surge: float = SURGE) -> list[str]:
     """The lines of the text."""
     marked = any(t and i for t, i in zip(lines.text, lines.inside, strict=True))
-    least = 1 if marked else surge
-    size = [len(t) - n if i or not marked else 0 for t, n, i in zip(lines.text, lines.linked, lines.inside, strict=True)]
-    sums = [0]
+    size = [
+        0.0 if 2 * n > len(t) else (len(t) - n) * (OUTSIDE if marked and not i else 1)
+        for t, n, i in zip(lines.text, lines.linked, lines.inside, strict=True)
+    ]
+    sums = [0.0]
     for n in size:
         sums.append(sums[-1] + n)
-    high = [sums[min(i + window, len(size))] - sums[i] for i in range(len(size))]
-    # a line is high if a window over it without blank lines reaches the threshold; short pages have one window
-    runs, start = [], None
-    for i, n in enumerate([*size, 0]):
-        if n and start is None:
-            start = i
-        elif not n and start is not None:
-            peak = max(min(high[j], sums[i] - sums[j]) for j in range(start, i))
-            runs.append((start, i, peak))
-            start = None
-    kept = [(a, b) for a, b, peak in runs if peak >= least] or [(a, b) for a, b, peak in runs if peak == max(x[2] for x in runs)]
-    if not kept:
-        return []
-    first, last = kept[0][0], kept[-1][1]
-    inside = range(first, last)
-    return [lines.text[i] for i in inside if lines.text[i] and (lines.inside[i] if marked else 2 * lines.linked[i] <= len(lines.text[i]))]
-
-
-def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
+    ahead = [sums[min(i + window, len(size))] - sums[i] for i in range(len(size))]
+    least = min(surge, SHARE * max(ahead, default=0))
+    kept, rising, within = [], [], False
+    for line, n, sum_ahead in zip(lines.text, size, ahead, strict=True):
+        within = within and sum_ahead > 0 or n > 0 and sum_ahead >= least
+        if n > 0:
+            rising.append(line)
+        if within:
+            kept += rising
+        if within or sum_ahead < FOOT * least:
+            rising = []
+    return kept
+
+
+def main_text(page: str, window: int = WINDOW, surge: float = SURGE) -> str:
     """The page's text; where classes and ids leave none at all, they aren't believed."""
-    found = between_surge_and_dive(stripped(page), window, surge) or between_surge_and_dive(stripped(page, by_name=False), window, surge)
-    return "\n".join(found)
+    found = between_surge_and_dive(stripped(page, window=window), window, surge)
+    return "\n".join(found or between_surge_and_dive(stripped(page, by_name=False, window=window), window, surge))
 
 
-def extract(pages: DataFrame, html_col: str = "html", window: int = WINDOW, surge: int = SURGE) -> DataFrame:
+def extract(pages: DataFrame, html_col: str = "html", window: int = WINDOW, surge: float = SURGE) -> DataFrame:
     """pages without the html column, plus text (empty for null, empty or textless pages). Each row by itself; a column text of pages is replaced."""
-    small_batches(pages.sparkSession)
     kept = [c for c in pages.columns if c not in (html_col, "text")]
     source = pages.select(*[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(kept)], F.col(f"`{html_col}`").alias("_html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, len(kept)):
             texts = pa.array([main_text(x, window, surge) for x in strings(batch.column(len(kept)))], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*batch.schema.names[:-1], "text"])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import shield, small_batches, stored, strings, table
+from lodeplane.llm.common import shield, pieces, stored, strings, table
 from lodeplane.llm.words import in_sorted
 
 ORDER, BITS = 4, 6
@@ -182,7 +182,7 @@ def gram_counts(training: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
-        for batch in batches:
+        for batch in pieces(batches, 1):
             owners, texts = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)), strings(batch.column(1))
             for owner in set(owners):
                 sym, start = symbols([t for x, t in zip(owners, texts, strict=True) if x == owner])
@@ -212,7 +212,7 @@ def own_scores(training: DataFrame, models: dict[int, Models]) -> DataFrame:
     """Rows (lang, h, n): each text's cross-entropy by its own language in the model for its fold, if that has it; copies are one row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 1):
             langs, texts, folds = batch.column(0).to_pylist(), strings(batch.column(1)), batch.column(2).to_pylist()
             for fold, model in models.items():
                 rows = [i for i, (x, f) in enumerate(zip(langs, folds, strict=True)) if f == fold and x in model.langs]
@@ -239,7 +239,6 @@ def spreads(scores: DataFrame) -> DataFrame:
 
 def train(training: DataFrame) -> Models | None:
     """Models of all languages in training (columns lang, text; rows with a null in either are left out); None if there are none."""
-    small_batches(training.sparkSession)
     training = training.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"))
     found = gram_counts(training).toPandas()  # at most 64**4 rows a language and fold
     counts: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]] = {f: {} for f in range(FOLDS)}
@@ -279,13 +278,12 @@ def identify(docs: DataFrame, models: Models | None, tolerance: float = TOLERANC
     A text that is null or has no letter is `und`, score 0, rejected; so is every text if there are no models. Columns of docs with
     these names are replaced. Each row depends on its text alone.
     """
-    small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score", "cross_entropy", "rejected")
     names = [*docs.columns, "lang_pred", "score", "cross_entropy", "rejected"]
     at_text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, at_text):
             texts = strings(batch.column(at_text))
             if models is None:
                 pred, score, best, bad = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts), [True] * len(texts)

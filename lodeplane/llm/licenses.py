@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import small_batches, table
+from lodeplane.llm.common import pieces, table
 from lodeplane.llm.license_texts import NOTICES
 from lodeplane.llm.words import Filter, in_sorted, words
 
@@ -201,14 +201,13 @@ def scan_licenses(docs: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES)
 
     Each row depends on its text alone. A column licenses of docs is replaced. Templates without words match nothing.
     """
-    small_batches(docs.sparkSession)
     docs = docs.drop("licenses")
     at_text = docs.columns.index("text")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("name", pa.string()), ("coverage", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(notices)
-        for batch in batches:
+        for batch in pieces(batches, at_text):
             found = [[{"start": a, "end": b, "name": n, "coverage": c} for a, b, n, c in x] for x in templates.scan(batch.column(at_text))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, "licenses"])
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import shield, small_batches, stored, table
+from lodeplane.llm.common import shield, pieces, stored, table
 from lodeplane.llm.words import mixed, shingles, words
 from lodeplane.operators.graph import connected_components
 
@@ -75,7 +75,7 @@ def signatures(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = coefficients(bands * rows)
         salt = mixed(np.arange(1, bands + 1, dtype=np.uint64))
-        for batch in batches:
+        for batch in pieces(batches, 1):
             sets = ngram_sets(batch.column(1), n)
             keys, own = [], []
             with np.errstate(over="ignore"):
@@ -160,7 +160,6 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
     least row by doc_id, nulls first, then text_key), n_rows, group (number), n_links (rows of other classes alike). Texts
     without words are in no class. Repeated rows are rows of one class. An empty table gives empty tables.
     """
-    small_batches(docs.sparkSession)
     bands, rows = bands_for(threshold, recall, max_hashes)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
     signed = stored(signatures(source, bands, rows, n), "signatures")
@@ -188,7 +187,7 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
         texts = texts.dropDuplicates(["class"])  # rows that are the same in id and text too: one a task before the shuffle
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 3):
             sets = [s.astype("<u8").tobytes() for s in ngram_sets(batch.column(3), n)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], names=["class", "n_rows", "bands", "grams"])
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import small_batches, table
+from lodeplane.llm.common import pieces, table
 from lodeplane.llm.wordtokens import word_tokenizer
 
 CAPACITY = 4096
@@ -109,7 +109,6 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPA
     offset. A null or empty text is the end token alone; repeated rows and null ids are packed like any others; an
     empty table gives no rows. sequence_id holds the partition's number above bit 33 and counts within it below.
     """
-    small_batches(docs.sparkSession, 512)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -147,7 +146,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPA
                 ids, tokens = [ids[d] for d in kept], [tokens[d] for d in kept]
                 items, whole, size = [(place[d], s, n) for d, s, n in left], [], sum(x[2] for x in left)
 
-        for batch in batches:
+        for batch in pieces(batches, 1, 512):
             for doc_id, x in zip(batch.column(0).to_pylist(), tok.encode(batch.column(1)), strict=True):
                 doc = len(ids)
                 ids.append(doc_id)

@@ -6,6 +6,7 @@ A word is a run of the bytes 0-9, a-z and 0x80 on, after A-Z are lower-cased: ex
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,16 +33,24 @@ _LOWER[48:58] = np.arange(48, 58)
 _LOWER[65:91] = _LOWER[97:123] = np.arange(97, 123)
 _LOWER[128:] = np.arange(128, 256)
 _VALUE = mixed(np.arange(1, 257, dtype=np.uint64))
-_powers: dict[int, np.ndarray] = {}
+#: Bytes whose hashes are worked out at once.
+CHUNK = 1 << 18
+
+
+@functools.cache
+def _first_powers(base: int) -> np.ndarray:
+    return _run_of_powers(base, CHUNK)
+
+
+def _run_of_powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors)
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 to base**(n-1) modulo 2**64, remembered."""
-    if base not in _powers or len(_powers[base]) < n:
-        factors = np.full(max(n, 1 << 20), base, np.uint64)
-        factors[0] = 1
-        _powers[base] = np.cumprod(factors)
-    return _powers[base][:n]
+    """base**0 to base**(n-1) modulo 2**64; the first CHUNK are remembered."""
+    return _first_powers(base)[:n] if n <= CHUNK else _run_of_powers(base, n)
 
 
 @dataclass
@@ -84,11 +93,32 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> Words:
 
 
 def hashes_of(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans: differences of the sums of a polynomial, brought to a common power."""
+    """64-bit hashes of byte spans: differences of the sums of a polynomial, brought to a common power; in chunks of bounded size."""
+    out, i = np.empty(len(start), np.uint64), 0
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_VALUE[raw] * powers(_BASE, len(raw)), out=sums[1:])
-        return mixed((sums[end] - sums[start]) * powers(_INVERSE, len(raw))[start] + (end - start).astype(np.uint64))
+        while i < len(start):
+            lo = int(start[i])
+            j = int(np.searchsorted(end, lo + CHUNK, "right"))
+            if j <= i:
+                out[i], i = long_sum(raw[lo : int(end[i])]), i + 1
+                continue
+            part = raw[lo : int(end[j - 1])]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(_VALUE[part] * powers(_BASE, len(part)), out=sums[1:])
+            a, b = start[i:j] - lo, end[i:j] - lo
+            out[i:j] = (sums[b] - sums[a]) * powers(_INVERSE, CHUNK)[a]
+            i = j
+        return mixed(out + (end - start).astype(np.uint64))
+
+
+def long_sum(raw: np.ndarray) -> int:
+    """The polynomial's sum over one span longer than a chunk."""
+    total = 0
+    for at in range(0, len(raw), CHUNK):
+        part = raw[at : at + CHUNK]
+        own = int((_VALUE[part] * powers(_BASE, len(part))).sum(dtype=np.uint64))
+        total = (total + own * pow(_BASE, at, 1 << 64)) & MASK
+    return total
 
 
 def shingles(key: np.ndarray, n: int) -> np.ndarray:

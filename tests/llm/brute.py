@@ -1,6 +1,8 @@
 """Plain versions of what the operators compute."""
 
 import collections
+import html.parser
+import math
 import re
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -65,3 +67,125 @@ def base_spans(text):
             out.append((m.start(), 2, m.end()))
     out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= sum(c.isdigit() for c in m[0]) <= 15]
     return sorted(out)
+
+
+def personal_data(docs, near=8, support=3, threshold=0.9, significance=9.0, cue_words=3):
+    """Spans (start, kind, end) of each text: patterns, secrets (4) behind cues, disclosing terms (5); from the definitions, with no hashes."""
+    word = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    lower = lambda x: "".join(c.lower() if c < "\x80" else c for c in x)
+
+    def random_like(x):
+        n, count = len(x), collections.Counter(x.lower())
+        mixed = sum((a.isdigit() and b.isalpha()) or (a.isalpha() and b.isdigit()) for a, b in zip(x, x[1:]))
+        return mixed * 8 >= n and -sum(c / n * math.log2(c / n) for c in count.values()) >= 3
+
+    def groups(kind, value):
+        value, digits = value.lower(), re.sub("[^0-9]", "", value)
+        more = [value.split("@")[-1]] if kind == 0 else [".".join(value.split(".")[:i]) for i in (2, 3)] if kind == 1 else []
+        more += [digits[:6]] if kind == 2 else [digits[:-7]] if kind == 3 else []
+        return [(kind,), (kind, "value", value), *[(kind, "group", x) for x in more]]
+
+    spans, secrets, terms, n_words = {}, {}, {}, 0
+    near_docs, n_e, contexts, n_t = collections.Counter(), collections.Counter(), collections.defaultdict(set), collections.Counter()
+    for i, text in docs.items():
+        spans[i] = base_spans(text)
+        free = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text) if random_like(m[0])]
+        secrets[i] = [(a, 4, b) for a, b in free if all(b <= s or e <= a for s, _, e in spans[i])]
+        terms[i] = [(m.start(), m.end(), lower(m[0])) for m in word.finditer(text)]
+        n_words += len(terms[i])
+        n_t.update({t for _, _, t in terms[i]})
+        held, beside = set(), set()
+        for a, kind, b in spans[i] + secrets[i]:
+            front = [lower(m[0]) for m in word.finditer(text[max(0, a - 4000) : a])][-near:]
+            back = [lower(m[0]) for m in word.finditer(text[b : b + 4000])][:near]
+            for e in groups(kind, text[a:b]):
+                held.add(e)
+                for t in front + back:
+                    beside.add((e, t))
+                    contexts[e, t].add(tuple(front + back))
+        n_e.update(held)
+        near_docs.update(beside)
+    places = collections.Counter()
+    for (e, _), n in near_docs.items():
+        places[e] += n
+    cues, disclosing = set(), set()
+    for (e, t), n in near_docs.items():
+        p, surprise = n / n_t[t], -math.log(n_e[e] / len(docs))
+        if len(contexts[e, t]) < support or not surprise or (math.log(p) + surprise) / surprise < threshold:
+            continue
+        if len(contexts[e, t]) * math.log(p / min(1, places[e] / n_words)) >= significance:
+            disclosing.add(t)
+            if e == (4,):
+                cues.add(t)
+    for i in docs:
+        before = lambda a: [t for s, _, t in terms[i] if s < a][-cue_words:]  # noqa: E731, B023
+        spans[i] += [x for x in secrets[i] if cues & set(before(x[0]))]
+        spans[i] += [(a, 5, b) for a, b, t in terms[i] if t in disclosing and all(b <= s or e <= a for s, _, e in spans[i])]
+        spans[i].sort()
+    return spans
+
+
+class _Blocks(html.parser.HTMLParser):
+    """Lines of a simple page: blocks' texts with linked characters; what counts nothing leaves a window of empty lines."""
+
+    def __init__(self, window):
+        super().__init__(convert_charrefs=True)
+        self.window, self.lines, self.text, self.linked, self.link, self.off = window, [], "", 0, False, []
+
+    def end_block(self):
+        if text := " ".join(self.text.split()):
+            self.lines.append((text, self.linked))
+        self.text, self.linked = "", 0
+
+    def handle_starttag(self, tag, attrs):
+        if self.off or tag in ("script", "style", "title", "nav", "footer") or ("class", "ad") in attrs:
+            if not self.off:
+                self.end_block()
+            if not self.off or tag == self.off[0]:
+                self.off.append(tag)
+        elif tag == "br":
+            self.text += " "
+        elif tag == "a":
+            self.link = True
+        elif tag != "b":
+            self.end_block()
+            self.lines += [("", 0)] * (tag in ("div", "body"))
+
+    def handle_endtag(self, tag):
+        if self.off:
+            if tag == self.off[0]:
+                self.off.pop()
+                if not self.off and tag not in ("script", "style", "title"):
+                    self.lines += [("", 0)] * self.window
+        elif tag == "a":
+            self.link = False
+        elif tag != "b":
+            self.end_block()
+
+    def handle_data(self, data):
+        if not self.off:
+            self.text += data
+            self.linked += len(" ".join(data.split())) * self.link
+
+
+def line_blocks(page, window, surge):
+    """Main text of a simple page (nav, div, footer, links, paragraphs) from the definition of surge and dive."""
+    parser = _Blocks(window)
+    parser.feed(page)
+    parser.end_block()
+    lines = parser.lines
+    size = [0 if 2 * n > len(t) else len(t) - n for t, n in lines]
+    ahead = [sum(size[i : i + window]) for i in range(len(size))]
+    least = min(surge, max(ahead, default=0) / 2)
+    kept = set()
+    for i in range(len(lines)):
+        if size[i] and ahead[i] >= least:
+            j = i
+            while j >= 0 and ahead[j] >= least / 8:
+                kept.add(j)
+                j -= 1
+            j = i
+            while j < len(lines) and ahead[j]:
+                kept.add(j)
+                j += 1
+    return "\n".join(lines[i][0] for i in sorted(kept) if size[i])

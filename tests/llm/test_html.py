@@ -1,7 +1,9 @@
 import html
 import re
+import time
 
 from lodeplane.llm.html import extract, main_text, op1_line_block_html
+from tests.llm import brute
 from tests.oracle import SF
 
 LONG = "This paragraph goes on for long enough that nobody could take it for a menu or a footer, and a bit more. "
@@ -54,3 +56,50 @@ def test_query_against_the_articles_blocks(spark):
         article = re.search(r"<article>(.*?)</article>", p.html, re.S)[1]
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in re.split("</?(?:p|h1)>", article))
         assert got[p.page_id].text == "\n".join(x for x in blocks if x) and got[p.page_id].n_chars == len(got[p.page_id].text)
+
+
+def as_divs(page):
+    return re.sub("(</?)article", r"\1div", page)
+
+
+def test_surge_and_dive_against_brute_force_on_all_pages(spark):
+    pages = [as_divs(r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    bare = [re.sub("(</?)(nav|footer)", r"\1div", x).replace(' class="ad"', "") for x in pages]
+    for window, surge in ((3, 80), (1, 80), (3, 10**9), (5, 300), (2, 20)):
+        for page in (*pages, *bare):
+            assert main_text(page, window, surge) == brute.line_blocks(page, window, surge)
+
+
+def test_the_distribution_decides(spark):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    want = {i: main_text(x) for i, x in pages.items()}
+    assert all(main_text(as_divs(x)) == want[i] for i, x in pages.items())  # no article element is needed
+    assert any(main_text(x, 1, 80) != want[i] for i, x in pages.items()) and any(main_text(x, 3, 10**9) != want[i] for i, x in pages.items())
+    page = f"<p>intro</p><hr><div>short</div><div></div><aside>{LONG}</aside><div><p>{LONG}<p>{LONG}</div><footer>x</footer><p>tail"
+    assert main_text(page) == f"{LONG.strip()}\n{LONG.strip()}" and main_text(page, surge=4) == f"intro\nshort\n{LONG.strip()}\n{LONG.strip()}\ntail"
+
+
+def test_text_outside_the_article_counts_less():
+    other = "A line of some eighty characters or more that isn't in the article, but stands beside it."
+    assert main_text(f"<div>{other}</div><article><p>{LONG}</p></article>") == LONG.strip()
+    assert main_text(f"<div>{LONG * 9}</div><article><p>{LONG}</p></article>").count("\n") == 1
+
+
+def test_compound_names():
+    for name, kept in (("alert-history", True), ("layout-with-sidebar", True), ("comments", False), ("comment-list", False), ("siteFooter", False), ("ads-by-us", False), ("related-posts", False)):
+        assert (main_text(f'<article><p>{LONG}</p><section class="{name}">History of it</section><p>Last</p></article>') == f"{LONG.strip()}\nHistory of it\nLast") is kept, name
+
+
+def test_markup_of_any_size():
+    long = "A" * 3000
+    assert main_text(f'<article><p>one <img alt="{long}>LEAK<b">two</p></article>') == "one two"
+    assert main_text("<article><p " + 'a="x>LEAK" ' * 3000 + ">text</p></article>") == "text"
+    assert main_text("<article><p title=it's>a</p><p b = 'c>d'>e</p></article>") == "a\ne"
+    assert main_text(f'<div><img aria-hidden="true"><p hidden>no<p>{LONG}</div>') == LONG.strip()
+    assert main_text("<p>a &am<b>p;</b> b") == "a &amp; b"
+    for part in ("<title>", "<script>", "<a b='", "<!--", '<p hidden a="', "<div class=ad>", "</p", "<p =' "):
+        start = time.monotonic()
+        main_text(part * 20_000)
+        small = time.monotonic() - start
+        main_text(part * 160_000)
+        assert time.monotonic() - start < 30 * max(small, 0.1)

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from lodeplane.llm.pii import KINDS, base_spans, entity_contexts, find_personal_data, luhn, op10_disclosure_sanitisation, without_personal_data
+from lodeplane.llm.pii import KINDS, SECRET, TERM, base_spans, entity_contexts, find_personal_data, luhn, op10_disclosure_sanitisation, without_personal_data
 from tests.llm import brute
 from tests.oracle import SF
 
@@ -31,7 +31,7 @@ def test_disclosing_terms_are_found_and_generalised(spark, make):
     docs = [(i, t) for i, t in people() if i != 100]
     found = {r.doc_id: r.spans for r in find_personal_data(make(docs)).collect()}
     for i, text in docs:
-        terms = {text[s.start : s.end] for s in found[i] if s.kind == 4}
+        terms = {text[s.start : s.end] for s in found[i] if s.kind == TERM}
         assert terms == ({"Zebulon", "writes", "about", "from", "things"} if (text or "").find("@") > 0 else set()), (i, terms)
     clean = {r.doc_id: r for r in without_personal_data(make(docs)).collect()}
     assert "ann@" not in clean[0].text and "[EMAIL]" in clean[0].text and "Zebulon" not in clean[0].text and "river" in clean[0].text + clean[10].text
@@ -44,19 +44,72 @@ def test_information_share(spark, make):
     p = 4 / len(docs)
     share = (math.log(4 / 5) - math.log(p)) / -math.log(p)
     assert 0.9 <= share < 0.95
-    terms = lambda x: {r.doc_id for r in find_personal_data(make(docs), threshold=x).collect() if any(s.kind == 4 and s.start > 0 and r.text[s.start : s.end] == "Zebulon" or s.kind == 4 and s.start == 0 for s in r.spans)}
+    terms = lambda x: {r.doc_id for r in find_personal_data(make(docs), threshold=x).collect() if any(s.kind == TERM and s.start > 0 and r.text[s.start : s.end] == "Zebulon" or s.kind == TERM and s.start == 0 for s in r.spans)}
     assert 100 in terms(0.9) and 100 not in terms(0.95)
 
 
 def test_copies_are_one_context(spark, make):
     rows = [(i, "Yorick holds the line bob@example.com as ever") for i in range(30)] + [(50 + i, f"plain words number {i}") for i in range(20)]
-    assert all(s.kind != 4 for r in find_personal_data(make(rows)).collect() for s in r.spans)
+    assert all(s.kind < SECRET for r in find_personal_data(make(rows)).collect() for s in r.spans)
 
 
-def test_blocks_give_the_same(spark, make):
-    docs = people()
-    one, many = ({r.doc_id: r.spans for r in find_personal_data(make(docs), block_terms=n).collect()} for n in (1000, 2))
-    assert one == many
+def test_terms_by_join_give_the_same(spark, make):
+    docs = [*people(), *keys()]
+    for rewrite in (False, True):
+        sent, joined = ({r.doc_id: (r.text, r.spans) for r in find_personal_data(make(docs), rewrite, broadcast_terms=n).collect()} for n in (1000, 0))
+        assert sent == joined and len(sent) == len(docs)
+
+
+def keys(n=12):
+    """A word before random keys, the same kind of value without it, and words with a date."""
+    draw = random.Random(4)
+    key = lambda: "".join(draw.choices("0123456789abcdef", k=40))
+    fill = lambda: " ".join(draw.choices(["lamp", "chair", "table", "floor", "ceiling", "door", "wall"], k=9))
+    cued = [(200 + i, f'{fill()} x{i} apikey = "{key()}" {fill()}') for i in range(n)]
+    return [*cued, (300, f"{fill()} commit {key()} {fill()}"), (301, f"{fill()} a-day-in-the-city-2024-10-02-and-on {fill()}"), *[(400 + i, fill()) for i in range(40)]]
+
+
+def test_a_disclosing_word_shows_which_values_are_secrets(spark, make):
+    docs = keys()
+    clean = {r.doc_id: r for r in find_personal_data(make(docs), rewrite=True).collect()}
+    for i, text in docs:
+        kinds = sorted(s.kind for s in clean[i].spans)
+        if i < 300:
+            assert kinds == [SECRET, TERM] and '"[SECRET]"' in clean[i].text and "apikey" not in clean[i].text
+        else:
+            assert kinds == [] and clean[i].text == text
+
+
+def test_groups_of_entities_are_disclosed(spark, make):
+    """No address stands often, but the domain does: the company's name gives it away. remove_at decides what happens to it."""
+    draw = random.Random(9)
+    fill = lambda: " ".join(draw.choices(["lamp", "chair", "table", "floor", "ceiling", "door"], k=8))
+    docs = [(i, f"{fill()} {draw.random():.9f} Quibblex p{i}@quib.example.com {fill()}") for i in range(8)] + [(50 + i, fill()) for i in range(60)]
+    found = terms_by_doc(make, docs)
+    assert all("Quibblex" in found[i] for i in range(8))
+    gone = find_personal_data(make(docs), rewrite=True).filter("doc_id = 1").first().text
+    kept = find_personal_data(make(docs), rewrite=True, remove_at=1.5).filter("doc_id = 1").first().text
+    assert "[TERM]" not in gone and "[TERM]" in kept and "Quibblex" not in gone + kept
+
+
+def test_chance_is_not_disclosure(spark, make):
+    """Addresses stand everywhere, and so a rare word always stands near one."""
+    docs = [(i, " ".join(f"w{i}q{j} p{i}x{j}@a.example.com odd and" if j % 3 else f"p{i}z{j}@a.example.com and" for j in range(6))) for i in range(4)]
+    assert "odd" not in set().union(*terms_by_doc(make, docs).values())
+
+
+def test_against_brute_force_on_a_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    want = brute.personal_data({r.doc_id: r.text or "" for r in docs.collect()})
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in find_personal_data(docs).collect()}
+    assert got == want
+    assert sum(k == TERM for x in got.values() for _, k, _ in x) > 5 and sum(k == SECRET for x in got.values() for _, k, _ in x) > 5
+
+
+def test_a_long_text_and_clashing_columns(spark, make):
+    long = " ".join(f"word{i % 977}" for i in range(1_200_000)) + " mail ann@example.com"
+    out = {r.doc_id: r for r in without_personal_data(make([(1, long), (2, ""), (3, None), *keys()])).collect()}
+    assert out[1].text.endswith("[EMAIL]") and out[1].spans == "s" and out[2].text == "" and out[3].text is None
 
 
 def test_empty(spark, make):
@@ -76,7 +129,7 @@ def test_query(spark):
 
 
 def terms_by_doc(make, docs):
-    return {r.doc_id: {r.text[s.start : s.end] for s in r.spans if s.kind == 4} for r in find_personal_data(make(docs)).collect()}
+    return {r.doc_id: {r.text[s.start : s.end] for s in r.spans if s.kind == TERM} for r in find_personal_data(make(docs)).collect()}
 
 
 def plain(n=30):
