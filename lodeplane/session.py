@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,7 @@ def local_session(app: str = "lodeplane", cores: str = "8", partitions: int = 8)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where none is set (tests, local runs)."""
+    """The folder named in spark.checkpoint.dir, which driver and executors share; one of our own only where none is set and the master is local."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -34,11 +35,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="spark-")
     spark.sparkContext.setCheckpointDir(own)
     return own
 
 
+#: Folders of tables that this process has stored.
+_stored: list[str] = []
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """df as a Parquet table in the shared checkpoint folder, read again: a fixed table that later jobs can scan twice and that outlives executors."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/lodeplane-{what}-{uuid.uuid4().hex}"
+    _stored.append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that this process has stored so far; call it when no result that reads them is needed any more."""
+    n = 0
+    while _stored:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there; survives lost executors."""
     checkpoint_dir(df.sparkSession)

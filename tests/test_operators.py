@@ -2,13 +2,14 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lodeplane.functions import text as T
 from lodeplane.functions.geo import ORIGIN_LAT, ORIGIN_LON, area, inside, projected
 from lodeplane.operators import quality as Q
-from lodeplane.operators.graph import connected_components
+from lodeplane.operators.graph import connected_components, stars
 from lodeplane.operators.history import incremental_merge, lifecycle, scd2_apply, stable_ids
 from lodeplane.operators.linkage import entities, jaccard_pairs
 from lodeplane.operators.relational import any_join, latest_by, mode_by, newest_by, numbered, or_join, range_lookup, two_pass_lookup
@@ -98,8 +99,8 @@ def test_components_do_not_depend_on_order(spark):
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
     tied = {x for a, b in edges if a != b for x in (a, b)}
-    for order in (edges, edges[::-1]):
-        got = {r.node: r.component for r in connected_components(spark.createDataFrame([*order, (None, 3)], "u long, v long")).collect()}
+    for order, kind in ((edges, "long"), (edges[::-1], "int"), (edges[::-1], "double")):
+        got = {r.node: r.component for r in connected_components(spark.createDataFrame([*order, (None, 3)], "u long, v long").selectExpr(f"CAST(u AS {kind}) AS u", f"CAST(v AS {kind}) AS v")).collect()}
         assert got == {x: find(x) for x in tied}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
@@ -250,3 +251,16 @@ def test_a_stream_in_batches_equals_one_batch(spark, tmp_path):
 
     drain(windowed_counts(event_stream(spark, str(tmp_path / "in"), "*.parquet", rows.schema, 2), late="10 days"), keep, str(tmp_path / "state"), "update")
     assert got == {(r.start, r.event_type): (r.n, r.total) for r in windowed_counts(rows).collect()}
+
+
+def test_stars_keep_components():
+    random.seed(6)
+    for n in (1, 3, 30, 400):
+        u, v = (np.array([random.randrange(n) * 10 for _ in range(n)]) for _ in range(2))
+        root = {x: x for x in (*u.tolist(), *v.tolist())}
+        for _ in range(n):
+            for a, b in zip(u.tolist(), v.tolist(), strict=True):
+                root[a] = root[b] = min(root[a], root[b])
+        assert dict(zip(*(x.tolist() for x in stars(u, v)), strict=True)) == {x: r for x, r in root.items() if x != r}
+    path = np.arange(5000)
+    assert stars(path[1:], path[:-1])[1].max() == 0
