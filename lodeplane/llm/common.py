@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.session import checkpoint_dir
+from lodeplane.session import stored as stored  # one way to fix a table
 
 #: Rows, and bytes of text, that a worker takes up at once. A longer text is taken up alone.
 PIECE_ROWS, PIECE_BYTES = 256, 2 << 20
@@ -35,14 +34,6 @@ def pieces(batches: Iterable[pa.RecordBatch], text: int | str = 0, rows: int = P
             at = end
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """df as a Parquet table in the shared checkpoint folder, read again: a fixed table that later jobs can scan twice."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/lodeplane-{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n+1 offsets of its rows (nulls are empty), without copies where Arrow allows."""
     column = column.fill_null("") if column.null_count else column

@@ -3,10 +3,14 @@
 1. Each text's set of word n-grams is hashed; texts with the same set are one class (exact copies and the like), kept once.
 2. Bands of MinHash rows, counts chosen for the target recall at the threshold, are shuffled; classes that share a band are tied
    to the least class of that band, and the ties' connected components hold all candidate pairs.
-3. A component is cut into blocks of a few hundred classes; pairs of blocks that share a band are compared in one task each, on
-   the whole n-gram sets, so that neither a large component nor a hot band meets in one task and no pair becomes a row. A task
-   returns each class's number of links and a spanning forest of them.
+3. Classes are ordered by component, then by the least of the bands that they share, so that classes alike stand together, and cut into
+   blocks of bounded size. Pairs of blocks that share a band are compared in one task each, on the whole n-gram sets, so that neither a
+   large component nor a hot band meets in one task and no pair becomes a row. Within a task only classes that bands tie are compared. A
+   task returns each class's number of links and a spanning forest of them.
 4. Components of the forests are the groups.
+
+A component of one block is compared once. In a larger one a block goes to each block that it shares a band with: n classes in one band
+are sent n / 2048 times at most, as all of them must be compared with each other.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodeplane.llm.common import shield, pieces, stored, table
@@ -25,10 +29,12 @@ from lodeplane.llm.words import mixed, shingles, words
 from lodeplane.operators.graph import connected_components
 
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9995, 160
-#: Classes in a block.
-BLOCK = 128
+#: Size of a block in n-grams; a class counts LEAST_GRAMS at least, so that a block has 2048 classes at most.
+BLOCK_GRAMS, LEAST_GRAMS = 1 << 20, 1 << 9
+#: Classes whose keys are sent to the tasks as a whole (24 bytes each), for picking their texts.
+BROADCAST_KEYS = 1_000_000
 #: Columns of the matrices that a task multiplies at once.
-COLUMNS = 4096
+COLUMNS = 2048
 
 
 def bands_for(threshold: float, recall: float, max_hashes: int) -> tuple[int, int]:
@@ -102,6 +108,44 @@ def shingles_of_rows(rows: np.ndarray, salt: np.ndarray) -> np.ndarray:
     return key
 
 
+def tied_parts(bands: np.ndarray) -> list[np.ndarray]:
+    """Places of the classes (rows of band keys) that bands tie together, in parts of at least two."""
+    n, width = bands.shape
+    root = np.arange(n)
+    flat = bands.ravel()
+    order = np.argsort(flat, kind="stable")
+    owner = np.repeat(root, width)[order]
+    new = np.ones(n * width, bool)
+    new[1:] = flat[order][1:] != flat[order][:-1]
+    first = owner[np.flatnonzero(new)][np.cumsum(new) - 1]  # of each key, its first class
+    while True:  # the least place of each part spreads over the ties
+        before = root.copy()
+        low = np.minimum(root[owner], root[first])
+        np.minimum.at(root, owner, low)
+        np.minimum.at(root, first, low)
+        root = root[root]
+        if (root == before).all():
+            break
+    by_root = np.argsort(root, kind="stable")
+    cuts = np.flatnonzero(np.diff(root[by_root])) + 1
+    return [x for x in np.split(by_root, cuts) if len(x) > 1]
+
+
+def links_in_blocks(side: np.ndarray, across: bool, keys: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (places) with a band in common whose sets are alike: of side 0 with side 1 if across, else all; part by part."""
+    found = []
+    for part in tied_parts(keys) if len(keys) else []:
+        left, right = part[side[part] == 0], part[side[part] == 1]
+        if len(left) and (len(right) or not across):
+            own = {p: i for i, p in enumerate(part.tolist())}
+            place = lambda x: [own[p] for p in x.tolist()]  # noqa: E731, B023
+            a, b = links_in_block(place(left), place(right) if across else None, keys[part], [sets[p] for p in part.tolist()], threshold)
+            found.append((part[a], part[b]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
 def links_in_block(left: list[int], right: list[int] | None, keys: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (places) with a band in common whose sets are alike: within left, or of left with right."""
     rows, cols = np.array(left), np.array(left if right is None else right)
@@ -153,7 +197,28 @@ def forest(n: int, pairs: Iterator[tuple[int, int]]) -> list[int]:
     return [find(x) for x in range(n)]
 
 
-def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def in_blocks(members: DataFrame, block_grams: int) -> DataFrame:
+    """members (component, near, class, n_grams) plus block: the order by component, near and class, cut where sizes reach block_grams.
+
+    Rows are dealt by range, so that a large component spreads over tasks; a partition's sizes begin with those of the partitions before it.
+    """
+    order = ["component", "near", "class"]
+    dealt = members.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    dealt = stored(dealt.withColumn("_size", F.greatest("n_grams", F.lit(LEAST_GRAMS)).cast("long")), "ordered")
+    before, total = [], 0
+    for part, size in sorted(map(tuple, dealt.groupBy("_part").agg(F.sum("_size")).collect())):  # a row a partition
+        before.append((part, total))
+        total += size
+    starts = members.sparkSession.createDataFrame(before, "_part int, _before long")
+    upto = F.sum("_size").over(Window.partitionBy("_part").orderBy(*order)) - F.col("_size")
+    block = F.floor((F.col("_before") + upto) / block_grams).cast("long")
+    return dealt.join(F.broadcast(starts), "_part").withColumn("block", block).drop("_part", "_size", "_before")
+
+
+def near_duplicates(
+    docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES,
+    block_grams: int = BLOCK_GRAMS, broadcast_keys: int = BROADCAST_KEYS,
+) -> tuple[DataFrame, DataFrame]:
     """(rows, classes) for docs (doc_id, text).
 
     rows: doc_id, text_key (a hash of the text; null as empty), set_key, n_grams for each row of docs. classes: set_key, first_id and first_key (its
@@ -164,42 +229,49 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
     signed = stored(signatures(source, bands, rows, n), "signatures")
     least = F.min(F.struct("doc_id", "text_key")).alias("least")
-    classes = signed.filter("n_grams > 0").groupBy("set_key").agg(least, F.count("*").alias("n_rows"), F.any_value("bands").alias("bands"))
-    classes = stored(classes.select("set_key", "least.doc_id", "least.text_key", "n_rows", "bands", F.monotonically_increasing_id().alias("class")), "classes")
+    grouped = signed.filter("n_grams > 0").groupBy("set_key").agg(least, F.count("*").alias("n_rows"), F.any_value("bands").alias("bands"), F.any_value("n_grams").alias("n_grams"))
+    numbered = grouped.select("set_key", "least.doc_id", "least.text_key", "n_rows", "n_grams", "bands", F.monotonically_increasing_id().alias("class"))
+    classes = stored(numbered, "classes")
 
     banded = classes.select("class", F.explode("bands").alias("band"))
     shared = stored(banded.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("hub")).filter("n > 1").drop("n"), "bands")
     ties = stored(banded.join(shared, "band"), "ties")
-    component = connected_components(ties.select(F.col("class").alias("u"), F.col("hub").alias("v")))
-    sizes = component.groupBy("component").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    place = component.join(sizes, "component").select(F.col("node").alias("class"), "component", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "blocks")
-    place = stored(place, "places")
-
-    whole = place.filter("blocks = 1").select("class", "component", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    met = ties.join(place.filter("blocks > 1"), "class").select("band", "component", "block").distinct()
-    pairs = met.alias("x").join(met.alias("y"), ["band", "component"]).filter("x.block <= y.block").select("component", F.col("x.block").alias("i"), F.col("y.block").alias("j")).distinct()
-    sides = pairs.select("component", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side")).union(pairs.filter("i < j").select("component", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side")))
-    cut = place.filter("blocks > 1").join(sides, ["component", "block"]).select("class", "component", "i", "j", "side")
-
-    wanted = classes.join(place.select("class"), "class", "left_semi").select("class", F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "n_rows", "bands")
-    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).select("class", "n_rows", "bands", "text")
+    component = connected_components(ties.select(F.col("class").alias("u"), F.col("hub").alias("v"))).withColumnRenamed("node", "class")
+    near = ties.groupBy("class").agg(F.min("band").alias("near"))
+    members = component.join(near, "class").join(classes.select("class", "n_grams"), "class")
+    place = stored(in_blocks(members, block_grams), "places")
+
+    # components of one block are compared at once, the blocks of others in the pairs that share a band
+    extent = place.groupBy("component").agg(F.min("block").alias("low"), F.max("block").alias("high"))
+    spread = extent.filter("low < high").select("component")
+    large, small, zero = place.join(spread, "component", "left_semi"), place.join(spread, "component", "left_anti"), F.lit(0).cast("long")
+    whole = small.select("class", "component", zero.alias("i"), zero.alias("j"), F.lit(0).alias("side"))
+    met = ties.join(large.select("class", "component", "block"), "class").select("band", "component", "block").distinct()
+    x, y = met.alias("x"), met.alias("y")
+    pairs = x.join(y, ["band", "component"]).filter("x.block <= y.block").select("component", F.col("x.block").alias("i"), F.col("y.block").alias("j")).distinct()
+    first = pairs.select("component", "i", "j", F.col("i").alias("block"), F.lit(0).alias("side"))
+    second = pairs.filter("i < j").select("component", "i", "j", F.col("j").alias("block"), F.lit(1).alias("side"))
+    cut = large.join(first.union(second), ["component", "block"]).select("class", "component", "i", "j", "side")
+
+    wanted = classes.join(place.select("class"), "class", "left_semi").select("class", F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    if wanted.count() <= broadcast_keys:
+        wanted = F.broadcast(wanted)
+    texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).select("class", "text")
     if not repeated_rows(signed).isEmpty():
         texts = texts.dropDuplicates(["class"])  # rows that are the same in id and text too: one a task before the shuffle
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 3):
-            sets = [s.astype("<u8").tobytes() for s in ngram_sets(batch.column(3), n)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], names=["class", "n_rows", "bands", "grams"])
+        for batch in pieces(batches, 1):
+            sets = [s.astype("<u8").tobytes() for s in ngram_sets(batch.column(1), n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["class", "grams"])
 
-    sets = texts.mapInArrow(with_sets, "class long, n_rows long, bands array<long>, grams binary")
-    compared = whole.union(cut).join(sets, "class")
+    sets = texts.mapInArrow(with_sets, "class long, grams binary")
+    compared = whole.union(cut).join(sets, "class").join(classes.select("class", "n_rows", "bands"), "class")
 
     def compare(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
         own, count, side = members["class"].to_numpy(), members["n_rows"].to_numpy(), members["side"].to_numpy()
         grams = [np.frombuffer(x, "<u8") for x in members["grams"]]
-        bands_of = np.stack(members["bands"].to_list())
-        left, right = np.flatnonzero(side == 0).tolist(), np.flatnonzero(side == 1).tolist()
-        a, b = links_in_block(left, right if key[1] < key[2] else None, bands_of, grams, threshold) if len(left) and (len(right) or key[1] == key[2]) else (np.zeros(0, np.int64),) * 2
+        a, b = links_in_blocks(side, key[1] < key[2], np.stack(members["bands"].to_list()), grams, threshold)
         links = np.bincount(a, count[b], len(own)) + np.bincount(b, count[a], len(own))
         root = np.array(forest(len(own), zip(a.tolist(), b.tolist(), strict=True)))
         some = np.flatnonzero(links)

@@ -1,8 +1,9 @@
 import collections
 import random
 
+import numpy as np
 import pytest
-from lodeplane.llm.ngram_join import bands_for, forest, one_of_each, op3_minhash_ngram_join, with_groups
+from lodeplane.llm.ngram_join import LEAST_GRAMS, bands_for, forest, one_of_each, op3_minhash_ngram_join, tied_parts, with_groups
 from tests.llm.brute import jaccard_groups
 from tests.oracle import SF
 
@@ -37,7 +38,7 @@ def check(docs, got):
 def test_against_all_pairs_with_blocks(spark, make):
     texts = variants(90) + variants(30, 40, 2) + ["same text here"] * 25 + ["a b", "a  B", "one", None, "", "!!", "..."]
     docs = list(enumerate(texts))
-    check(docs, with_groups(make(docs).repartition(3), block=16).collect())
+    check(docs, with_groups(make(docs).repartition(3), block_grams=16 * LEAST_GRAMS, broadcast_keys=0).collect())
     check(docs, with_groups(make(docs)).collect())
 
 
@@ -58,3 +59,43 @@ def test_empty(spark, make):
 def test_query(spark):
     docs = [(d.doc_id, d.text) for d in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     check(docs, op3_minhash_ngram_join(spark, SF).collect())
+
+
+def test_one_large_group_of_different_texts_in_blocks(spark, make):
+    """Each text is near all others; a block goes to every other one."""
+    docs = list(enumerate(variants(700, 200, 5) + variants(40, 200, 6)))
+    got = with_groups(make(docs), block_grams=128 * LEAST_GRAMS).collect()
+    assert {(r.class_id, r.n_links) for r in got} == {(0, 699), (700, 39)}
+
+
+def test_tied_parts_against_brute_force():
+    random.seed(2)
+    for n in (1, 2, 5, 40):
+        keys = np.array([[random.randrange(3 * n) * 4 + j for j in range(4)] for _ in range(n)])
+        part = list(range(n))
+        for _ in range(n):
+            for a in range(n):
+                for b in range(n):
+                    if (keys[a] == keys[b]).any():
+                        part[a] = part[b] = min(part[a], part[b])
+        want = collections.defaultdict(list)
+        for i, x in enumerate(part):
+            want[x].append(i)
+        assert sorted(map(sorted, (x.tolist() for x in tied_parts(keys)))) == sorted(x for x in want.values() if len(x) > 1)
+
+
+def test_recall_by_similarity(spark, make):
+    """Of pairs by similarity, those from the threshold on are found, none below it."""
+    random.seed(7)
+    docs = []
+    for i in range(60):
+        base = [f"b{i}x{j}" for j in range(100)]
+        start = random.randrange(2, 40)
+        docs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:-start] + [f"c{i}x{j}" for j in range(start)]))]
+    check(docs, with_groups(make(docs)).collect())
+
+
+def test_a_long_text(spark, make):
+    long = " ".join(f"v{i * 7919 % 1000003}" for i in range(600_000))
+    got = {r.doc_id: (r.class_id, r.n_links) for r in with_groups(make([(1, long), (2, long + " and more"), (3, "short one")])).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
