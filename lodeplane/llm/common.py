@@ -14,6 +14,8 @@ from lodeplane.session import stored as stored  # one way to fix a table
 
 #: Rows, and bytes of text, that a worker takes up at once. A longer text is taken up alone.
 PIECE_ROWS, PIECE_BYTES = 256, 2 << 20
+#: Bits of a hash that a first filter looks at: a table of 4 MB.
+FILTER_BITS = 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,3 +58,16 @@ def shield(df: DataFrame, *keep: str) -> tuple[DataFrame, Callable[[DataFrame],
         df.select(*[F.col(f"`{c}`").alias(x) for c, x in inner.items()]),
         lambda out: out.select(*[F.col(x).alias(c) for c, x in inner.items()]),
     )
+
+
+def first_filter(hashes: DataFrame, column: str) -> np.ndarray:
+    """A bit for each value of the upper FILTER_BITS bits of a 64-bit hash: whether one begins so. At most 2**FILTER_BITS rows come here."""
+    rows = hashes.select(F.shiftrightunsigned(column, 64 - FILTER_BITS).cast("int").alias("x")).distinct().toPandas()
+    out = np.zeros(1 << FILTER_BITS, bool)
+    out[rows["x"].to_numpy()] = True
+    return out
+
+
+def passing(seen: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places of the hashes that pass the filter."""
+    return np.flatnonzero(seen[keys >> np.uint64(64 - FILTER_BITS)])

@@ -6,14 +6,15 @@ rarest shingle, by counts over all documents. Documents are probed for those tok
 token at place p of a window is kept if p words stand before and enough after it in the same document (length and
 positional bounds), and is verified on all words of the window, by their bytes.
 
-The benchmark is taken in blocks of bounded size, each a broadcast of its own; one scan of the documents counts and
-one probes each block.
+One scan of the documents counts tokens and one probes for them, however large the benchmark. The index of a benchmark of at most
+BLOCK_BYTES is sent to the tasks as a whole. A larger one's windows stay a table: tokens are counted and prefixes chosen by joins, documents
+send the words around the tokens that pass a filter of fixed size, and these meet the index in a join by token.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,15 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import shield, pieces, table
+from lodeplane.llm.common import first_filter, passing, pieces, shield, stored, table
 from lodeplane.llm.words import Filter, in_sorted, shingles, words
 
 WINDOW = 10
 #: Words of a shingle, the token of the join.
 TOKEN = 3
-#: UTF-8 bytes of benchmark texts in one block: its windows, a few hundred bytes each, then take some tens of MB.
+#: UTF-8 bytes of benchmark texts whose index is sent as a whole: its windows, a few hundred bytes each, then take some tens of MB.
 BLOCK_BYTES = 2_000_000
 
+_SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
 
 @dataclass
 class Block:
@@ -63,19 +66,6 @@ def block_of(items: list[tuple[str | None, str]], size: int) -> Block:
     return block
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, size: int, block_bytes: int) -> Iterator[Block]:
-    """Blocks of at most block_bytes of text (an item longer than that is a block of its own), one at a time on the driver."""
-    held, taken = [], 0
-    for item, text in benchmark.select(F.col(item_col).cast("string"), F.coalesce(text_col, F.lit(""))).toLocalIterator():
-        if held and taken + len(text.encode()) > block_bytes:
-            yield block_of(held, size)
-            held, taken = [], 0
-        held.append((item, text))
-        taken += len(text.encode())
-    if held:
-        yield block_of(held, size)
-
-
 def counted(docs: DataFrame, block: Block) -> dict[int, dict[int, int]]:
     """How often the block's shingles of each size occur in all documents; summed in each task before the shuffle."""
     tokens = {n: t for n in range(1, TOKEN + 1) if len(t := block.tokens(n))}
@@ -140,7 +130,7 @@ def probe(docs: DataFrame, block: Block, index: dict) -> DataFrame:
                 [
                     *batch.columns,
                     pa.array(np.diff(w.first)),
-                    pa.array([[{"a": a, "b": b} for a, b in x] for x in merged], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
+                    pa.array([[{"a": a, "b": b} for a, b in x] for x in merged], _SPANS),
                     pa.array([sorted(x, key=lambda y: (y is not None, y)) for x in items], pa.list_(pa.string())),
                 ],
                 names=[*out, "n_words", "spans", "items"],
@@ -160,38 +150,125 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def item_shingles(items: DataFrame, size: int) -> DataFrame:
+    """Rows (row, place, token) of the shingles of items (row, text), of the size that their windows are indexed by."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1):
+            w, ids = words(batch.column(1)), batch.column(0).to_numpy()
+            parts = []
+            for row, a, b in zip(ids.tolist(), w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
+                own = shingles(w.key[a:b], min(size, b - a, TOKEN)) if b > a else np.zeros(0, np.uint64)
+                parts.append((np.full(len(own), row), np.arange(len(own)), own.view(np.int64)))
+            cols = [np.concatenate([x[i] for x in parts]) if parts else np.zeros(0, np.int64) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["row", "place", "token"])
+
+    return items.select("row", "text").mapInArrow(run, "row long, place long, token long")
+
+
+def tokens_in(docs: DataFrame, seen: np.ndarray, sizes: Sequence[int]) -> DataFrame:
+    """Rows (token, times): how often the shingles of these sizes that pass the filter occur in all documents; summed in tasks first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            w = words(batch.column(0))
+            for n in sizes:
+                grams = shingles(w.key, n)
+                token, times = np.unique(grams[passing(seen, grams)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(times)], names=["token", "times"])
+
+    return docs.select("text").mapInArrow(run, "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
+
+
+def window_index(items: DataFrame, counts: DataFrame, size: int) -> DataFrame:
+    """Rows (token, before, n, window, item): each window of items (row, item, text) by its rarest shingle, `before` of its words before that.
+
+    Windows one of whose shingles no document has are left out.
+    """
+    counted_shingles = item_shingles(items, size).join(counts, "token", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("place", F.coalesce("times", F.lit(0)).alias("times"), "token")))
+    by_item = items.join(counted_shingles.groupBy("row").agg(ordered.alias("shingles")), "row")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1):
+            w, rows = words(batch.column(1)), []
+            for i, (item, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                a, b = int(w.first[i]), int(w.first[i + 1])
+                n = min(size, b - a)
+                ranked = [(x["times"], x["token"] & ((1 << 64) - 1), x["place"]) for x in own]
+                for at in range(b - a - n + 1):
+                    times, token, place = min(ranked[at : at + n - min(n, TOKEN) + 1])
+                    if times:
+                        rows.append((token - (token >> 63 << 64), place - at, n, w.text(a + at, a + at + n), item))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], names=["token", "before", "n", "window", "item"])
+
+    return by_item.select("item", "text", "shingles").mapInArrow(run, "token long, before int, n int, window binary, item string")
+
+
+def around_tokens(docs: DataFrame, seen: np.ndarray, sizes: Sequence[int], reach: int) -> DataFrame:
+    """Rows (row, token, at, lead, ends, around) of tokens of docs (row, text) that pass the filter: the words around word `at`, `lead` of
+    them before it, lower-cased and joined by blanks, and where each ends in these bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1):
+            w, ids, rows = words(batch.column(1)), batch.column(0).to_pylist(), []
+            for n in sizes:
+                grams = shingles(w.key, n)
+                place = passing(seen, grams)
+                row = np.searchsorted(w.first, place, side="right") - 1
+                for i, r, token in zip(place.tolist(), row.tolist(), grams[place].view(np.int64).tolist(), strict=True):
+                    first, last = int(w.first[r]), int(w.first[r + 1])
+                    a, b = max(first, i - reach), min(last, i + reach)
+                    ends = np.cumsum(w.end[a:b] - w.start[a:b] + 1) - 1
+                    rows.append((ids[r], token, i - first, i - a, ends.tolist(), w.text(a, b)))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], names=["row", "token", "at", "lead", "ends", "around"])
+
+    return docs.select("row", "text").mapInArrow(run, "row long, token long, at long, lead int, ends array<int>, around binary")
+
+
+def find_by_join(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
+    """find_windows for a benchmark (item, text) of any size."""
+    items = stored(benchmark.withColumn("row", F.monotonically_increasing_id()), "items")
+    sizes = list(range(1, min(size, TOKEN) + 1))
+    counts = tokens_in(docs, first_filter(item_shingles(items, size), "token"), sizes)
+    index = stored(window_index(items, counts, size), "windows")
+    names = docs.columns
+    keyed = stored(docs.withColumn("row", F.monotonically_increasing_id()), "documents")  # stored: numbers must not change
+    near = around_tokens(keyed, first_filter(index, "token"), sizes, size)
+    first, last = F.col("lead") - F.col("before"), F.col("lead") - F.col("before") + F.col("n")
+    begin = F.when(first > 0, F.get("ends", first - 1) + 1).otherwise(0)
+    there = (first >= 0) & (last <= F.size("ends"))
+    same = F.substring("around", begin + 1, F.get("ends", last - 1) - begin) == F.col("window")
+    a = F.col("at") - F.col("before")
+    found = near.join(index, "token").filter(there).filter(same).select("row", F.struct(a.alias("a"), (a + F.col("n")).alias("b")).alias("span"), F.struct("item").alias("i"))
+    by_row = found.groupBy("row").agg(F.collect_set("span").alias("_spans"), F.collect_set("i").alias("_items"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            spans = [union([(x["a"], x["b"]) for x in s or ()]) for s in batch.column("_spans").to_pylist()]
+            ids = [sorted((x["item"] for x in i or ()), key=lambda y: (y is not None, y)) for i in batch.column("_items").to_pylist()]
+            out = [pa.array(np.diff(words(batch.column("text")).first)), pa.array([[{"a": a, "b": b} for a, b in x] for x in spans], _SPANS), pa.array(ids, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *out], names=[*names, "n_words", "spans", "items"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return keyed.join(by_row, "row", "left").mapInArrow(run, f"{fields}, n_words long, spans array<struct<a: long, b: long>>, items array<string>")
+
+
 def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs (with a string column `text`) plus n_words, spans (disjoint runs of words hit) and items (ids, as strings).
 
     Null texts have no words. Items without words have no window; a null item id is listed as null. Equal items or windows
-    each count. docs' own columns n_words, spans and items are replaced. An empty benchmark hits nothing.
+    each count. docs' own columns n_words, spans and items are replaced, its other ones must not be named row, _spans or _items if the benchmark
+    is larger than block_bytes. An empty benchmark hits nothing.
     """
     docs = docs.drop("n_words", "spans", "items")
-    probed = []
-    for block in blocks(benchmark, item_col, item_text, size, block_bytes):
-        index = prefixes(block, counted(docs, block))
-        probed.append((block, index))
-    if len(probed) <= 1:
-        return probe(docs, *(probed[0] if probed else (Block(), {})))
-    keyed = docs.withColumn("_row", F.monotonically_increasing_id())
-    first, *others = [probe(keyed, block, index) for block, index in probed]
-    more = others[0].filter("size(spans) > 0").select("_row", "spans", "items")
-    for other in others[1:]:
-        more = more.union(other.filter("size(spans) > 0").select("_row", "spans", "items"))
-    more = more.groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("items")).alias("_items"))
-    none = F.array()
-    both = first.join(more, "_row", "left")
-    spans = F.array_sort(F.concat("spans", F.coalesce("_spans", none.cast("array<struct<a: long, b: long>>"))))
-    step = F.aggregate(
-        spans,
-        none.cast("array<struct<a: long, b: long>>"),
-        lambda out, x: F.when(
-            (F.size(out) > 0) & (x.a <= F.element_at(out, F.lit(-1)).b),
-            F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, F.lit(-1)).a.alias("a"), F.greatest(F.element_at(out, F.lit(-1)).b, x.b).alias("b")))),
-        ).otherwise(F.concat(out, F.array(x))),
-    )
-    items = F.array_sort(F.array_distinct(F.concat("items", F.coalesce("_items", none.cast("array<string>")))))
-    return both.select(*docs.columns, "n_words", step.alias("spans"), items.alias("items"))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(item_text, F.lit("")).alias("text"))
+    if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > block_bytes:
+        return find_by_join(docs, items, size)
+    block = block_of([tuple(r) for r in items.collect()], size)  # at most block_bytes
+    return probe(docs, block, prefixes(block, counted(docs, block)))
 
 
 def clean_of_benchmark(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

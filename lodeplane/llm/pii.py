@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.llm.common import pieces, shield, stored, strings, table, utf8
+from lodeplane.llm.common import FILTER_BITS, first_filter, passing, pieces, shield, stored, strings, table, utf8
 from lodeplane.llm.words import Words, in_sorted, shingles, words
 
 #: Kinds of spans by number; the first four are the base patterns.
@@ -49,8 +49,6 @@ CUE_WORDS = 3
 SECRET_CHARS, SECRET_BITS, SECRET_CHANGES = 20, 3.0, 1 / 8
 #: Disclosing terms (16 bytes each) that are sent to the tasks as a whole.
 BROADCAST_TERMS = 1_000_000
-#: Bits of a term's hash that the first filter looks at: a table of 4 MB.
-FILTER_BITS = 22
 #: Rows that a task holds before it passes them on.
 HELD_ROWS = 1 << 20
 
@@ -232,19 +230,6 @@ def words_around(text: str, at: int, near: int, step: int) -> str:
         reach *= 2
 
 
-def first_filter(terms: DataFrame) -> np.ndarray:
-    """A bit for each value of the upper FILTER_BITS bits of a hash: whether a term begins so. At most 2**FILTER_BITS rows come here."""
-    shift = 64 - FILTER_BITS
-    rows = terms.select(F.shiftrightunsigned("term", shift).cast("int").alias("x")).distinct().toPandas()
-    out = np.zeros(1 << FILTER_BITS, bool)
-    out[rows["x"].to_numpy()] = True
-    return out
-
-
-def passing(seen: np.ndarray, key: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(seen[key >> np.uint64(64 - FILTER_BITS)])
-
-
 def documents_with(docs: DataFrame, seen: np.ndarray) -> DataFrame:
     """Rows (term, n_t): how many documents hold each term that passes the filter. Term 0 counts all documents, term 1 all words."""
 
@@ -288,7 +273,7 @@ def disclosing_terms(docs: DataFrame, support: int = SUPPORT, threshold: float =
     held, beside = F.col("term") == 0, F.col("term") != 0
     entities = by_pair.groupBy("entity").agg(F.sum(F.when(held, F.col("n_et"))).alias("n_e"), F.coalesce(F.sum(F.when(beside, F.col("n_et"))), F.lit(0)).alias("places"))
     pairs = stored(by_pair.filter(beside & (F.col("contexts") >= support)), "pairs")
-    counts = stored(documents_with(docs, first_filter(pairs)), "counts")
+    counts = stored(documents_with(docs, first_filter(pairs, "term")), "counts")
     totals = {r["term"]: r["n_t"] for r in counts.filter("term IN (0, 1)").collect()}
     n_docs, n_words = max(1, totals.get(0, 0)), max(1, totals.get(1, 0))
     # no entity has more information than log n_docs: most pairs need none
@@ -310,7 +295,7 @@ def sorted_terms(rows: list[tuple[int, float, bool]]) -> Terms:
 
 def terms_of_documents(docs: DataFrame, terms: DataFrame, row: str) -> DataFrame:
     """Rows (row, _terms): of the documents (numbered by the column row) that hold terms, these with disclosure and cue."""
-    seen = first_filter(terms)
+    seen = first_filter(terms, "term")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+from pyspark.sql import functions as F
+
 from lodeplane.llm.decontam import clean_of_benchmark, find_windows, op8_benchmark_decontamination
 from lodeplane.llm.queries import ORACLES
 from tests.llm.brute import hits
@@ -30,10 +32,10 @@ def cases():
     return docs, items
 
 
-def test_against_brute_force_in_one_and_many_blocks(spark, make):
+def test_against_brute_force_with_an_index_sent_and_joined(spark, make):
     docs, items = cases()
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for block_bytes in (1_000_000, 120):
+    for block_bytes in (1_000_000, 0):
         against_brute(docs, items, find_windows(make(docs).repartition(3), bench, block_bytes=block_bytes))
 
 
@@ -56,3 +58,24 @@ def test_query(spark):
     got = from_spark(op8_benchmark_decontamination(spark, SF))
     assert got == from_duckdb(ORACLES["op8_benchmark_decontamination"])
     assert any(hashlib.sha256(b"").hexdigest() not in r for r in got[1])
+
+
+def test_rows_keep_their_hits_behind_a_shuffle_and_a_random_column(spark, make):
+    """The parent is dealt anew, coalesced at run time and not deterministic; the benchmark is larger than the index that is sent."""
+    docs, items = cases()
+    bench = spark.createDataFrame(items * 50, "item_id long, text string")
+    parent = make(docs).repartition(40, F.rand()).withColumn("n_chars", F.rand() * 100)
+    against_brute(docs, items, find_windows(parent, bench, block_bytes=1000))
+
+
+def test_whole_table_by_join(spark):
+    docs, bench = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("documents", "benchmark"))
+    sent, joined = ({r.doc_id: (r.n_words, r.spans, r["items"]) for r in find_windows(docs, bench, block_bytes=n).collect()} for n in (10**9, 0))
+    assert sent == joined and any(x[1] for x in sent.values())
+
+
+def test_a_long_text(spark, make):
+    docs = [(1, " ".join(f"v{i}" for i in range(1_500_000))), (2, "v7")]
+    items = [(1, " ".join(f"v{i}" for i in range(900_000, 900_014))), (2, "v1499999")]
+    found = {r.doc_id: ([tuple(s) for s in r.spans], r["items"]) for r in find_windows(make(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == {1: ([(900_000, 900_014), (1_499_999, 1_500_000)], ["1", "2"]), 2: ([], [])}
