@@ -1,5 +1,7 @@
 """The pipeline stage by stage against plain versions, each on its own input."""
 
+import random
+
 import corpus_pipeline
 from lodeplane.llm.common import table
 from lodeplane.llm.langid import identify, train_on_documents
@@ -45,3 +47,33 @@ def test_stages(spark, tmp_path):
         last[r.doc_id] = last.get(r.doc_id, 0) + r.length
     assert all(last[r.doc_id] == r.doc_tokens for r in after)
     assert corpus_pipeline.run(spark, SF).count() == len(after)
+
+
+def run_on(spark, folder, docs, items):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return corpus_pipeline.run(spark, str(folder)).collect()
+
+
+def test_empty_tables(spark, make, tmp_path):
+    assert run_on(spark, tmp_path, make([]), []) == []
+
+
+def test_nulls_repeated_rows_and_clashing_columns(spark, make, tmp_path):
+    words = "the of and to in that it is was for on are with as his they at be this from have or by one had not but what all were".split()
+    text = lambda i: " ".join(random.Random(i).choices(words, k=60)) + f" number{i}"
+    rows = [(i, text(i)) for i in range(40)]
+    rows += [rows[0], rows[0], (100, None), (101, ""), (102, "..."), (None, text(200)), (103, "qxqz zzkq " * 50, None), (104, text(300), None), (105, f"{text(400)} ann@example.com")]
+    item = "these ten words make up one item of the benchmark here"
+    rows.append((106, f"{text(500)} {item} {text(501)}"))
+    pieces = run_on(spark, tmp_path, make(rows), [(1, item), (2, None), (None, "")])
+    ids = [r.doc_id for r in pieces if r.start == 0]
+    kept = {i for i, *_ in rows if i not in (100, 101, 102, 103, 106)}
+    assert set(ids) <= kept and {None, 104, 105} <= set(ids) and len(ids) == len(set(ids))
+
+
+def test_a_long_text(spark, make, tmp_path):
+    base = "the quick brown fox jumps over the lazy dog and runs far away from its old house".split()
+    long = " ".join(base[(i * i) % len(base)] + ("" if i % 3 else str(i)) for i in range(400_000))
+    pieces = run_on(spark, tmp_path, make([(1, long), *((i, " ".join(base[i % 7 :]) + f" w{i}") for i in range(2, 30))]), [(1, "no such item")])
+    assert sum(r.length for r in pieces if r.doc_id == 1) == max(r.doc_tokens for r in pieces) > 400_000
