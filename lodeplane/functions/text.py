@@ -11,6 +11,9 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
 #: Street words and their short forms.
 STREET_WORDS = (("avenue", "av"), ("boulevard", "bd"), ("street", "st"), ("road", "rd"), ("square", "sq"), ("lane", "ln"), ("number", "no"), ("building", "bldg"), ("floor", "fl"), ("apartment", "apt"))
 
+#: Letters and the classes of their sounds, those that don't count last.
+SOUND_CLASSES = ("bfpvcgjkqsxzdtlmnraeiouhwy", "111122222222334556")
+
 
 def deaccent(c: Column) -> Column:
     return F.translate(c, ACCENTED, PLAIN)
@@ -96,10 +99,17 @@ def trigram_similarity(a: Column, b: Column) -> Column:
     return F.coalesce(jaccard(padded_trigrams(a), padded_trigrams(b)), F.lit(0.0))
 
 
+def sound_key(c: Column) -> Column:
+    """How a folded text of two words at most sounds, roughly: each word's first letter and the classes of its later consonants without repeats."""
+    key = F.array_join(F.transform(F.slice(F.split(c, " "), 1, 2), lambda w: F.concat(F.left(w, F.lit(1)), F.translate(F.substring(w, 2, 1_000_000), *SOUND_CLASSES))), " ")
+    for digit in "123456":
+        key = F.regexp_replace(key, f"{digit}+", digit)
+    return key
+
+
 def sounds_alike(a: Column, b: Column) -> Column:
-    """Whether the first words of two names have the same phonetic code (soundex)."""
-    first = lambda c: F.soundex(F.get(F.split(folded(c), " "), F.lit(0)))
-    return first(a) == first(b)
+    """Whether the first two words of two folded names sound alike; empty names don't."""
+    return (a != "") & (b != "") & (sound_key(a) == sound_key(b))
 
 
 def snake_name(name: str) -> str:

@@ -1,4 +1,4 @@
-"""Similarity pairs within blocks, entities from them, and linkage by votes."""
+"""Similarity pairs within blocks, entities from them, and linkage of two tables by votes."""
 
 from __future__ import annotations
 
@@ -7,51 +7,134 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodeplane.functions import text as T
+from lodeplane.functions.geo import distance
 from lodeplane.operators.graph import connected_components
+from lodeplane.operators.spatial import within_distance
 from lodeplane.session import cut_lineage
 
 
+def ranked_elements(base: DataFrame) -> DataFrame:
+    """base (id, block, e: array without repeats) as id, block, n and o: the elements' hashes from rare to frequent in their block."""
+    exploded = base.select("id", "block", F.explode("e").alias("t")).select("id", "block", F.xxhash64("t").alias("t"))
+    counts = cut_lineage(exploded.groupBy("block", "t").agg(F.count("*").alias("n")))
+    ordered = F.array_sort(F.collect_list(F.struct("n", "t")))
+    ranked = exploded.join(counts, ["block", "t"]).groupBy("id", "block").agg(ordered.alias("o"))
+    return ranked.select("id", "block", F.size("o").alias("n"), F.transform("o", lambda x: x["t"]).alias("o"))
+
+
+def prefix_pairs(ranked: DataFrame, length: Column, possible: Column) -> DataFrame:
+    """Pairs (a, b), a < b, of the same block whose prefixes share an element. `length` of o's elements are a prefix.
+
+    `possible` is a condition on the sizes n_a, n_b of the two and the places i, j (from 0) of the shared element: what can't be similar
+    isn't paired.
+    """
+    places = ranked.select("id", "block", "n", F.posexplode(F.slice("o", F.lit(1), length.cast("int"))).alias("i", "t"))
+    left = places.select(F.col("id").alias("a"), "block", F.col("n").alias("n_a"), "i", "t")
+    right = places.select(F.col("id").alias("b"), "block", F.col("n").alias("n_b"), F.col("i").alias("j"), "t")
+    return left.join(right, ["block", "t"]).filter((F.col("a") < F.col("b")) & possible).select("a", "b").distinct()
+
+
 def jaccard_pairs(df: DataFrame, id_col: str, block: str, elements: str, threshold: float) -> DataFrame:
     """Rows (a, b, similarity), a < b, of the same block whose arrays (without repeats) have at least this Jaccard similarity.
 
     Only the necessary prefix of each array is joined: of n elements, ordered from rare to frequent in their block, the first
-    n - ceil(threshold * n) + 1 must hold one that a similar array's prefix also holds. Frequent elements hardly ever stand in a
-    prefix, so that they don't pair all rows of a block; the whole arrays are compared after. Ids are taken to be unique.
+    n - ceil(threshold * n) + 1 must hold one that a similar array's prefix also holds. Sizes and the shared element's places bound the
+    overlap that is left. Frequent elements hardly ever stand in a prefix, so that they don't pair all rows of a block; the whole
+    arrays are compared after. Ids are taken to be unique.
     """
     base = df.select(F.col(id_col).alias("id"), F.col(block).alias("block"), F.col(elements).alias("e")).filter(F.size("e") > 0)
-    exploded = base.select("id", "block", F.explode("e").alias("t"))
-    counts = cut_lineage(exploded.groupBy("block", "t").agg(F.count("*").alias("n")))
-    ordered = F.array_sort(F.collect_list(F.struct("n", F.xxhash64("t").alias("h"), "t")))
-    ranked = exploded.join(counts, ["block", "t"]).groupBy("id", "block").agg(ordered.alias("o"))
-    n = F.size("o")
-    prefix = F.slice("o", F.lit(1), (n - F.ceil(F.lit(threshold) * n - F.lit(1e-9)) + 1).cast("int"))
-    tokens = ranked.select("id", "block", F.explode(F.transform(prefix, lambda x: x["t"])).alias("t"))
-    pairs = tokens.alias("x").join(tokens.alias("y"), ["block", "t"]).filter("x.id < y.id").select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    n, least = F.col("n"), F.lit(threshold)
+    overlap = F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j"))
+    near_sizes = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - F.lit(1e-9)
+    # places after the shared element, and what may stand before it in both
+    enough = overlap + F.least("i", "j") >= least / (1 + least) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-9)
+    pairs = prefix_pairs(ranked_elements(base), n - F.ceil(least * n - F.lit(1e-9)) + 1, near_sizes & enough)
     left, right = base.select(F.col("id").alias("a"), F.col("e").alias("ea")), base.select(F.col("id").alias("b"), F.col("e").alias("eb"))
     shared = F.size(F.array_intersect("ea", "eb"))
     both = pairs.join(left, "a").join(right, "b").withColumn("similarity", shared / (F.size("ea") + F.size("eb") - shared))
     return both.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
+def edit_pairs(df: DataFrame, id_col: str, block: str, name: str, threshold: float) -> DataFrame:
+    """Rows (a, b, ratio), a < b, of the same block whose names have at least this edit ratio, more than 0.5. Empty names have no pairs.
+
+    An edit changes two bigrams at most. Of names at most d edits apart, with each bigram numbered by its occurrence, the 2 d + 1 rarest
+    must hold a common one; only these are joined.
+    """
+    if threshold <= 0.5:
+        raise ValueError("a ratio of 0.5 or less needs no common bigram")
+    text = F.concat(F.lit("\u0002"), F.col("name"), F.lit("\u0003"))
+    starts = F.sequence(F.lit(1), F.length("name") + 1)
+    grams = F.transform(starts, lambda i: F.substring(text, i, F.lit(2)))
+    times = F.transform(grams, lambda g, i: F.concat(g, F.size(F.filter(F.slice(grams, F.lit(1), i), lambda x: x == g))))
+    base = df.select(F.col(id_col).alias("id"), F.col(block).alias("block"), F.col(name).alias("name")).filter("name <> ''")
+    # a name of n - 1 characters has n bigrams; its longest partner has (n - 1) / threshold characters
+    edits = F.floor((1 - threshold) * (F.col("n") - 1) / threshold + F.lit(1e-9))
+    near_sizes = F.least("n_a", "n_b") - 1 >= F.lit(threshold) * (F.greatest("n_a", "n_b") - 1) - F.lit(1e-9)
+    pairs = prefix_pairs(ranked_elements(base.select("id", "block", times.alias("e"))), F.least(F.col("n"), 2 * edits + 1), near_sizes)
+    left, right = base.select(F.col("id").alias("a"), F.col("name").alias("x")), base.select(F.col("id").alias("b"), F.col("name").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("ratio", T.edit_ratio(F.col("x"), F.col("y")))
+    return both.filter(F.col("ratio") >= threshold).select("a", "b", "ratio")
+
+
+def name_classes(df: DataFrame, id_col: str, block: Sequence[str], name: str) -> DataFrame:
+    """One row for each name of a block: id (its least), n (its rows), block (as one text) and name. Copies needn't be paired."""
+    kept = df.filter(F.col(name).isNotNull())
+    return kept.groupBy(F.concat_ws("|", *block).alias("block"), F.col(name).alias("name")).agg(F.min(id_col).alias("id"), F.count("*").alias("n"))
+
+
 def entities(members: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
     """members plus entity: the least member that a chain of pairs (a, b) reaches; the member itself without pairs."""
     found = connected_components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias(id_col), "component")
     return members.join(found, id_col, "left").withColumn("entity", F.coalesce("component", id_col)).drop("component")
 
 
-def best_by(candidates: DataFrame, left: str, right: str, score: Column, least: float, vote: str) -> DataFrame:
-    """For each left id the right one with the best score (the least id of several), if it reaches the threshold: one vote."""
-    top = candidates.withColumn("_s", score).filter(F.col("_s") >= least).groupBy(left).agg(F.min(F.struct((-F.col("_s")).alias("s"), F.col(right).alias("r"))).alias("x"))
-    return top.select(left, F.col("x.r").alias(right), F.lit(vote).alias("vote"), (-F.col("x.s")).alias("score"))
+def pick(candidates: DataFrame, vote: str, score: Column, least: float) -> DataFrame:
+    """One vote for each left id: of the right ones whose score reaches the threshold the best, the nearest, the least."""
+    order = F.struct((-F.col("_s")).alias("s"), F.col("d"), F.col("r"))
+    top = candidates.withColumn("_s", score).filter(F.col("_s") >= least).groupBy("l").agg(F.min(order).alias("x"))
+    return top.select("l", F.col("x.r").alias("r"), F.lit(vote).alias("vote"), (-F.col("x.s")).alias("score"), F.col("x.d").alias("d"))
+
+
+def link_by_votes(
+    left: DataFrame, right: DataFrame, reach: float, score_guard: float = 0.7, distance_guard: float = 3000.0,
+) -> DataFrame:
+    """Each record of left with its match in right: l, r, method, confidence, votes, score, d. Both have id, name, area, code, x, y.
+
+    A record with a code takes of the right ones with that code the most similar, then the nearest (method `code`, high). The others meet
+    those of the same area (not empty) or at most `reach` away: two joins on keys instead of one on a disjunction. By trigrams (0.6), edits (0.5), tokens (0.3) and
+    sound, each picks one; the right record with the most picks, then the least, is the match. Three votes give high confidence, two medium; one step
+    less if the trigram vote's score and distance don't pass the guards. One vote is no match: unmatched records stay, with nulls.
+    """
+    folded = lambda df: df.withColumn("name", T.folded(F.coalesce("name", F.lit(""))))
+    a = folded(left).select(F.col("id").alias("l"), F.col("name").alias("a"), "area", "code", F.col("x").alias("ax"), F.col("y").alias("ay"))
+    b = folded(right).select(F.col("id").alias("r"), F.col("name").alias("b"), F.col("area").alias("area_b"), F.col("code").alias("code_b"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    apart = distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+    trigram = T.trigram_similarity(F.col("a"), F.col("b"))
 
+    coded = a.join(b, F.col("code") == F.col("code_b")).withColumns({"d": apart, "s": trigram})
+    best = coded.groupBy("l").agg(F.min(F.struct((-F.col("s")).alias("s"), "d", "r")).alias("x"))
+    direct = best.select("l", F.col("x.r").alias("r"), F.lit("code").alias("method"), F.lit("high").alias("confidence"), F.lit(4).cast("long").alias("votes"), (-F.col("x.s")).alias("score"), F.col("x.d").alias("d"))
 
-def vote_linkage(candidates: DataFrame, left: str, right: str, scores: Sequence[tuple[str, Column, float]]) -> DataFrame:
-    """Each left id's match by the votes of several measures: most votes, then the least right id; with n_votes and a tier."""
-    votes = None
-    for name, score, least in scores:
-        part = best_by(candidates, left, right, score, least, name)
-        votes = part if votes is None else votes.union(part)
-    counts = votes.groupBy(left, right).agg(F.count("*").alias("n"))
-    best = counts.groupBy(left).agg(F.min(F.struct((-F.col("n")).alias("n"), F.col(right).alias("r"))).alias("x"))
-    n = -F.col("x.n")
-    return best.select(left, F.col("x.r").alias(right), n.alias("n_votes"), F.when(n == len(scores), "high").when(n > 1, "medium").otherwise("low").alias("tier"))
+    open_ids = a.join(direct.select("l"), "l", "left_anti")
+    same_area = open_ids.filter("area <> ''").join(b, F.col("area") == F.col("area_b")).select("l", "r")
+    places = lambda df, key, x, y: df.select(F.col(key).alias("id"), F.col(x).alias("x"), F.col(y).alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
+    near = within_distance(places(open_ids, "l", "ax", "ay"), places(b, "r", "bx", "by"), reach).select(F.col("a").alias("l"), F.col("b").alias("r"))
+    candidates = cut_lineage(same_area.union(near).distinct().join(open_ids, "l").join(b, "r").withColumn("d", apart).select("l", "r", "a", "b", "d"))
+    x, y = F.col("a"), F.col("b")
+    longer = F.greatest(F.length(x), F.length(y))
+    votes = (
+        pick(candidates, "trigram", trigram, 0.6)
+        .union(pick(candidates.filter(longer > 0), "edit", T.edit_ratio(x, y), 0.5))
+        .union(pick(candidates, "token", T.jaccard(T.tokens(x), T.tokens(y)), 0.3))
+        .union(pick(candidates, "sound", T.sounds_alike(x, y).cast("double"), 1.0))
+    )
+    by_trigram = F.col("vote") == "trigram"
+    counts = votes.groupBy("l", "r").agg(F.count("*").alias("n"), F.max(F.when(by_trigram, F.struct("score", "d"))).alias("t"))
+    chosen = counts.groupBy("l").agg(F.min(F.struct((-F.col("n")).alias("n"), "r")).alias("x"), F.max("t").alias("t"))
+    n, guarded = -F.col("x.n"), F.coalesce((F.col("t.score") >= score_guard) & (F.col("t.d") <= distance_guard), F.lit(False))
+    confidence = F.when(n >= 3, F.when(guarded, "high").otherwise("medium")).when(n == 2, F.when(guarded, "medium").otherwise("low"))
+    voted = chosen.select("l", F.col("x.r").alias("r"), F.concat(F.lit("votes_"), confidence).alias("method"), confidence.alias("confidence"), n.alias("votes"), F.col("t.score").alias("score"), F.col("t.d").alias("d"))
+    found = direct.union(voted.filter("confidence IS NOT NULL"))
+    return left.select(F.col("id").alias("l")).join(found, "l", "left").withColumn("method", F.coalesce("method", F.lit("unmatched")))

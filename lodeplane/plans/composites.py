@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeplane.functions import text as T
 from lodeplane.functions.geo import area, centroid, clipped, repaired
-from lodeplane.operators.relational import any_join, mode_by, newest_by
+from lodeplane.operators.relational import mode_by, newest_by
 from lodeplane.operators.spatial import density_clusters, points_in_polygons
 from lodeplane.plans.base import query, table
 from lodeplane.session import checkpoint_dir
@@ -43,28 +43,49 @@ def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH layers AS (SELECT 'orders' AS layer, o_orderkey AS feature, o_orderpriority AS zone, CASE WHEN o_totalprice > 300000 THEN 3 WHEN o_totalprice > 100000 THEN 2 ELSE 1 END AS severity, o_custkey % 25 AS area FROM orders
-  UNION ALL SELECT 'parts', p_partkey, p_type, CASE WHEN p_size > 40 THEN 3 ELSE 0 END, p_partkey % 25 FROM part),
-rules AS (SELECT p_partkey AS rule, p_partkey % 25 AS area, [p_type, CASE WHEN p_size > 25 THEN '1-URGENT' ELSE '5-LOW' END] AS zones FROM part WHERE p_partkey % 40 = 0)
-SELECT l.layer, l.feature, l.severity, CASE l.severity WHEN 3 THEN 'prohibited' WHEN 2 THEN 'conditional' WHEN 1 THEN 'notice' ELSE 'none' END AS label, count(rule) AS n_rules, coalesce(string_agg(CAST(rule AS VARCHAR), ',' ORDER BY rule), '') AS rules
-FROM layers l LEFT JOIN rules r ON l.area = r.area AND list_contains(r.zones, l.zone) GROUP BY 1, 2, 3
+WITH layers AS (
+  SELECT 'orders' AS layer, o_orderkey AS feature, o_orderpriority AS zone, CASE WHEN o_totalprice > 300000 THEN 3 WHEN o_totalprice > 100000 THEN 2 ELSE 1 END AS severity, o_custkey % 25 AS area FROM orders
+  UNION ALL SELECT 'parts', p_partkey, p_type, CASE WHEN p_size > 40 THEN 3 ELSE 0 END, p_partkey % 25 FROM part
+  UNION ALL SELECT 'customers', c_custkey, c_mktsegment, CASE WHEN c_acctbal < 0 THEN 2 ELSE 0 END, c_nationkey FROM customer
+  UNION ALL SELECT 'suppliers', s_suppkey, 'SUPPLIER', CASE WHEN s_acctbal < 0 THEN 3 WHEN s_acctbal < 1000 THEN 1 ELSE 0 END, s_nationkey FROM supplier
+  UNION ALL SELECT 'events', event_id, event_type, CASE WHEN event_type = 'error' THEN 2 ELSE 0 END, user_id % 25 FROM events
+  UNION ALL SELECT 'pages', page_id, split_part(split_part(url, '://', 1), ':', 1), 1, page_id % 25 FROM pages),
+rules AS (SELECT p_partkey AS rule, p_partkey % 25 AS area, unnest([p_type, CASE WHEN p_size > 25 THEN '1-URGENT' ELSE '5-LOW' END, CASE WHEN p_size > 40 THEN 'error' ELSE 'SUPPLIER' END]) AS zone FROM part),
+r AS (SELECT area, zone, count(DISTINCT rule) AS n_rules, min(rule) AS first_rule FROM rules GROUP BY 1, 2)
+SELECT layer, feature, severity, CASE severity WHEN 3 THEN 'prohibited' WHEN 2 THEN 'conditional' WHEN 1 THEN 'notice' ELSE 'none' END AS label, coalesce(n_rules, 0) AS n_rules, first_rule
+FROM layers LEFT JOIN r ON layers.area = r.area AND layers.zone = r.zone
 """)
 def constraint_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Layers united under one contract, with a severity label and the rules of their area whose zones hold theirs."""
-    price, size = F.col("o_totalprice"), F.col("p_size")
-    orders = table(spark, sf_dir, "orders").select(F.lit("orders").alias("layer"), F.col("o_orderkey").alias("feature"), F.col("o_orderpriority").alias("zone"), F.when(price > 300_000, 3).when(price > 100_000, 2).otherwise(1).alias("severity"), (F.col("o_custkey") % 25).alias("area"))
-    parts = table(spark, sf_dir, "part").select(F.lit("parts").alias("layer"), F.col("p_partkey").alias("feature"), F.col("p_type").alias("zone"), F.when(size > 40, 3).otherwise(0).alias("severity"), (F.col("p_partkey") % 25).alias("area"))
-    rules = table(spark, sf_dir, "part").filter("p_partkey % 40 = 0").select(F.col("p_partkey").alias("rule"), (F.col("p_partkey") % 25).alias("area"), F.array("p_type", F.when(size > 25, "1-URGENT").otherwise("5-LOW")).alias("zones"))
-    layers = orders.unionByName(parts)
-    keyed = layers.withColumn("key", F.concat_ws("|", "area", "zone"))
-    hits = any_join(keyed.select("layer", "feature", "key"), rules.select("rule", F.transform("zones", lambda z: F.concat_ws("|", F.col("area"), z)).alias("keys")), "key", "keys")
-    matched = hits.groupBy("layer", "feature").agg(F.count("*").alias("n_rules"), F.array_join(F.array_sort(F.collect_list("rule")), ",").alias("rules"))
+    """Layers united under one contract, with a severity label and the rules of their area whose zones hold theirs: their number and the
+    first. Rules are counted by area and zone before they meet the features."""
+    ladder = lambda c, steps: reduce(lambda e, s: e.when(c < s[0], s[1]), steps[1:], F.when(c < steps[0][0], steps[0][1]))
+    above = lambda c, a, b: F.when(c > b, 3).when(c > a, 2).otherwise(1)
+    sources = {
+        "orders": ("o_orderkey", F.col("o_orderpriority"), above(F.col("o_totalprice"), 100_000, 300_000), F.col("o_custkey") % 25),
+        "parts": ("p_partkey", F.col("p_type"), F.when(F.col("p_size") > 40, 3).otherwise(0), F.col("p_partkey") % 25),
+        "customers": ("c_custkey", F.col("c_mktsegment"), ladder(F.col("c_acctbal"), [(0, 2)]).otherwise(0), F.col("c_nationkey")),
+        "suppliers": ("s_suppkey", F.lit("SUPPLIER"), ladder(F.col("s_acctbal"), [(0, 3), (1000, 1)]).otherwise(0), F.col("s_nationkey")),
+        "events": ("event_id", F.col("event_type"), F.when(F.col("event_type") == "error", 2).otherwise(0), F.col("user_id") % 25),
+        "pages": ("page_id", F.split_part(F.split_part("url", F.lit("://"), F.lit(1)), F.lit(":"), F.lit(1)), F.lit(1), F.col("page_id") % 25),
+    }
+
+    def layer(name: str) -> DataFrame:
+        key, zone, severity, area = sources[name]
+        of = name if name in ("orders", "events", "pages") else name[:-1]
+        return table(spark, sf_dir, of).select(F.lit(name).alias("layer"), F.col(key).alias("feature"), zone.alias("zone"), severity.alias("severity"), area.cast("long").alias("area"))
+
+    layers = reduce(DataFrame.unionByName, map(layer, sources))
+    size = F.col("p_size")
+    zones = F.array("p_type", F.when(size > 25, "1-URGENT").otherwise("5-LOW"), F.when(size > 40, "error").otherwise("SUPPLIER"))
+    rules = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("rule"), (F.col("p_partkey") % 25).alias("area"), F.explode(F.array_distinct(zones)).alias("zone"))
+    by_zone = rules.groupBy("area", "zone").agg(F.count("*").alias("n_rules"), F.min("rule").alias("first_rule"))
     label = F.element_at(F.array(*map(F.lit, ("none", "notice", "conditional", "prohibited"))), F.col("severity") + 1)
-    return layers.join(matched, ["layer", "feature"], "left").select("layer", "feature", "severity", label.alias("label"), F.coalesce("n_rules", F.lit(0)).alias("n_rules"), F.coalesce("rules", F.lit("")).alias("rules"))
+    joined = layers.join(by_zone, ["area", "zone"], "left")
+    return joined.select("layer", "feature", "severity", label.alias("label"), F.coalesce("n_rules", F.lit(0)).alias("n_rules"), "first_rule")
 
 
 @query(f"""
-WITH c AS {_CUSTOMERS}, z AS (SELECT p_partkey AS polygon, CAST(p_partkey * 7919 % 4000 AS DOUBLE) AS cx, CAST(p_partkey * 31 % 4000 AS DOUBLE) AS cy, 20.5 + p_size AS r FROM part WHERE p_partkey % 5 = 0),
+WITH c AS {_CUSTOMERS}, z AS (SELECT p_partkey AS polygon, CAST(p_partkey * 7919 % 4000 AS DOUBLE) AS cx, CAST(p_partkey * 31 % 4000 AS DOUBLE) AS cy, 20.5 + p_size AS r FROM part),
 f AS (SELECT id, min(polygon) AS area FROM c, z WHERE abs(x - cx) + abs(y - cy) < r GROUP BY 1)
 SELECT c.id, CASE WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN 'home' WHEN c_mktsegment IN ('MACHINERY', 'AUTOMOBILE') THEN 'works' ELSE 'other' END AS category, f.area FROM c LEFT JOIN f ON c.id = f.id
 """)
@@ -74,7 +95,7 @@ def located_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = table(spark, sf_dir, "customer").select(k.alias("id"), (k * 7919 % 4000).cast("double").alias("x"), (k * 104729 % 4001).cast("double").alias("y"), F.col("c_mktsegment").alias("kind"))
     cx, cy, r = (p * 7919 % 4000).cast("double"), (p * 31 % 4000).cast("double"), F.col("p_size") + 20.5
     corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    areas = table(spark, sf_dir, "part").filter(p % 5 == 0).select(p.alias("polygon"), F.array(corner(cx - r, cy), corner(cx, cy - r), corner(cx + r, cy), corner(cx, cy + r)).alias("ring"))
+    areas = table(spark, sf_dir, "part").select(p.alias("polygon"), F.array(corner(cx - r, cy), corner(cx, cy - r), corner(cx + r, cy), corner(cx, cy + r)).alias("ring"))
     inside = points_in_polygons(points.select("id", "x", "y"), areas, 64.0).groupBy("id").agg(F.min("polygon").alias("area"))
     category = F.when(F.col("kind").isin("BUILDING", "FURNITURE"), "home").when(F.col("kind").isin("MACHINERY", "AUTOMOBILE"), "works").otherwise("other")
     return points.join(inside, "id", "left").select("id", category.alias("category"), "area")
@@ -95,20 +116,6 @@ def polygon_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shapes.select("p_partkey", F.round(area(clipped(F.col("ring"), window)), 6).alias("overlap"), F.round(area(F.col("ring")), 6).alias("area"), F.round(middle.x, 6).alias("cx"), F.round(middle.y, 6).alias("cy"))
 
 
-_PADDED = "list_distinct(flatten(list_transform(string_split({c}, ' '), lambda w: list_transform(range(1, length(w) + 2), lambda i: substring('  ' || w || ' ', i, 3)))))"
-
-
-@query(f"""
-WITH t AS (SELECT p_partkey AS id, p_brand, p_size, p_name || ' ' || lower(p_type) AS n FROM part), g AS (SELECT *, {_PADDED.format(c="n")} AS g FROM t)
-SELECT a.id AS a, b.id AS b, round(len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))), 6) AS similarity FROM g a JOIN g b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.id < b.id
-""")
-def padded_trigram_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trigram similarity of words between blanks, over the pairs of a block."""
-    names = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", T.padded_trigrams(F.concat_ws(" ", "p_name", F.lower("p_type"))).alias("g"))
-    a, b = names.withColumnsRenamed({"p_partkey": "a", "g": "ga"}), names.withColumnsRenamed({"p_partkey": "b", "g": "gb"})
-    return a.join(b, ["p_brand", "p_size"]).filter("a < b").select("a", "b", F.round(T.jaccard(F.col("ga"), F.col("gb")), 6).alias("similarity"))
-
-
 @query("""
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'served' WHEN c_nationkey < 20 THEN 'by nation' ELSE 'none' END AS method, CASE WHEN o_orderstatus = 'F' THEN 0.9::DOUBLE WHEN c_nationkey < 20 THEN 0.2::DOUBLE END AS confidence
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
@@ -124,7 +131,7 @@ def pending_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment ELSE 'old' END AS segment, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS version FROM customer WHERE c_custkey % 3 = 0 OR c_custkey % 2 = 0
-UNION ALL SELECT c_custkey, 'new', 3 FROM customer WHERE c_custkey % 5 = 0 AND NOT (c_custkey % 3 = 0 OR c_custkey % 2 = 0)
+UNION ALL SELECT c_custkey, 'new', 3 FROM customer WHERE NOT (c_custkey % 3 = 0 OR c_custkey % 2 = 0)
 """)
 def load_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full load, an upsert, and an append of keys not known before."""
@@ -132,7 +139,7 @@ def load_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
     first = load(customers.filter("c_custkey % 2 = 0").select("c_custkey", F.lit("old").alias("segment"), F.lit(1).alias("version")), root, "overwrite")
     second = load(customers.filter("c_custkey % 3 = 0").withColumn("version", F.lit(2)), first, "upsert", ["c_custkey"])
-    third = load(customers.filter("c_custkey % 5 = 0").select("c_custkey", F.lit("new").alias("segment"), F.lit(3).alias("version")), second, "append_new", ["c_custkey"])
+    third = load(customers.select("c_custkey", F.lit("new").alias("segment"), F.lit(3).alias("version")), second, "append_new", ["c_custkey"])
     return spark.read.parquet(third)
 
 
@@ -140,10 +147,10 @@ def load_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT p_partkey, p_type AS layer, CAST(p_size AS VARCHAR) AS label, CAST(p_partkey % 90 AS DOUBLE) AS lon, CAST(p_partkey % 40 AS DOUBLE) AS lat FROM part WHERE p_partkey % 90 BETWEEN 10 AND 50
 """)
 def feature_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Collections of features in JSON, one a layer and page, exploded and filtered by a box."""
+    """Collections of features in JSON, one a layer and page of at most a thousand, exploded and filtered by a box."""
     k = F.col("p_partkey")
     feature = F.struct(F.struct(F.array((k % 90).cast("double"), (k % 40).cast("double")).alias("coordinates")).alias("geometry"), F.struct(k.alias("id"), F.col("p_size").cast("string").alias("label")).alias("properties"))
-    pages = table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("layer"), (k % 16).alias("page")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("document"))
+    pages = table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("layer"), F.floor(k / 1000).alias("page")).agg(F.to_json(F.struct(F.collect_list(feature).alias("features"))).alias("document"))
     kind = "struct<features: array<struct<geometry: struct<coordinates: array<double>>, properties: map<string, string>>>>"
     rows = pages.select("layer", F.explode(F.from_json("document", kind).features).alias("f"))
     at = F.col("f.geometry.coordinates")

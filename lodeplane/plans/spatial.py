@@ -37,7 +37,7 @@ def dbscan_eps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH c AS {_CUSTOMERS}, z AS (SELECT p_partkey AS polygon, CAST(p_partkey * 7919 % 4000 AS DOUBLE) AS cx, CAST(p_partkey * 31 % 4000 AS DOUBLE) AS cy, 20.5 + p_size AS r FROM part WHERE p_partkey % 5 = 0)
+WITH c AS {_CUSTOMERS}, z AS (SELECT p_partkey AS polygon, CAST(p_partkey * 7919 % 4000 AS DOUBLE) AS cx, CAST(p_partkey * 31 % 4000 AS DOUBLE) AS cy, 20.5 + p_size AS r FROM part)
 SELECT id, polygon FROM c, z WHERE abs(x - cx) + abs(y - cy) < r
 """)
 def points_in_diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def points_in_diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     cx, cy, r = (k * 7919 % 4000).cast("double"), (k * 31 % 4000).cast("double"), F.col("p_size") + 20.5
     corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    rings = table(spark, sf_dir, "part").filter(k % 5 == 0).select(k.alias("polygon"), F.array(corner(cx - r, cy), corner(cx, cy - r), corner(cx + r, cy), corner(cx, cy + r)).alias("ring"))
+    rings = table(spark, sf_dir, "part").select(k.alias("polygon"), F.array(corner(cx - r, cy), corner(cx, cy - r), corner(cx + r, cy), corner(cx, cy + r)).alias("ring"))
     return points_in_polygons(_points(spark, sf_dir, "customer", "c_custkey"), rings, 64.0)
 
 
@@ -98,7 +98,7 @@ def projected_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH c AS {_CUSTOMERS}, s AS {_SUPPLIERS}, z AS (SELECT p_partkey AS polygon, CAST(p_partkey * 7919 % 4000 AS DOUBLE) AS cx, CAST(p_partkey * 31 % 4000 AS DOUBLE) AS cy, 20.5 + p_size AS r FROM part WHERE p_partkey % 5 = 0),
+WITH c AS {_CUSTOMERS}, s AS {_SUPPLIERS}, z AS (SELECT p_partkey AS polygon, CAST(p_partkey * 7919 % 4000 AS DOUBLE) AS cx, CAST(p_partkey * 31 % 4000 AS DOUBLE) AS cy, 20.5 + p_size AS r FROM part),
 i AS (SELECT id, count(*) AS n_zones, min(polygon) AS first_zone FROM c, z WHERE abs(x - cx) + abs(y - cy) < r GROUP BY 1), n AS (SELECT c.id, count(*) AS n_near, min(s.id) AS first_near FROM c, s WHERE (c.x - s.x) ** 2 + (c.y - s.y) ** 2 <= 150 * 150 GROUP BY 1)
 SELECT c.id, coalesce(n_zones, 0) AS n_zones, first_zone, coalesce(n_near, 0) AS n_near, first_near FROM c LEFT JOIN i ON c.id = i.id LEFT JOIN n ON c.id = n.id
 """)
@@ -111,7 +111,7 @@ def site_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH c AS {_CUSTOMERS}, z AS (SELECT p_partkey AS polygon, CAST(p_partkey * 7919 % 4000 AS DOUBLE) AS cx, CAST(p_partkey * 31 % 4000 AS DOUBLE) AS cy, 20.5 + p_size AS r FROM part WHERE p_partkey % 5 = 0)
+WITH c AS {_CUSTOMERS}, z AS (SELECT p_partkey AS polygon, CAST(p_partkey * 7919 % 4000 AS DOUBLE) AS cx, CAST(p_partkey * 31 % 4000 AS DOUBLE) AS cy, 20.5 + p_size AS r FROM part)
 SELECT id, min(polygon) AS polygon FROM c, z WHERE abs(x - cx) + abs(y - cy) < r GROUP BY 1
 """)
 def first_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
