@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,16 +58,120 @@ def around(size_x: Column, size_y: Column) -> Column:
     return F.array(*[F.struct((size_x + i).alias("cx"), (size_y + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def edges(ring: Column) -> Column:
     """The sides of a ring, whether or not its first corner is repeated at its end."""
     return F.arrays_zip(ring.alias("p"), F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, F.lit(1), F.lit(1))).alias("q"))
 
 
-def inside(x: Column, y: Column, ring: Column) -> Column:
-    """Ray casting: whether a point lies within a ring. Points on its sides may fall either way."""
+def crossings(x: Column, y: Column, ring: Column) -> Column:
+    """How many sides of a ring a ray from a point to the right crosses."""
     crosses = lambda e: ((e["0"].y > y) != (e["1"].y > y)) & (x < (e["1"].x - e["0"].x) * (y - e["0"].y) / (e["1"].y - e["0"].y) + e["0"].x)
-    safe = F.filter(_sides(ring), lambda e: e["0"].y != e["1"].y)
-    return F.size(F.filter(safe, crosses)) % 2 == 1
+    return F.size(F.filter(F.filter(_sides(ring), lambda e: e["0"].y != e["1"].y), crosses))
+
+
+def on_side(x: Column, y: Column, ring: Column) -> Column:
+    """Whether a point lies on a side of a ring."""
+
+    def on(e: Column) -> Column:
+        p, q = e["0"], e["1"]
+        level = (q.x - p.x) * (y - p.y) == (q.y - p.y) * (x - p.x)
+        return level & x.between(F.least(p.x, q.x), F.greatest(p.x, q.x)) & y.between(F.least(p.y, q.y), F.greatest(p.y, q.y))
+
+    return F.exists(_sides(ring), on)
+
+
+def inside(x: Column, y: Column, ring: Column) -> Column:
+    """Whether a point lies within a ring; points on its sides don't."""
+    return (crosses_odd(x, y, F.array(ring))) & ~on_side(x, y, ring)
+
+
+def crosses_odd(x: Column, y: Column, rings: Column) -> Column:
+    return F.aggregate(rings, F.lit(0), lambda n, r: n + crossings(x, y, r)) % 2 == 1
+
+
+def inside_rings(x: Column, y: Column, rings: Column) -> Column:
+    """Whether a point lies within a polygon with holes or a multipolygon, given as all of its rings; points on a side of any don't."""
+    return crosses_odd(x, y, rings) & ~F.exists(rings, lambda r: on_side(x, y, r))
+
+
+def turn(p: Column, q: Column, r: Column) -> Column:
+    """1 if the way from p by q to r turns left, -1 if right, 0 if it goes straight."""
+    return F.signum((q.x - p.x) * (r.y - p.y) - (q.y - p.y) * (r.x - p.x))
+
+
+def sides_meet(e: Column, f: Column) -> Column:
+    """Whether two sides have a point in common."""
+    p, q, r, s = e["0"], e["1"], f["0"], f["1"]
+    within = lambda a, b, c: c.x.between(F.least(a.x, b.x), F.greatest(a.x, b.x)) & c.y.between(F.least(a.y, b.y), F.greatest(a.y, b.y))
+    t1, t2, t3, t4 = turn(p, q, r), turn(p, q, s), turn(r, s, p), turn(r, s, q)
+    apart = (t1 != t2) & (t3 != t4)
+    return apart | ((t1 == 0) & within(p, q, r)) | ((t2 == 0) & within(p, q, s)) | ((t3 == 0) & within(r, s, p)) | ((t4 == 0) & within(r, s, q))
+
+
+def rings_meet(a: Column, b: Column) -> Column:
+    """Whether two simple rings' areas have a point in common, be it on their sides."""
+    corner = lambda ring, other: crosses_odd(F.element_at(ring, 1).x, F.element_at(ring, 1).y, F.array(other))
+    return F.exists(_sides(a), lambda e: F.exists(_sides(b), lambda f: sides_meet(e, f))) | corner(a, b) | corner(b, a)
+
+
+def is_simple(ring: Column) -> Column:
+    """Whether a ring has three corners or more, an area, and no sides that meet but at the corner that neighbours share."""
+
+    def checked(sides: Column) -> Column:
+        n = F.size(sides)
+        far = lambda e, f: (F.abs(e.i - f.i) > 1) & (F.abs(e.i - f.i) < n - 1)
+        return (n >= 3) & ~F.exists(sides, lambda e: F.exists(sides, lambda f: far(e, f) & sides_meet(e, f)))
+
+    numbered = F.transform(_sides(repaired(ring)), lambda e, i: F.struct(e["0"].alias("0"), e["1"].alias("1"), i.alias("i")))
+    return let(numbered, checked) & (area(ring) > 0)
+
+
+def point_on_surface(ring: Column) -> Column:
+    """A point within a simple ring: the middle of the longest stretch inside at a height between its corners; null without area."""
+
+    def between(ys: Column) -> Column:
+        middle = F.floor(F.size(ys) / 2).cast("int")
+        return (F.get(ys, middle) + F.get(ys, middle - 1)) / 2  # no corner is at this height
+
+    def widest(xs: Column) -> Column:
+        places = F.sequence(F.lit(0), (F.size(xs) / 2).cast("int") - 1)
+        return F.array_max(F.transform(places, lambda i: F.struct((F.get(xs, 2 * i + 1) - F.get(xs, 2 * i)).alias("w"), F.get(xs, 2 * i).alias("x"))))
+
+    def at_height(y: Column) -> Column:
+        cut = F.filter(_sides(ring), lambda e: (e["0"].y > y) != (e["1"].y > y))
+        xs = F.array_sort(F.transform(cut, lambda e: e["0"].x + (y - e["0"].y) * (e["1"].x - e["0"].x) / (e["1"].y - e["0"].y)))
+        return let(let(xs, widest), lambda s: F.struct((s.x + s.w / 2).alias("x"), y.alias("y")))
+
+    ys = F.array_sort(F.array_distinct(F.transform(ring, lambda p: p.y)))
+    return F.when(area(ring) > 0, let(let(ys, between), at_height))
+
+
+def hull(points: Column) -> Column:
+    """The corners of the least convex ring around an array of points, counter-clockwise; its ends for points on a line."""
+    ordered = F.array_sort(F.array_distinct(points))
+    none = F.array().cast("array<struct<x: double, y: double>>")
+
+    def grown(chain: Column, p: Column) -> Column:
+        # corners from the first one on that the new point doesn't see from the left drop out
+        places = F.sequence(F.lit(1), F.size(chain) - 1)
+        bad = lambda i: turn(F.element_at(chain, i), F.element_at(chain, i + 1), p) <= 0
+        keep = F.when(F.size(chain) < 2, F.size(chain)).otherwise(F.coalesce(F.array_min(F.filter(places, bad)), F.size(chain)))
+        return F.concat(F.slice(chain, F.lit(1), keep), F.array(p))
+
+    lower = F.aggregate(ordered, none, grown)
+    upper = F.aggregate(F.reverse(ordered), none, grown)
+    open_end = lambda c: F.slice(c, F.lit(1), F.size(c) - 1)
+    return F.when(F.size(ordered) < 2, ordered).otherwise(F.concat(open_end(lower), open_end(upper)))
+
+
+def tagged(geometry: Column, srid: int, kind: str) -> Column:
+    """A geometry with its reference system and its type."""
+    return F.struct(F.lit(srid).alias("srid"), F.lit(kind).alias("type"), geometry.alias("geometry"))
 
 
 def _sides(ring: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,9 @@ STREET_WORDS = (("avenue", "av"), ("boulevard", "bd"), ("street", "st"), ("road"
 #: Letters and the classes of their sounds, those that don't count last.
 SOUND_CLASSES = ("bfpvcgjkqsxzdtlmnraeiouhwy", "111122222222334556")
 
+#: A unit at the end of a folded address.
+UNIT_PATTERN = r" ?\b(apt|fl|unit|door|no) [0-9a-z]{1,4}"
+
 
 def deaccent(c: Column) -> Column:
     return F.translate(c, ACCENTED, PLAIN)
@@ -38,6 +43,44 @@ def normal_address(c: Column) -> Column:
     return F.trim(F.regexp_replace(out, r"\b(apt|fl|unit) [0-9a-z]+$", ""))
 
 
+def ruled_address(c: Column, rules: Sequence[tuple[str, str]], units: str = UNIT_PATTERN) -> Column:
+    """A folded address after the rules (pattern, replacement) in their order, without units at its end however many there are."""
+    out = folded(c)
+    for pattern, text in rules:
+        out = F.regexp_replace(out, pattern, text)
+    return F.trim(F.regexp_replace(F.regexp_replace(out, f"({units})+$", ""), " +", " "))
+
+
+def lookup_text(address: Column, *places: Column) -> Column:
+    """What an address is looked up by: the address, then each place that it doesn't name yet, joined by commas; null without any part."""
+    out = F.nullif(F.trim(address), F.lit(""))
+    for place in places:
+        folded_place = F.nullif(folded(place), F.lit(""))
+        named = F.coalesce(F.contains(F.concat(F.lit(" "), folded(out), F.lit(" ")), F.concat(F.lit(" "), folded_place, F.lit(" "))), F.lit(False))
+        out = F.when(named, out).otherwise(F.nullif(F.concat_ws(", ", out, F.trim(place)), F.lit("")))
+    return out
+
+
+def canonical(value: Column, kind: str) -> Column:
+    """A value as text of which equal ones are equal: numbers without trailing zeros, texts composed and trimmed, booleans as words."""
+    if kind in ("byte", "short", "integer", "long", "float", "double") or kind.startswith("decimal"):
+        return F.regexp_replace(F.regexp_replace(F.format_string("%.6f", value.cast("double")), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    if kind == "boolean":
+        return F.when(value, "true").when(~value, "false")
+    return F.trim(value.cast("string"))
+
+
+def content_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """sha256 of a row's columns in canonical form, each behind its name; nulls count as absent. Nested columns raise."""
+    parts = []
+    for name in sorted(columns):
+        kind = df.schema[name].dataType.typeName()
+        if kind in ("array", "map", "struct", "variant"):
+            raise TypeError(f"{name} is nested: flatten it before it's hashed")
+        parts.append(F.concat(F.lit(f"{name}="), canonical(F.col(f"`{name}`"), kind)))
+    return F.sha2(F.concat_ws("\u001f", *parts).cast("binary"), 256)
+
+
 def tokens(c: Column) -> Column:
     """Distinct words of a folded text; none for the empty text or null."""
     return F.array_distinct(F.filter(F.split(F.coalesce(c, F.lit("")), " "), lambda x: x != ""))

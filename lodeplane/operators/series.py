@@ -20,6 +20,20 @@ def change_rates(df: DataFrame, keys: Sequence[str], date: str, value: str, offs
     return rows.withColumns({name: rate(F.col(value), F.lag(value, n).over(w)) for name, n in offsets.items()})
 
 
+def change_by_frequency(df: DataFrame, keys: Sequence[str], date: str, value: str, frequency: str, offsets: dict[str, dict[str, int]]) -> DataFrame:
+    """df without null values, plus a rate for each name; how many rows back depends on the row's frequency, null where it names none."""
+    w = Window.partitionBy(*keys, frequency).orderBy(date)
+    rows = df.filter(F.col(value).isNotNull())
+
+    def before(by_frequency: dict[str, int]) -> Column:
+        found = F.lit(None).cast("double")
+        for code, n in by_frequency.items():
+            found = F.when(F.col(frequency) == code, F.lag(value, n).over(w)).otherwise(found)
+        return found
+
+    return rows.withColumns({name: rate(F.col(value), before(by)) for name, by in offsets.items()})
+
+
 def weighted_mean(value: Column, weight: Column) -> Column:
     """Rows with a null value count in neither sum; null if no weight is left."""
     return F.sum(value * weight) / F.nullif(F.sum(F.when(value.isNotNull(), weight)), F.lit(0))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeplane.functions.geo import around, cell, distance, inside
+from lodeplane.functions.geo import around, cell, distance, inside_rings, rings_meet
 from lodeplane.operators.graph import connected_components
 from lodeplane.session import cut_lineage
 
@@ -40,13 +40,34 @@ def density_clusters(points: DataFrame, eps: float) -> DataFrame:
     return points.join(of_place, ["x", "y"]).select(*points.columns, "cluster")
 
 
+def _in_cells(polygons: DataFrame, rings: Column, size: float) -> DataFrame:
+    """polygons once for each cell of the box around their rings."""
+    flat = F.flatten(rings)
+    span = lambda axis: F.sequence(cell(F.array_min(F.transform(flat, lambda p: p[axis])), size), cell(F.array_max(F.transform(flat, lambda p: p[axis])), size))
+    return polygons.withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y")))
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
-    """Rows (id, polygon) of points (id, x, y) inside polygons (polygon, ring): polygons are cut into the cells of their boxes."""
-    xs, ys = F.transform("ring", lambda p: p.x), F.transform("ring", lambda p: p.y)
-    span = lambda v: F.sequence(cell(F.array_min(v), size), cell(F.array_max(v), size))
-    cut = polygons.withColumn("cx", F.explode(span(xs))).withColumn("cy", F.explode(span(ys)))
+    """Rows (id, polygon) of points (id, x, y) inside polygons: (polygon, ring), or (polygon, rings) with holes or several parts.
+
+    Points on a side are not inside. Polygons are cut into the cells of their boxes.
+    """
+    rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
+    cut = _in_cells(polygons.select("polygon", rings.alias("rings")), F.col("rings"), size)
     at = points.withColumns({"cx": cell(F.col("x"), size), "cy": cell(F.col("y"), size)})
-    return at.join(cut, ["cx", "cy"]).filter(inside(F.col("x"), F.col("y"), F.col("ring"))).select("id", "polygon")
+    return at.join(cut, ["cx", "cy"]).filter(inside_rings(F.col("x"), F.col("y"), F.col("rings"))).select("id", "polygon")
+
+
+def rings_meeting(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
+    """Pairs (a, b) of simple rings (id, ring) that have a point in common. A pair that shares several cells is met in its first one."""
+    def cells(df: DataFrame, key: str, ring: str) -> DataFrame:
+        cut = _in_cells(df.select(F.col("id").alias(key), F.col("ring").alias(ring)), F.array(ring), size)
+        low = [F.min(axis).over(Window.partitionBy(key)).alias(f"{axis}_{key}") for axis in ("cx", "cy")]
+        return cut.select("*", *low)
+
+    both = cells(left, "a", "ring_a").join(cells(right, "b", "ring_b"), ["cx", "cy"])
+    first = (F.col("cx") == F.greatest("cx_a", "cx_b")) & (F.col("cy") == F.greatest("cy_a", "cy_b"))
+    return both.filter(first).filter(rings_meet(F.col("ring_a"), F.col("ring_b"))).select("a", "b")
 
 
 def nearest(points: DataFrame, targets: DataFrame, size: float, rounds: int = 40) -> DataFrame:

@@ -42,6 +42,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return own
 
 
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Bytes of an Arrow batch on its way to Python, unless the session names them: memory of texts, and no result, depends on them."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == f"{64 << 20}b":  # Spark's own default
+        spark.conf.set(key, size)
+
+
 #: Folders of tables that this process has stored.
 _stored: list[str] = []
 

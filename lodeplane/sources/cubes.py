@@ -21,6 +21,22 @@ def json_stat_rows(df: DataFrame, document: str, keys: list[str]) -> DataFrame:
     return flat.select(*keys, place.alias("codes"), "value")
 
 
+def dense_cube_rows(df: DataFrame, document: str, keys: list[str]) -> DataFrame:
+    """Rows of cubes whose values are a whole row-major array (null where there is none): keys, codes, value."""
+    kind = CUBE.replace("map<string, double>", "array<double>")
+    cube = df.select(*keys, F.from_json(document, kind).alias("c"))
+    flat = cube.select(*keys, "c.size", "c.categories", F.posexplode("c.value").alias("_at", "value")).filter("value IS NOT NULL")
+    dims = F.sequence(F.lit(1), F.size("size"))
+    stride = lambda d: F.aggregate(F.slice("size", d + 1, F.size("size") - d), F.lit(1).cast("long"), lambda a, x: a * x)
+    place = F.transform(dims, lambda d: F.element_at(F.element_at("categories", d), (F.floor(F.col("_at") / stride(d)) % F.element_at("size", d)).cast("int") + 1))
+    return flat.select(*keys, place.alias("codes"), "value")
+
+
+def attribute_values(attributes: Column, observation: Column) -> Column:
+    """The codes that an observation's attribute places (null for none) stand for, by the tables of each attribute."""
+    return F.zip_with(attributes, observation, lambda table, at: F.get(table, at.cast("int")))
+
+
 def sdmx_rows(df: DataFrame, document: str, keys: list[str]) -> DataFrame:
     """Rows of series documents {"periods": [...], "observations": {"place": [value, ...]}}: keys, period, value."""
     parsed = df.select(*keys, F.from_json(document, "struct<periods: array<string>, observations: map<string, array<double>>>").alias("d"))

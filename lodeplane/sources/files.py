@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -36,3 +37,24 @@ def append_after(df: DataFrame, path: str, order: str) -> DataFrame:
     """The rows of df from the stored high-water mark on; the mark's own rows are read again."""
     mark = df.sparkSession.read.parquet(path).agg({order: "max"}).first()[0]
     return df if mark is None else df.filter(df[order] >= mark)
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The good lines of JSON files as rows of a stated schema, and the bad ones (line, file): skipped, and kept for a count or a look."""
+    held = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    lines = spark.read.text(path).filter("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("file"))
+    rows = lines.select("file", F.from_json("value", held, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    bad = rows.filter("r._bad IS NOT NULL").select(F.col("r._bad").alias("line"), "file")
+    return rows.filter("r._bad IS NULL").select(*[F.col("r")[f.name].alias(f.name) for f in schema.fields]), bad
+
+
+def newest_file(df: DataFrame) -> DataFrame:
+    """The rows of the file that is last by name, of a table read from files named by their time."""
+    named = df.select("*", F.col("_metadata.file_path").alias("_file"))
+    return named.join(F.broadcast(named.agg(F.max("_file").alias("_file"))), "_file").drop("_file")  # one row
+
+
+def carried_forward(known: DataFrame, fresh: DataFrame, keys: list[str], seen: str, stale_before: Column) -> DataFrame:
+    """fresh rows, and the known ones of other keys that were seen late enough; each with `carried`."""
+    old = known.join(fresh.select(*keys), keys, "left_anti").filter(F.col(seen) >= stale_before)
+    return fresh.withColumn("carried", F.lit(False)).unionByName(old.withColumn("carried", F.lit(True)))

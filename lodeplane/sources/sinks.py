@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeplane.sources.files import evolved, overwrite_slices
@@ -50,3 +51,20 @@ def load(df: DataFrame, root: str, mode: str, keys: Sequence[str] = (), slice_by
 def observed(df: DataFrame, low: int, high: int) -> DataFrame:
     """One row that says how many rows df has, and whether that lies in a band."""
     return df.agg(F.count("*").alias("n_rows")).withColumn("in_band", F.col("n_rows").between(low, high))
+
+
+def updated(root: str, spark: SparkSession, where: Column, values: dict[str, Column]) -> str:
+    """Set columns of the rows for which a condition holds, in a new version of the table; returns its folder."""
+    table = spark.read.parquet(root)
+    hit = F.coalesce(where, F.lit(False))
+    changed = {c: F.when(hit, v.cast(table.schema[c].dataType)).otherwise(F.col(c)) for c, v in values.items()}
+    version = f"{root.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+    table.withColumns(changed).write.parquet(version)
+    return version
+
+
+def row_gate(tables: dict[str, tuple[DataFrame, int | None, int | None]]) -> DataFrame:
+    """A row a table with its number of rows, its floor and ceiling (null for none) and whether it passes."""
+    parts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("name"), "n_rows", F.lit(low).cast("long").alias("floor"), F.lit(high).cast("long").alias("ceiling")) for n, (df, low, high) in tables.items()]
+    passes = (F.col("n_rows") >= F.coalesce("floor", F.lit(0))) & (F.col("ceiling").isNull() | (F.col("n_rows") <= F.col("ceiling")))
+    return reduce(DataFrame.union, parts).withColumn("passes", passes)
