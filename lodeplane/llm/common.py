@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodeplane.session import bounded_batches
 from lodeplane.session import stored as stored  # one way to fix a table
 
 #: Rows, and bytes of text, that a worker takes up at once. A longer text is taken up alone.
@@ -19,6 +20,8 @@ FILTER_BITS = 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the ten queries, whose session gets a bound of its Arrow batches. The operators leave the session alone."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -10,7 +10,7 @@
 4. Components of the forests are the groups.
 
 A component of one block is compared once. In a larger one a block goes to each block that it shares a band with: n classes in one band
-are sent n / 2048 times at most, as all of them must be compared with each other.
+are sent n / 1024 times at most, as all of them must be compared with each other.
 """
 
 from __future__ import annotations
@@ -26,15 +26,17 @@ from pyspark.sql import functions as F
 
 from lodeplane.llm.common import shield, pieces, stored, table
 from lodeplane.llm.words import mixed, shingles, words
-from lodeplane.operators.graph import connected_components
+from lodeplane.operators.graph import connected_components, stars
 
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9995, 160
-#: Size of a block in n-grams; a class counts LEAST_GRAMS at least, so that a block has 2048 classes at most.
-BLOCK_GRAMS, LEAST_GRAMS = 1 << 20, 1 << 9
+#: Size of a block in n-grams; a class counts LEAST_GRAMS at least, so that a block has 1024 classes at most.
+BLOCK_GRAMS, LEAST_GRAMS = 1 << 19, 1 << 9
 #: Classes whose keys are sent to the tasks as a whole (24 bytes each), for picking their texts.
 BROADCAST_KEYS = 1_000_000
 #: Columns of the matrices that a task multiplies at once.
-COLUMNS = 2048
+COLUMNS = 1024
+#: Rows of the matrix of pairs that are looked through at once.
+ROWS = 128
 
 
 def bands_for(threshold: float, recall: float, max_hashes: int) -> tuple[int, int]:
@@ -111,21 +113,12 @@ def shingles_of_rows(rows: np.ndarray, salt: np.ndarray) -> np.ndarray:
 def tied_parts(bands: np.ndarray) -> list[np.ndarray]:
     """Places of the classes (rows of band keys) that bands tie together, in parts of at least two."""
     n, width = bands.shape
-    root = np.arange(n)
     flat = bands.ravel()
     order = np.argsort(flat, kind="stable")
-    owner = np.repeat(root, width)[order]
+    owner = np.repeat(np.arange(n), width)[order]
     new = np.ones(n * width, bool)
     new[1:] = flat[order][1:] != flat[order][:-1]
-    first = owner[np.flatnonzero(new)][np.cumsum(new) - 1]  # of each key, its first class
-    while True:  # the least place of each part spreads over the ties
-        before = root.copy()
-        low = np.minimum(root[owner], root[first])
-        np.minimum.at(root, owner, low)
-        np.minimum.at(root, first, low)
-        root = root[root]
-        if (root == before).all():
-            break
+    root = forest(n, owner, owner[np.flatnonzero(new)][np.cumsum(new) - 1])  # each with the first class of its key
     by_root = np.argsort(root, kind="stable")
     cuts = np.flatnonzero(np.diff(root[by_root])) + 1
     return [x for x in np.split(by_root, cuts) if len(x) > 1]
@@ -154,12 +147,11 @@ def links_in_block(left: list[int], right: list[int] | None, keys: np.ndarray, s
         candidate |= keys[rows, j][:, None] == keys[cols, j][None, :]
     if right is None:
         candidate = np.triu(candidate, 1)
-    i, j = np.nonzero(candidate)
-    if not len(i):
-        return rows[i], cols[j]
-    used = np.unique(np.concatenate((rows[i], cols[j])))
+    used = np.unique(np.concatenate((rows[candidate.any(axis=1)], cols[candidate.any(axis=0)])))
+    if not len(used):
+        return rows[:0], cols[:0]
     size = np.array([len(s) for s in sets])
-    values, column, times = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True, return_counts=True)
+    column, times = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True, return_counts=True)[1:]
     owner = np.repeat(used, size[used])
     shared = np.cumsum(times > 1) - 1
     keep = times[column] > 1
@@ -169,32 +161,29 @@ def links_in_block(left: list[int], right: list[int] | None, keys: np.ndarray, s
     at_row[rows], at_col[cols] = np.arange(len(rows)), np.arange(len(cols))
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    for start in range(0, n_columns, COLUMNS):
-        lo, hi = np.searchsorted(column, (start, start + COLUMNS))
-        x, y = np.zeros((len(rows), COLUMNS), np.float32), np.zeros((len(cols), COLUMNS), np.float32)
+    width = min(COLUMNS, max(1, n_columns))
+    for start in range(0, n_columns, width):
+        lo, hi = np.searchsorted(column, (start, start + width))
+        x, y = np.zeros((len(rows), width), np.float32), np.zeros((len(cols), width), np.float32)
         c, o = column[lo:hi] - start, owner[lo:hi]
         x[at_row[o][at_row[o] >= 0], c[at_row[o] >= 0]] = 1
         y[at_col[o][at_col[o] >= 0], c[at_col[o] >= 0]] = 1
         common += x @ y.T
-    inter = common[i, j].astype(np.int64)
-    alike = inter >= threshold * (size[rows[i]] + size[cols[j]] - inter) - 1e-9
-    return rows[i[alike]], cols[j[alike]]
-
-
-def forest(n: int, pairs: Iterator[tuple[int, int]]) -> list[int]:
-    """A root for each of n places."""
-    root = list(range(n))
+    found = []
+    for start in range(0, len(rows), ROWS):
+        inter = common[start : start + ROWS].astype(np.int64)
+        both = size[rows[start : start + ROWS]][:, None] + size[cols][None, :]
+        i, j = np.nonzero(candidate[start : start + ROWS] & (inter >= threshold * (both - inter) - 1e-9))
+        found.append((rows[start + i].astype(np.int32), cols[j].astype(np.int32)))
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
 
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
 
-    for a, b in pairs:
-        a, b = find(a), find(b)
-        root[max(a, b)] = min(a, b)
-    return [find(x) for x in range(n)]
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least place that edges between places a and b lead to, for each of n places."""
+    node, least = stars(a.astype(np.int64), b.astype(np.int64))
+    root = np.arange(n)
+    root[node] = least
+    return root
 
 
 def in_blocks(members: DataFrame, block_grams: int) -> DataFrame:
@@ -273,9 +262,8 @@ def near_duplicates(
         grams = [np.frombuffer(x, "<u8") for x in members["grams"]]
         a, b = links_in_blocks(side, key[1] < key[2], np.stack(members["bands"].to_list()), grams, threshold)
         links = np.bincount(a, count[b], len(own)) + np.bincount(b, count[a], len(own))
-        root = np.array(forest(len(own), zip(a.tolist(), b.tolist(), strict=True)))
         some = np.flatnonzero(links)
-        return pd.DataFrame({"class": own[some], "links": links[some].astype(np.int64), "root": own[root[some]]})
+        return pd.DataFrame({"class": own[some], "links": links[some].astype(np.int64), "root": own[forest(len(own), a, b)[some]]})
 
     linked = stored(compared.groupBy("component", "i", "j").applyInPandas(compare, "class long, links long, root long"), "links")
     group = connected_components(linked.select(F.col("class").alias("u"), F.col("root").alias("v"))).select(F.col("node").alias("class"), F.col("component").alias("group"))

@@ -16,7 +16,7 @@ def test_bands_reach_the_recall():
 
 
 def test_forest():
-    assert forest(5, iter([(3, 1), (4, 3)])) == [0, 1, 2, 1, 1]
+    assert forest(5, np.array([3, 4]), np.array([1, 3])).tolist() == [0, 1, 2, 1, 1]
 
 
 def variants(n, words=60, seed=1):
