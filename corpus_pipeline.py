@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from lodeplane.llm.langid import in_known_language
 from lodeplane.llm.ngram_join import one_of_each
 from lodeplane.llm.packing import pack, tokenizer_file
 from lodeplane.llm.pii import without_personal_data
+from lodeplane.session import bounded_batches
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +43,26 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _bounded(stage: Stage) -> Stage:
+    """The stage, in a session with a bound of its Arrow batches."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", language),
-    ("ngram_jaccard_join", near_duplicates),
-    ("benchmark_decontamination", decontamination),
-    ("pii", personal_data),
-    ("packing", packing),
+    ("language_id", _bounded(language)),
+    ("ngram_jaccard_join", _bounded(near_duplicates)),
+    ("benchmark_decontamination", _bounded(decontamination)),
+    ("pii", _bounded(personal_data)),
+    ("packing", _bounded(packing)),
 ]
 
 #: Language models, MinHash groups and packing aren't expressible in SQL; tests hold the stages against brute force.
