@@ -70,23 +70,30 @@ def rings_meeting(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
     return both.filter(first).filter(rings_meet(F.col("ring_a"), F.col("ring_b"))).select("a", "b")
 
 
-def nearest(points: DataFrame, targets: DataFrame, size: float, rounds: int = 40) -> DataFrame:
+def nearest(points: DataFrame, targets: DataFrame, size: float, by: str | None = None, rounds: int = 40) -> DataFrame:
     """Rows (id, target, d): of the targets (target, x, y) the nearest to each point (id, x, y), the least of several; none without targets.
 
-    Points look at the nine cells around them; a target at most a cell's side away is the nearest. The others look again in
-    cells twice as large, so that each round joins fewer points.
+    by: a column of targets with few values; then a row for each point and value, with the nearest target of that value. Points look at
+    the nine cells around them; a target at most a cell's side away is the nearest. The others look again in cells twice as large, so
+    that each round joins fewer points. All values share the rounds.
     """
-    done, left = None, points.select("id", "x", "y")
+    keys = ["id"] if by is None else ["id", by]
+    left = points.select("id", "x", "y")
+    if by is not None:
+        left = left.crossJoin(F.broadcast(targets.select(by).distinct()))  # a row a value
     if targets.isEmpty():
-        return left.select("id", F.lit(None).cast(targets.schema["target"].dataType).alias("target"), F.lit(None).cast("double").alias("d"))
+        return left.select(*keys, F.lit(None).cast(targets.schema["target"].dataType).alias("target"), F.lit(None).cast("double").alias("d"))
+    done = None
     for _ in range(rounds):
-        t = targets.select("target", F.col("x").alias("tx"), F.col("y").alias("ty"), cell(F.col("x"), size).alias("cx"), cell(F.col("y"), size).alias("cy"))
-        p = left.select("*", F.inline(around(cell(F.col("x"), size), cell(F.col("y"), size))))
-        met = p.join(t, ["cx", "cy"]).select("id", F.struct(distance(F.col("x"), F.col("y"), F.col("tx"), F.col("ty")).alias("d"), "target").alias("m"))
-        best = met.groupBy("id").agg(F.min("m").alias("m")).filter(F.col("m.d") <= size).select("id", "m.target", "m.d")
-        best = cut_lineage(best)
-        done = best if done is None else done.union(best)
-        left = cut_lineage(left.join(best, "id", "left_anti"))
+        near = cell(F.col("x"), size), cell(F.col("y"), size)
+        t = targets.select(*keys[1:], "target", F.col("x").alias("tx"), F.col("y").alias("ty"), near[0].alias("cx"), near[1].alias("cy"))
+        met = left.select("*", F.inline(around(*near))).join(t, [*keys[1:], "cx", "cy"])
+        d = distance(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"))
+        best = met.groupBy(*keys).agg(F.min(F.struct(d.alias("d"), "target")).alias("m")).filter(F.col("m.d") <= size)
+        state = cut_lineage(left.join(best, keys, "left"))
+        found = state.filter("m IS NOT NULL").select(*keys, "m.target", "m.d")
+        done = found if done is None else done.union(found)
+        left = state.filter("m IS NULL").drop("m")
         if left.isEmpty():
             return done
         size *= 2

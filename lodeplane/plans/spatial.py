@@ -64,12 +64,12 @@ SELECT id, round(sum(CASE mode WHEN 0 THEN 0.5 * exp(-d / 800) WHEN 1 THEN 0.3 *
 """)
 def knn_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest target of each of three modes, with decaying weights."""
-    points, targets = _points(spark, sf_dir, "customer", "c_custkey"), _points(spark, sf_dir, "supplier", "s_suppkey").withColumnRenamed("id", "target")
-    total = None
-    for mode, (weight, reach) in enumerate(((0.5, 800.0), (0.3, 350.0), (0.2, 5000.0))):
-        part = nearest(points, targets.filter(F.col("target") % 3 == mode), 300.0).select("id", (F.exp(-F.coalesce("d", F.lit(99_999.0)) / reach) * weight).alias("part"), F.lit(mode).alias("mode"))
-        total = part if total is None else total.union(part)
-    by_mode = total.groupBy("id").agg(*[F.sum(F.when(F.col("mode") == m, F.col("part"))).alias(f"m{m}") for m in range(3)])
+    points = _points(spark, sf_dir, "customer", "c_custkey")
+    targets = _points(spark, sf_dir, "supplier", "s_suppkey").withColumnRenamed("id", "target").withColumn("mode", F.col("target") % 3)
+    near = nearest(points, targets, 300.0, by="mode")
+    weights = ((0.5, 800.0), (0.3, 350.0), (0.2, 5000.0))
+    of = lambda m, w, reach: F.sum(F.when(F.col("mode") == m, F.exp(-F.coalesce("d", F.lit(99_999.0)) / reach) * w)).alias(f"m{m}")
+    by_mode = near.groupBy("id").agg(*[of(m, *x) for m, x in enumerate(weights)])
     return by_mode.select("id", F.round(F.col("m0") + F.col("m1") + F.col("m2"), 6).alias("score"))
 
 

@@ -5,17 +5,20 @@ import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from lodeplane.functions import text as T
-from lodeplane.functions.geo import ORIGIN_LAT, ORIGIN_LON, area, inside, projected
+from lodeplane.functions.geo import ORIGIN_LAT, ORIGIN_LON, area, hull, inside, inside_rings, is_simple, point_on_surface, projected, rings_meet
 from lodeplane.operators import quality as Q
 from lodeplane.operators.graph import connected_components, stars
 from lodeplane.operators.history import incremental_merge, lifecycle, scd2_apply, stable_ids
-from lodeplane.operators.linkage import entities, jaccard_pairs
+from lodeplane.operators.linkage import edit_pairs, entities, jaccard_pairs
 from lodeplane.operators.relational import any_join, latest_by, mode_by, newest_by, numbered, or_join, range_lookup, two_pass_lookup
 from lodeplane.operators.series import change_rates, weighted_mean
 from lodeplane.operators.spatial import density_clusters, nearest, points_in_polygons, within_distance, without_overlaps
-from lodeplane.sources.files import SchemaChanged, append_after, evolved, overwrite_slices, read_landing
+from lodeplane.session import checkpoint_dir, release, stored
+from lodeplane.sources.files import SchemaChanged, append_after, carried_forward, evolved, newest_file, overwrite_slices, read_json_lines, read_landing
+from lodeplane.sources.sinks import row_gate, updated
 from lodeplane.streaming.events import drain, event_stream, windowed_counts
 
 
@@ -264,3 +267,123 @@ def test_stars_keep_components():
         assert dict(zip(*(x.tolist() for x in stars(u, v)), strict=True)) == {x: r for x, r in root.items() if x != r}
     path = np.arange(5000)
     assert stars(path[1:], path[:-1])[1].max() == 0
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_edit_join_loses_no_pair(spark):
+    random.seed(5)
+    names = ["".join(random.choice("ab c") for _ in range(random.randint(0, 9))) for _ in range(120)]
+    rows = [(i, "xy"[i % 2], n) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "id int, block string, name string")
+    for least in (0.6, 0.75, 0.9):
+        want = {(i, j) for i, p, a in rows for j, q, b in rows if i < j and p == q and a and b and 1 - edit_distance(a, b) / max(len(a), len(b)) >= least}
+        assert {(r.a, r.b) for r in edit_pairs(df, "id", "block", "name", least).collect()} == want and want
+    with pytest.raises(ValueError):
+        edit_pairs(df, "id", "block", "name", 0.5)
+
+
+RING = "array<struct<x: double, y: double>>"
+
+
+def shapes(spark, rings):
+    return spark.createDataFrame([(i, r) for i, r in enumerate(rings)], f"id int, ring {RING}")
+
+
+def test_hulls_against_brute_force(spark):
+    random.seed(8)
+    clouds = [[(float(random.randint(0, 6)), float(random.randint(0, 6))) for _ in range(n)] for n in (1, 2, 3, 5, 9, 20, 20, 20)] + [[(0.0, 0.0), (1.0, 1.0), (2.0, 2.0)], []]
+    turn = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    for row in shapes(spark, clouds).select("id", hull(F.col("ring")).alias("h")).collect():
+        points, got = sorted(set(clouds[row.id])), [(p.x, p.y) for p in row.h]
+        between = lambda p, q, r: turn(p, q, r) == 0 and min(p, q) < r < max(p, q)
+        corner = lambda p: len(points) < 3 or any(all(turn(p, q, r) >= 0 for r in points) and not any(between(x, q, p) for x in points) for q in points if q != p)
+        assert len(set(got)) == len(got) and set(got) == {p for p in points if corner(p)}, points
+        assert len(got) < 3 or all(turn(got[i - 2], got[i - 1], got[i]) > 0 for i in range(len(got)))
+
+
+def test_rings_that_meet_and_points_on_sides(spark):
+    square = lambda x, y, s: [(x, y), (x + s, y), (x + s, y + s), (x, y + s)]
+    cases = [(square(0.0, 0.0, 4.0), square(4.0, 4.0, 1.0), True), (square(0.0, 0.0, 4.0), square(1.0, 1.0, 1.0), True), (square(1.0, 1.0, 1.0), square(0.0, 0.0, 4.0), True), (square(0.0, 0.0, 1.0), square(2.0, 0.0, 1.0), False)]
+    df = spark.createDataFrame(cases, f"a {RING}, b {RING}, want boolean")
+    assert df.filter(rings_meet(F.col("a"), F.col("b")) != F.col("want")).count() == 0
+    point = lambda x, y: inside_rings(F.lit(x), F.lit(y), F.array("a", "b"))
+    got = df.limit(2).select(*[point(x, y) for x, y in ((2.5, 2.5), (1.5, 1.5), (1.0, 1.5), (0.0, 2.0), (5.0, 5.0), (4.5, 4.5))]).collect()
+    assert [list(r) for r in got] == [[True, True, True, False, False, True], [True, False, False, False, False, False]]
+
+
+def test_validity_and_points_on_surfaces(spark):
+    bow, line, repeated, bent = [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0)], [(0.0, 0.0), (1.0, 1.0), (2.0, 2.0)], [(0.0, 0.0), (0.0, 0.0), (1.0, 0.0), (0.0, 1.0), (0.0, 0.0)], [(0.0, 0.0), (9.0, 0.0), (9.0, 1.0), (1.0, 1.0), (1.0, 9.0), (0.0, 9.0)]
+    df = shapes(spark, [bow, line, repeated, bent])
+    assert [r[0] for r in df.orderBy("id").select(is_simple(F.col("ring"))).collect()] == [False, False, True, True]
+    middle = df.filter("id = 3").select("ring", point_on_surface(F.col("ring")).alias("p"))
+    assert middle.filter(inside(F.col("p.x"), F.col("p.y"), F.col("ring"))).count() == 1
+    assert df.filter("id = 1").select(point_on_surface(F.col("ring"))).first()[0] is None
+
+
+def test_addresses_and_lookups(spark):
+    rules = ((r"\bavenida\b", "avenue"), (r"\bavenue\b", "av"))
+    assert col(spark, lambda c: T.ruled_address(c, rules), "Avenida  Á, apt 3 door B") == "av a" and col(spark, lambda c: T.ruled_address(c, rules), None) is None
+    look = lambda a, p: col(spark, lambda c: T.lookup_text(c, F.lit(p).cast("string")), a)
+    assert (look("a b porto", "Porto"), look("a b", "Porto"), look(None, "Porto"), look("a", None), look("", None)) == ("a b porto", "a b, Porto", "Porto", "a", None)
+
+
+def test_content_hashes(spark):
+    one = spark.createDataFrame([(1, " a ", True, None)], "n int, t string, b boolean, x string")
+    two = spark.createDataFrame([(1.0, "a", True)], "n double, t string, b boolean")
+    first = one.select(T.content_hash(one, ["n", "t", "b", "x"])).first()[0]
+    assert first == two.select(T.content_hash(two, ["b", "t", "n"])).first()[0]
+    other = spark.createDataFrame([("1", "a", 1)], "n string, t string, b int")
+    assert first != other.select(T.content_hash(other, ["n", "t", "b"])).first()[0]
+    with pytest.raises(TypeError):
+        T.content_hash(spark.createDataFrame([([1],)], "n array<int>"), ["n"])
+
+
+def test_sounds(spark):
+    pairs = spark.createDataFrame([("smith jon", "smyth john", True), ("smith", "schmidt", False), ("", "", False), ("tab", "top", True)], "a string, b string, want boolean")
+    assert pairs.filter(T.sounds_alike(F.col("a"), F.col("b")) != F.col("want")).count() == 0
+    assert pairs.limit(1).select(T.trigram_similarity(F.col("a"), F.col("a")), T.trigram_similarity(F.lit(""), F.lit("a"))).first()[:] == (1.0, 0.0)
+
+
+def test_landing_lines_newest_files_and_gates(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"k": 1, "v": "x"}\n{"k": 2, "v"\n\n{"k": "no number"}\n')
+    (tmp_path / "b.json").write_text('{"k": 3}\n')
+    schema = S.StructType([S.StructField("k", S.LongType()), S.StructField("v", S.StringType())])
+    good, bad = read_json_lines(spark, str(tmp_path), schema)
+    assert sorted((r.k, r.v) for r in good.collect()) == [(1, "x"), (3, None)] and bad.count() == 2
+    assert [r.k for r in newest_file(spark.read.schema(schema).json(str(tmp_path))).collect()] == [3]
+    gates = row_gate({"a": (spark.range(3), 3, None), "b": (spark.range(3), None, 2), "c": (spark.range(0), None, None)})
+    assert {r.name: (r.n_rows, r.passes) for r in gates.collect()} == {"a": (3, True), "b": (3, False), "c": (0, True)}
+
+
+def test_updates_and_details(spark, tmp_path):
+    spark.createDataFrame([(1, None), (2, 5)], "k int, v int").write.parquet(f"{tmp_path}/t")
+    assert sorted(spark.read.parquet(updated(f"{tmp_path}/t", spark, F.col("v") > 3, {"v": F.lit(0)})).collect()) == [(1, None), (2, 0)]
+    known, fresh = spark.createDataFrame([(1, 5), (2, 5), (3, 1)], "k int, seen int"), spark.createDataFrame([(1, 9)], "k int, seen int")
+    assert sorted(map(tuple, carried_forward(known, fresh, ["k"], "seen", F.lit(2)).collect())) == [(1, 9, False), (2, 5, True)]
+
+
+def test_stored_tables_are_released_and_a_cluster_needs_a_shared_folder(spark):
+    df = stored(spark.range(3), "test")
+    assert df.count() == 3 and release(spark) >= 1
+    with pytest.raises(Exception):
+        df.count()
+
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "_jsc": type("J", (), {"sc": staticmethod(lambda: spark.sparkContext._jsc.sc().getClass() and _NoFolder())})})
+
+    class _NoFolder:
+        @staticmethod
+        def getCheckpointDir():
+            return type("None_", (), {"isDefined": staticmethod(lambda: False)})
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Cluster)
