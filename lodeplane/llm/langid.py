@@ -1,10 +1,14 @@
 """Language identification with interpolated Kneser-Ney character language models, one a language.
 
-Texts become sequences of 64 symbols: a boundary for every run of characters that aren't letters, a to z, and 37 classes of other
-letters. Sequences of four symbols are counted over all training texts, per task and then by key; there are at most 64**4 of
-them in a language, which bounds the model. Lower orders count the distinct predecessors (continuation counts). Each order's
+Texts become sequences of 1024 symbols: a boundary for every run of characters that aren't letters, a to z, and 997 classes of other
+letters, by their code points' remainders: the letters of an alphabet or syllabary are symbols of their own, and of the thousands of a
+logographic script few are alike. Sequences of four symbols are counted over all training texts, per task and then by key; a model
+grows with the different sequences of its language. Lower orders count the distinct predecessors (continuation counts). Each order's
 n-grams stand in a sorted array of packed keys with their probabilities; a text is looked up by binary search.
 
+Of languages with equal cross-entropy the first by name is taken. A null in lang or text leaves a row out of the training; repeated rows count
+as often as they stand there in the counts, and once in the calibration. Without training rows all texts are `und`.
+
 The language with the lowest cross-entropy per symbol wins. Rejection is calibrated on all training texts, each scored by models
 that learned from the other fold alone: a text is rejected if its cross-entropy lies more than `tolerance` deviations above its
 language's centre, where the variance has a part that shrinks with the text's length and a part that doesn't. A language with few
@@ -30,7 +34,9 @@ from pyspark.sql import functions as F
 from lodeplane.llm.common import shield, pieces, stored, strings, table
 from lodeplane.llm.words import in_sorted
 
-ORDER, BITS = 4, 6
+ORDER, BITS = 4, 10
+#: Classes of the letters other than a to z, a prime.
+CLASSES = 997
 PAD = "\n" * (ORDER - 1)
 #: Folds of the training texts that calibrate rejection.
 FOLDS = 2
@@ -47,13 +53,13 @@ SCORE_SYMBOLS = 48
 @functools.cache
 def symbol_table() -> np.ndarray:
     """Symbols of the code points below 65,536."""
-    out = np.zeros(65_536, np.uint8)
+    out = np.zeros(65_536, np.uint16)
     for cp in range(65_536):
         c = chr(cp)
         if not c.isalpha():
             continue
         low = c.lower()[0] if c.lower() else c
-        out[cp] = 1 + ord(low) - 97 if "a" <= low <= "z" else 27 + (ord(unicodedata.normalize("NFC", low)[0]) * 40_503 >> 4) % 37
+        out[cp] = 1 + ord(low) - 97 if "a" <= low <= "z" else 27 + ord(unicodedata.normalize("NFC", low)[0]) % CLASSES
     return out
 
 
@@ -67,7 +73,7 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     high = np.flatnonzero(cps > 65_535)
     if len(high):
         kinds, of = np.unique(cps[high], return_inverse=True)
-        sym[high] = np.array([63 if chr(c).isalpha() else 0 for c in kinds.tolist()], np.uint8)[of]
+        sym[high] = np.array([27 + c % CLASSES if chr(c).isalpha() else 0 for c in kinds.tolist()], np.uint16)[of]
     keep = np.ones(len(sym), bool)
     keep[1:] = (sym[1:] != 0) | (sym[:-1] != 0)
     for i in range(ORDER - 1):
@@ -79,10 +85,10 @@ def grams(sym: np.ndarray) -> np.ndarray:
     """Packed keys of all runs of ORDER symbols."""
     m = len(sym) - ORDER + 1
     if m <= 0:
-        return np.zeros(0, np.uint32)
-    out = sym[:m].astype(np.uint32)
+        return np.zeros(0, np.uint64)
+    out = sym[:m].astype(np.uint64)
     for i in range(1, ORDER):
-        out = out << np.uint32(BITS) | sym[i : i + m]
+        out = out << np.uint64(BITS) | sym[i : i + m]
     return out
 
 
@@ -114,7 +120,7 @@ class Models:
         out = np.empty((len(key), len(self.langs)))
         out[there] = level.p[at[there]]
         if len(miss := np.flatnonzero(~there)):
-            out[miss] = lowered(level, key[miss]) * self.probability(key[miss] & np.uint32((1 << BITS * (order - 1)) - 1), order - 1)
+            out[miss] = lowered(level, key[miss]) * self.probability(key[miss] & np.uint64((1 << BITS * (order - 1)) - 1), order - 1)
         return out
 
     def log_probability(self, key: np.ndarray) -> np.ndarray:
@@ -141,7 +147,7 @@ class Models:
 
 def lowered(level: Level, key: np.ndarray) -> np.ndarray:
     """The weight that the order below gets after the contexts of these keys; 1 where the context is unknown."""
-    at, there = in_sorted(key >> np.uint32(BITS), level.contexts)
+    at, there = in_sorted(key >> np.uint64(BITS), level.contexts)
     return np.where(there[:, None], level.back[at], 1.0) if len(level.contexts) else np.ones((len(key), 1))
 
 
@@ -155,23 +161,23 @@ def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
     langs = sorted(counts)
     by_order: list[dict[str, tuple[np.ndarray, np.ndarray]]] = [counts]
     for order in range(ORDER - 1, 0, -1):
-        by_order.insert(0, {x: np.unique(by_order[0][x][0] & np.uint32((1 << BITS * order) - 1), return_counts=True) for x in langs})
+        by_order.insert(0, {x: np.unique(by_order[0][x][0] & np.uint64((1 << BITS * order) - 1), return_counts=True) for x in langs})
     models = Models(langs, [], np.zeros(0), *np.zeros((3, len(langs))))
     for order in range(1, ORDER + 1):
         keys = np.unique(np.concatenate([by_order[order - 1][x][0] for x in langs]))
-        contexts = np.unique(keys >> np.uint32(BITS))
+        contexts = np.unique(keys >> np.uint64(BITS))
         own, back = np.zeros((len(keys), len(langs))), np.ones((len(contexts), len(langs)))
         for j, x in enumerate(langs):
             k, c = by_order[order - 1][x]
             if not len(k):
                 continue
             d = discount(c)
-            context, at = np.searchsorted(contexts, k >> np.uint32(BITS)), np.searchsorted(keys, k)
+            context, at = np.searchsorted(contexts, k >> np.uint64(BITS)), np.searchsorted(keys, k)
             totals, kinds = np.bincount(context, c, len(contexts)), np.bincount(context, minlength=len(contexts))
             own[at, j] = np.maximum(c - d, 0) / totals[context]
             back[:, j] = np.where(totals > 0, d * kinds / np.maximum(totals, 1), 1.0)
         level = Level(keys, own, contexts, back)
-        level.p = own + lowered(level, keys) * models.probability(keys & np.uint32((1 << BITS * (order - 1)) - 1), order - 1)
+        level.p = own + lowered(level, keys) * models.probability(keys & np.uint64((1 << BITS * (order - 1)) - 1), order - 1)
         models.levels.append(level)
     models.log_top = np.log(models.levels[-1].p).astype(np.float32)
     return models
@@ -197,9 +203,9 @@ def gram_counts(training: DataFrame) -> DataFrame:
             keys, n = merged(x)
             for i in range(0, len(keys), 100_000):
                 k = keys[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array([fold] * len(k), pa.int32()), pa.array(k.astype(np.int32)), pa.array(n[i : i + 100_000])], names=["lang", "fold", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array([fold] * len(k), pa.int32()), pa.array(k.view(np.int64)), pa.array(n[i : i + 100_000])], names=["lang", "fold", "gram", "n"])
 
-    return training.select("lang", "text", "fold").mapInArrow(run, "lang string, fold int, gram int, n long").groupBy("lang", "fold", "gram").agg(F.sum("n").alias("n"))
+    return training.select("lang", "text", "fold").mapInArrow(run, "lang string, fold int, gram long, n long").groupBy("lang", "fold", "gram").agg(F.sum("n").alias("n"))
 
 
 def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -240,11 +246,11 @@ def spreads(scores: DataFrame) -> DataFrame:
 def train(training: DataFrame) -> Models | None:
     """Models of all languages in training (columns lang, text; rows with a null in either are left out); None if there are none."""
     training = training.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"))
-    found = gram_counts(training).toPandas()  # at most 64**4 rows a language and fold
+    found = gram_counts(training).toPandas()  # a row for each different sequence of a language and fold
     counts: dict[int, dict[str, tuple[np.ndarray, np.ndarray]]] = {f: {} for f in range(FOLDS)}
     for (lang, fold), x in found.groupby(["lang", "fold"]):
         x = x.sort_values("gram")
-        counts[int(fold)][str(lang)] = (x["gram"].to_numpy().astype(np.uint32), x["n"].to_numpy())
+        counts[int(fold)][str(lang)] = (x["gram"].to_numpy().astype(np.uint64), x["n"].to_numpy())
     del found
 
     def without(fold: int | None) -> dict[str, tuple[np.ndarray, np.ndarray]]:

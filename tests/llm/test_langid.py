@@ -4,7 +4,7 @@ import random
 import string
 
 import numpy as np
-from lodeplane.llm.langid import ORDER, discount, grams, identify, in_known_language, op9_kneser_ney_language_id, symbols, train
+from lodeplane.llm.langid import BITS, ORDER, discount, grams, identify, in_known_language, op9_kneser_ney_language_id, symbols, train
 from tests.oracle import SF
 
 TEXTS = {"en": "the quick brown fox jumps over the lazy dog and runs away from the house", "de": "der schnelle braune fuchs springt über den faulen hund und läuft davon"}
@@ -29,7 +29,7 @@ def kneser_ney(seqs):
     def p(gram):
         n = len(gram)
         if not n:
-            return 1 / 64
+            return 1 / (1 << BITS)
         own = {g: c for g, c in counts[n].items() if g[:-1] == gram[:-1]}
         if not own:
             return p(gram[1:])
@@ -52,8 +52,8 @@ def test_probabilities_follow_the_definition(spark):
 
 def test_probabilities_sum_to_one(spark):
     models = train(training(spark))
-    for context in (0, 5, 20 << 12 | 8 << 6 | 5):
-        keys = np.arange(64, dtype=np.uint32) | np.uint32(context << 6)
+    for context in (0, 5, 20 << 2 * BITS | 8 << BITS | 5):
+        keys = np.arange(1 << BITS, dtype=np.uint64) | np.uint64(context << BITS)
         assert np.allclose(models.probability(keys, ORDER).sum(axis=0), 1)
 
 
@@ -103,3 +103,30 @@ def test_texts_of_no_known_language_are_rejected(spark):
     noise = spark.createDataFrame([(i, "".join(draw.choices(string.ascii_lowercase + "   ", k=30))) for i in range(100)], "doc_id long, text string")
     assert identify(noise, models).filter("rejected").count() == 100
     assert identify(docs.filter("lang <> 'de'"), models).filter("rejected").count() < 0.01 * docs.count()
+
+
+SCRIPTS = {
+    "ru": "каждое утро старый мельник выходил на крыльцо и смотрел как солнце поднимается над тихой рекой где рыбаки уже чинили свои сети а дети бежали в школу через мокрый луг",
+    "uk": "щоранку старий мельник виходив на ґанок і дивився як сонце підіймається над тихою річкою де рибалки вже лагодили свої сіті а діти бігли до школи через мокрий луг",
+    "ja": "毎朝年老いた粉屋は玄関に出て静かな川の上に太陽が昇るのを眺めました漁師たちはもう網を直していて子供たちは濡れた草原を通って学校へ走って行きました",
+    "zh": "每天早晨老磨坊主都会走到门廊上看着太阳从宁静的河面上升起渔夫们已经在修补他们的渔网孩子们穿过湿润的草地跑去上学",
+}
+
+
+def test_languages_of_one_script_are_told_apart(spark):
+    """Two languages each of the Cyrillic and the Han script; texts are cut anew, so that none was learned as it stands."""
+    cut = lambda t, i, n: (t * 2)[i : i + n]
+    rows = [(x, cut(t, 5 * i, 40)) for x, t in SCRIPTS.items() for i in range(len(t) // 5)]
+    models = train(spark.createDataFrame(rows, "lang string, text string"))
+    tests = spark.createDataFrame([(x, cut(t, 7 * i + 3, 25)) for x, t in SCRIPTS.items() for i in range(len(t) // 7)], "lang string, text string")
+    found = identify(tests, models)
+    assert found.filter("lang_pred <> lang").count() == 0 and tests.count() > 50
+    latin = spark.createDataFrame([("the quick brown fox jumps over the lazy dog and runs away from the house",)], "text string")
+    assert identify(latin, models).filter("rejected").count() == 1
+
+
+def test_a_long_text(spark, make):
+    models = train(training(spark))
+    long = " ".join([TEXTS["de"]] * 30_000)
+    out = {r.doc_id: r for r in identify(make([(1, long), (2, "the dog runs away")]), models).collect()}
+    assert out[1].lang_pred == "de" and not out[1].rejected and out[2].lang_pred == "en"
