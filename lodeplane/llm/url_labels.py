@@ -24,10 +24,16 @@ FRONTS = ("", "www.", "blog.", "m.")
 PATHS = ("/en/{}", "/de/{}.html", "/fr/{}/", "/es/{}", "/{}/index.html", "/")
 
 
+#: Hosts that say nothing, under which a path alone tells.
+PLAIN_HOSTS = ("www.example.com", "m.example.net", "shop.example.org", "blog.example.com", "info.example.net", "start.example.org", "page.example.com")
+PATH_FORMS = ("/en/{name}", "/{name}/{n}.html", "/c/{name}?id={n}", "/{n}/{name}/", "/de/{n}-{name}")
+
+
 def labelled_urls() -> list[tuple[str, int]]:
-    """Each name once, with fronts, endings and paths dealt out evenly over both labels, so that these say nothing."""
+    """Each name once in a host and once in a path; fronts, endings and forms are dealt out evenly over both labels, so that these say nothing."""
     out = []
     for label, names in ((1, UNWANTED), (0, ORDINARY)):
         for i, name in enumerate(names):
             out.append((f"https://{FRONTS[i % 4]}{name}.{ENDINGS[i % 3]}{PATHS[i % 6].format(100 + 37 * i)}", label))
+            out.append((f"https://{PLAIN_HOSTS[i % 7]}{PATH_FORMS[i % 5].format(name=name, n=200 + 53 * i)}", label))
     return out

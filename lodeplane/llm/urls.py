@@ -60,7 +60,7 @@ def features(urls: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, regularisation: float = 0.003) -> LogisticRegressionModel:
     """A model from a small table (url, label), label 1 for block."""
     rows = features(labelled.coalesce(1).select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("label").cast("double")))
-    return LogisticRegression(featuresCol="_features", labelCol="label", regParam=regularisation, maxIter=100, standardization=False).fit(rows)
+    return LogisticRegression(featuresCol="_features", labelCol="label", regParam=regularisation, maxIter=100, tol=1e-4, standardization=False).fit(rows)
 
 
 def judge(urls: DataFrame, model: LogisticRegressionModel, rules: Sequence[tuple[str, str]] = RULES, threshold: float = 0.5) -> DataFrame:

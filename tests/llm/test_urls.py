@@ -1,7 +1,10 @@
+import math
+import random
 import re
 
+import numpy as np
 from lodeplane.llm.url_labels import labelled_urls
-from lodeplane.llm.urls import RULES, judge, op2_url_ngram_filter, train
+from lodeplane.llm.urls import FEATURES, GRAMS, RULES, judge, op2_url_ngram_filter, train
 from pyspark.sql import functions as F
 from tests.oracle import SF
 
@@ -42,13 +45,65 @@ def test_rules_and_odd_urls(spark):
     assert judge(urls.limit(0), model(spark)).count() == 0
 
 
-def test_leave_every_fifth_name_out(spark):
-    """The model tells names that it hasn't seen apart better than chance, and the ones it has seen almost always."""
+def test_names_not_seen(spark):
+    """In five turns a fifth of the names is left out, in hosts and paths: these are told apart far better than chance, the others almost always."""
     rows = labelled_urls()
-    seen, unseen = [r for i, r in enumerate(rows) if i % 5], [r for i, r in enumerate(rows) if not i % 5]
-    fitted = train(spark.createDataFrame(seen, "url string, label int"))
-    share = lambda x: judge(spark.createDataFrame(x, "url string, label int"), fitted).agg(F.avg(((F.col("p_block") >= 0.5).cast("int") == F.col("label")).cast("int"))).first()[0]
-    assert share(seen) > 0.95 and share(unseen) > 0.6
+    fold = [i % 5 for i in range(len(rows) // 2)]
+    random.Random(1).shuffle(fold)
+    known, new = [], []
+    for k in range(5):
+        seen, unseen = [r for i, r in enumerate(rows) if fold[i // 2] != k], [r for i, r in enumerate(rows) if fold[i // 2] == k]
+        fitted = train(spark.createDataFrame(seen, "url string, label int"))
+        right = ((F.col("p_block") >= 0.5).cast("int") == F.col("label")).cast("int")
+        share = lambda x: judge(spark.createDataFrame(x, "url string, label int"), fitted).agg(F.avg(right)).first()[0]  # noqa: E731, B023
+        known.append(share(seen))
+        new.append(share(unseen))
+    assert min(known) > 0.95 and sum(new) / 5 > 0.7, (known, new)
+
+
+def murmur(data, seed=42):
+    """32-bit MurmurHash3 of bytes, as signed number."""
+    mask, h = 0xFFFFFFFF, seed
+    rotate = lambda x, r: ((x << r) | (x >> (32 - r))) & mask
+    for i in range(0, len(data), 4):
+        part = data[i : i + 4]
+        k = rotate(int.from_bytes(part, "little") * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask
+        h ^= k
+        if len(part) == 4:
+            h = (rotate(h, 13) * 5 + 0xE6546B64) & mask
+    h ^= len(data)
+    for r, m in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = (h ^ (h >> r)) * m & mask
+    return h - (h >> 31 << 32)
+
+
+def plain_features(url):
+    host, path = parts(url)
+    out = set()
+    for mark, text in (("h", f" {host} "), ("p", " " + re.sub("[0-9]+", "0", path) + " ")):
+        out |= {murmur((mark + text[i : i + n]).encode()) % FEATURES for n in GRAMS for i in range(len(text) - n + 1)}
+    return sorted(out)
+
+
+def test_the_regression_against_plain_python(spark):
+    """Features, probabilities, and that the weights are those where the regularised loss is least: its slopes there are nearly zero."""
+    rows, fitted = labelled_urls(), model(spark)
+    weights, bias = fitted.coefficients.toArray(), fitted.intercept
+    features = [plain_features(u) for u, _ in rows]
+    p = np.array([1 / (1 + math.exp(-sum(weights[x]) - bias)) for x in features])
+    got = {r.url: r.p_block for r in judge(spark.createDataFrame(rows, "url string, label int"), fitted).collect()}
+    assert np.allclose([got[u] for u, _ in rows], p, atol=1e-9)
+    off = p - np.array([x for _, x in rows])
+    slope = 0.003 * weights
+    for x, o in zip(features, off, strict=True):
+        slope[x] += o / len(rows)
+    assert abs(off.mean()) < 2e-3 and np.abs(slope).max() < 2e-3
+
+
+def test_a_long_url_and_clashing_columns(spark):
+    rows = [(1, "https://www.example.org/" + "a/b" * 200_000, 5, "r"), (1, None, 6, "s"), (None, "https://casino.example.org/", 7, "t")]
+    out = judge(spark.createDataFrame(rows, "page_id long, url string, p_block int, rule string"), model(spark))
+    assert out.columns == ["page_id", "url", "host", "path", "rule", "verdict", "p_block"] and out.count() == 3
 
 
 def test_query(spark):
