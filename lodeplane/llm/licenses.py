@@ -30,6 +30,8 @@ CANDIDATE = 0.7
 COVERAGE, SHORT = 0.85, 12
 #: Share of the words from the first match to the last that must match.
 DENSITY = 0.8
+#: Runs of a template, at their longest, in a stretch of a text that is searched at once.
+SPAN = 16
 #: Words that tell a license from others, those that do so behind `gnu`, and the words from which a template is a full text.
 TELLING = frozenset("sharealike sa noncommercial nc noderivatives noderivs nd endorse".split())
 TELLING_GNU = frozenset("affero lesser library".split())
@@ -137,7 +139,27 @@ class Templates:
         return not lost and not extra and all(follows(j) for j in self.numbers[t])
 
     def matches(self, t: int, key: np.ndarray, place: np.ndarray, kind: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int, int]]:
-        """Matches (first word, end, matched words) of template t in the words lo to hi - 1; what each leaves is searched again.
+        """Matches (first word, end, matched words) of template t in the words lo to hi - 1, in order; a stretch of SPAN runs at a time.
+
+        A match is shorter than twice a run. One that ends so near a stretch's end that it may go on is left to the next stretch, which
+        begins early enough to hold it.
+        """
+        reach = 2 * (len(self.keys[t]) + len(self.keys[t]) // 2 + 2)
+        while lo < hi:
+            i = int(np.searchsorted(place, lo))
+            if i == len(place) or place[i] >= hi:
+                return
+            lo = max(lo, int(place[i]) - reach)  # nothing of the template stands before
+            end = min(hi, lo + SPAN * reach)
+            done = lo
+            for match in sorted(self.matches_within(t, key, place, kind, lo, end)):
+                if match[1] <= end - reach or end == hi:
+                    yield match
+                    done = match[1]
+            lo = max(done, end - 2 * reach) if end < hi else hi
+
+    def matches_within(self, t: int, key: np.ndarray, place: np.ndarray, kind: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int, int]]:
+        """Matches of template t in the words lo to hi - 1; what each leaves is searched again.
 
         place, kind: where the template's words stand, and which. A run that doesn't match stands for those that end within an eighth
         of the template from its end, as their alignments span nearly the same words.
@@ -191,9 +213,10 @@ def disjoint(found: list[tuple[int, int, str, float, int]]) -> list[tuple[int, i
     """Of overlapping matches the one with the most matched words stays, then the shortest, then the first by name."""
     kept: list[tuple[int, int, str, float]] = []
     for x in sorted(found, key=lambda x: (-x[4], x[1] - x[0], x[2], x[0])):
-        if all(x[1] <= y[0] or y[1] <= x[0] for y in kept):
-            kept.append(x[:4])
-    return sorted(kept)
+        at = bisect_left(kept, x[:2])  # only the neighbours in order can overlap
+        if (not at or kept[at - 1][1] <= x[0]) and (at == len(kept) or x[1] <= kept[at][0]):
+            kept.insert(at, x[:4])
+    return kept
 
 
 def scan_licenses(docs: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES) -> DataFrame:

@@ -2,7 +2,7 @@ import random
 import re
 
 from lodeplane.llm.license_texts import NOTICES
-from lodeplane.llm.licenses import op5_patience_license_scan, patience, scan_licenses
+from lodeplane.llm.licenses import disjoint, increasing, op5_patience_license_scan, patience, scan_licenses
 from tests.llm.brute import words
 from tests.oracle import SF
 
@@ -80,3 +80,30 @@ def test_full_texts(spark, make):
     docs.append((99, re.sub("(?i)gnu general", "GNU Affero General", dict(bodies)["gpl-3.0"])))
     found = {r.doc_id: [x["name"] for x in r.licenses] for r in scan_licenses(make(docs)).collect()}
     assert found == {**{i: [n] for i, (n, _) in enumerate(bodies)}, 99: ["agpl-3.0"]}
+
+
+def test_longest_increasing_runs_against_brute_force():
+    random.seed(4)
+    for _ in range(300):
+        seconds = [random.randint(0, 12) for _ in range(random.randint(0, 9))]
+        best: list[int] = []
+        for i, x in enumerate(seconds):
+            best.append(1 + max((best[j] for j in range(i) if seconds[j] < x), default=0))
+        chain = increasing(list(enumerate(seconds)))
+        assert len(chain) == max(best, default=0) and all(x[0] < y[0] and x[1] < y[1] for x, y in zip(chain, chain[1:]))
+
+
+def test_overlapping_matches_ties_and_many_of_them():
+    found = [(0, 5, "b", 1.0, 5), (3, 9, "a", 1.0, 6), (9, 12, "c", 1.0, 3), (9, 12, "a", 1.0, 3), (20, 26, "z", 1.0, 6)]
+    assert disjoint(found) == [(3, 9, "a", 1.0), (9, 12, "a", 1.0), (20, 26, "z", 1.0)]
+    assert len(disjoint([(7 * i, 7 * i + 6, "x", 1.0, 6) for i in range(30_000)])) == 30_000
+
+
+def test_many_notices_in_one_long_text(spark, make):
+    text = "Licensed under the MIT License. some words between "
+    docs = [(1, text * 3000), (1, text * 3000), (2, "licensed under the " * 100_000), (3, f"{NOTICES[3][1]} " * 200)]
+    found = scan_licenses(make(docs).withColumnRenamed("spans", "licenses"))
+    assert found.columns.count("licenses") == 1
+    got = [(r.doc_id, [(x.start, x.end, x["name"]) for x in r.licenses]) for r in found.collect()]
+    assert [(i, len(x)) for i, x in got] == [(1, 3000), (1, 3000), (2, 0), (3, 200)]
+    assert got[0][1] == [(8 * i, 8 * i + 5, "mit") for i in range(3000)]
