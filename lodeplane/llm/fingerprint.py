@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from lodeplane.llm.common import pieces, strings, table
 from lodeplane.llm.words import mixed, powers
 
-K, S = 40, 8
+#: Of a shared passage, 2 K - S code points or more are sure to hold an anchor; about 2 in K - S + 1 places have one.
+K, S = 24, 8
 _BASE = 0x9FB21C651E98DF25
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Code points that are worked on at once.

@@ -93,3 +93,13 @@ def test_query(spark):
         assert 0 <= r.near_next <= 1 and abs(r.near_edited - likeness(read(r.fingerprint), read(r.edited_fingerprint))) < 1e-12
     near = sorted(r.near_edited for r in got)
     assert near[len(near) // 2] > 0.6 and sum(r.near_next > 0.3 for r in got) < 0.1 * len(got)
+
+
+def test_short_texts_are_like_their_edits():
+    """Two thirds of a text of 60 code points hold an anchor; those of shorter ones mostly."""
+    random.seed(12)
+    text = lambda n: "".join(random.choice("etaoin shrdlu") for _ in range(n))
+    near = {n: [likeness(*anchors([t, t[: n - n // 3] + text(n // 3)])) for t in (text(n) for _ in range(40))] for n in range(20, 121, 10)}
+    assert all(min(x) > 0 for n, x in near.items() if n >= 60)
+    assert all(sum(v > 0 for v in x) > 20 for n, x in near.items() if 50 <= n < 60)
+    assert sum(near[120]) / 40 > 0.4
