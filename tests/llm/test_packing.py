@@ -93,3 +93,20 @@ def test_query(spark, tok):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     sizes = held(op4_min_bin_slack_packing(spark, SF).collect(), {d.doc_id: [*tok.tok.encode(d.text or "", add_special_tokens=False).ids, 2] for d in docs})
     assert max(sizes.values()) == 4096 and all(n.bit_count() == 1 for n in sizes.values())
+
+
+def test_a_long_text_and_ties(spark, make, tok):
+    """A text of many windows, and equally long ones that fill the same room."""
+    long = " ".join(f"word{i % 9973}" for i in range(900_000))
+    rows = [(1, long), *((i, "one two three") for i in range(2, 40))]
+    out = pack(make(rows).coalesce(1), tokenizer_file(), 2).collect()
+    short = len(list(tok.encode(pa.array(["one two three"])))[0])
+    by: dict = {}
+    for r in out:
+        by.setdefault(r.doc_id, []).append((r.start, r.length))
+    assert len(by) == len(rows)
+    for i, pieces in by.items():
+        pieces.sort()
+        assert pieces[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(pieces, pieces[1:]))
+        assert i == 1 or sum(n for _, n in pieces) == short
+    assert sum(n for _, n in by[1]) > 900_000

@@ -59,3 +59,10 @@ def test_query(spark):
     for d in docs:
         raw = (d.text or "").encode()
         assert (got[d.doc_id]["size"], got[d.doc_id].text_crc32, got[d.doc_id].law, got[d.doc_id].grown_shard) == (len(raw) + 16, zlib.crc32(raw), "rows", None)
+
+
+def test_long_texts_and_repeated_rows(spark, make):
+    rows = [(i, "x" * 3_000_000) for i in range(4)] + [(9, "same")] * 8 + [(None, None)]
+    out = uniform_shuffle(make(rows), 3).select("doc_id", "shard", "slot").collect()
+    counts = collections.Counter(r.shard for r in out)
+    assert len(out) == 13 and max(counts.values()) - min(counts.values()) <= 1 and len({(r.shard, r.slot) for r in out}) == 13
