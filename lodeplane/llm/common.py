@@ -14,7 +14,7 @@ from lodeplane.session import bounded_batches
 from lodeplane.session import stored as stored  # one way to fix a table
 
 #: Rows, and bytes of text, that a worker takes up at once. A longer text is taken up alone.
-PIECE_ROWS, PIECE_BYTES = 256, 2 << 20
+PIECE_ROWS, PIECE_BYTES = 256, 1 << 20
 #: Bits of a hash that a first filter looks at: a table of 4 MB.
 FILTER_BITS = 22
 

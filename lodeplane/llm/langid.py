@@ -97,7 +97,7 @@ class Level:
     """One order: sorted keys with a probability for each language, sorted contexts with the weight of the order below."""
 
     keys: np.ndarray
-    p: np.ndarray
+    p: np.ndarray | None  # None: the highest order's, kept as logarithms alone
     contexts: np.ndarray
     back: np.ndarray
 
@@ -118,7 +118,7 @@ class Models:
         level = self.levels[order - 1]
         at, there = in_sorted(key, level.keys)
         out = np.empty((len(key), len(self.langs)))
-        out[there] = level.p[at[there]]
+        out[there] = level.p[at[there]] if level.p is not None else np.exp(self.log_top[at[there]])
         if len(miss := np.flatnonzero(~there)):
             out[miss] = lowered(level, key[miss]) * self.probability(key[miss] & np.uint64((1 << BITS * (order - 1)) - 1), order - 1)
         return out
@@ -176,10 +176,11 @@ def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
             totals, kinds = np.bincount(context, c, len(contexts)), np.bincount(context, minlength=len(contexts))
             own[at, j] = np.maximum(c - d, 0) / totals[context]
             back[:, j] = np.where(totals > 0, d * kinds / np.maximum(totals, 1), 1.0)
-        level = Level(keys, own, contexts, back)
+        level = Level(keys, own, contexts, back.astype(np.float32))
         level.p = own + lowered(level, keys) * models.probability(keys & np.uint64((1 << BITS * (order - 1)) - 1), order - 1)
         models.levels.append(level)
     models.log_top = np.log(models.levels[-1].p).astype(np.float32)
+    models.levels[-1].p = None
     return models
 
 
