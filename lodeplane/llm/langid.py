@@ -1,8 +1,7 @@
 """Language identification with interpolated Kneser-Ney character language models, one a language.
 
-Texts become sequences of 1024 symbols: a boundary for every run of characters that aren't letters, a to z, and 997 classes of other
-letters, by their code points' remainders: the letters of an alphabet or syllabary are symbols of their own, and of the thousands of a
-logographic script few are alike. Sequences of four symbols are counted over all training texts, per task and then by key; a model
+Texts become sequences of 64 symbols: a boundary for every run of characters that aren't letters, a to z, and 37 classes of other
+letters, by their code points' remainders: most letters of an alphabet are symbols of their own, the thousands of a logographic script share them. Sequences of four symbols are counted over all training texts, per task and then by key; a model
 grows with the different sequences of its language. Lower orders count the distinct predecessors (continuation counts). Each order's
 n-grams stand in a sorted array of packed keys with their probabilities; a text is looked up by binary search.
 
@@ -34,9 +33,9 @@ from pyspark.sql import functions as F
 from lodeplane.llm.common import shield, pieces, stored, strings, table
 from lodeplane.llm.words import in_sorted
 
-ORDER, BITS = 4, 10
+ORDER, BITS = 4, 6
 #: Classes of the letters other than a to z, a prime.
-CLASSES = 997
+CLASSES = 37
 PAD = "\n" * (ORDER - 1)
 #: Folds of the training texts that calibrate rejection.
 FOLDS = 2
