@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodeplane.llm.alignment import op11_cross_tokenizer_alignment
 from lodeplane.llm.decontam import OP8_SQL, op8_benchmark_decontamination
 from lodeplane.llm.fingerprint import op7_closed_syncmer_fingerprints
 from lodeplane.llm.html import op1_line_block_html
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_kneser_ney_language_id,
         op10_disclosure_sanitisation,
+        op11_cross_tokenizer_alignment,
     )
 }
 
