@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodeplane.llm.alignment import op11_cross_tokenizer_alignment
 from lodeplane.llm.decontam import OP8_SQL, op8_benchmark_decontamination
 from lodeplane.llm.fingerprint import op7_closed_syncmer_fingerprints
+from lodeplane.llm.grid_join import op13_epsilon_grid_vectors
 from lodeplane.llm.html import op1_line_block_html
 from lodeplane.llm.langid import op9_kneser_ney_language_id
 from lodeplane.llm.licenses import op5_patience_license_scan
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_kneser_ney_language_id,
         op10_disclosure_sanitisation,
         op11_cross_tokenizer_alignment,
+        op13_epsilon_grid_vectors,
     )
 }
 
