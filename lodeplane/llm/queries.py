@@ -17,6 +17,7 @@ from lodeplane.llm.ngram_join import op3_minhash_ngram_join
 from lodeplane.llm.packing import op4_min_bin_slack_packing
 from lodeplane.llm.pii import op10_disclosure_sanitisation
 from lodeplane.llm.sharding import op6_hypergeometric_sharding
+from lodeplane.llm.spelling import op12_spelling_variants
 from lodeplane.llm.urls import op2_url_ngram_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_kneser_ney_language_id,
         op10_disclosure_sanitisation,
         op11_cross_tokenizer_alignment,
+        op12_spelling_variants,
         op13_epsilon_grid_vectors,
     )
 }
