@@ -32,6 +32,8 @@ from lodeplane.llm.common import pieces, stored, table
 
 #: Different units that a worker remembers, and characters of text that it aligns at once.
 UNITS_HELD, PART_CHARS = 300_000, 1 << 20
+#: New units that are encoded as one text.
+UNITS_JOINED = 256
 #: Id pairs whose counts are sent to the tasks (16 bytes each), and rows that a task holds while it counts pairs.
 SENT_PAIRS, COUNTED_ROWS = 2_000_000, 1_000_000
 
@@ -70,7 +72,7 @@ class Side:
     """One tokenizer: the bytes of its ids, the lists of the units met so far, and its texts of ids with what may follow one."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], vocabulary: list[bytes], after: str) -> None:
-        self.encode, self.vocabulary = encode, vocabulary
+        self.encode, self.vocabulary, self.spelling = encode, vocabulary, pa.array(vocabulary, pa.binary())
         self.lengths = pa.array([len(x) for x in vocabulary], pa.int64())
         # an id's text with a comma after it, with what ends its side of a group, and with nothing
         self.texts = [f"{i}{end}" for end in (",", after, "") for i in range(len(vocabulary))]
@@ -80,11 +82,29 @@ class Side:
         self.ids, self.ends = Growing(), Growing(0)
 
     def learn(self, units: list[str]) -> list[bool]:
-        """Keep the units' tokens; whether each unit's bytes are those of a space and the unit."""
-        found = self.encode(units)
-        self.ends.add(self.ids.size + np.cumsum([len(x) for x in found]))
-        self.ids.add(np.fromiter(chain.from_iterable(found), np.int32))
-        return [b"".join([self.vocabulary[i] for i in x]) == b" " + u.encode() for x, u in zip(found, units, strict=True)]
+        """Keep the units' tokens; whether each unit's bytes are those of a space and the unit.
+
+        Units are encoded a few hundred at once, joined by spaces, as tokens end before each; their tokens are told apart by their bytes.
+        """
+        spelled: list[bool] = []
+        groups = [units[i : i + UNITS_JOINED] for i in range(0, len(units), UNITS_JOINED)]
+        for group, found in zip(groups, self.encode([" ".join(g) for g in groups]), strict=True):
+            ids = pa.array(found, pa.int32())
+            spelling, raw = self.spelling.take(ids), f" {' '.join(group)}".encode()
+            ends = np.frombuffer(spelling.buffers()[1], np.int32, len(ids) + 1)[1:] if len(ids) else np.zeros(1, np.int32)
+            if ends[-1] == len(raw) and spelling.buffers()[2].slice(0, len(raw)).to_pybytes() == raw:
+                sizes = pc.binary_length(pa.array(group)).to_numpy() + 1
+                self.keep(ids.to_numpy(), np.searchsorted(ends, np.cumsum(sizes)) + 1)
+                spelled += [True] * len(group)
+            else:
+                for unit, ids in zip(group, self.encode(group), strict=True):
+                    self.keep(np.array(ids, np.int32), np.array([len(ids)]))
+                    spelled.append(b"".join([self.vocabulary[i] for i in ids]) == b" " + unit.encode())
+        return spelled
+
+    def keep(self, ids: np.ndarray, ends: np.ndarray) -> None:
+        self.ends.add(self.ids.size + ends)
+        self.ids.add(ids)
 
     def tokens(self, units: pa.Array) -> pa.ListArray:
         """The token lists of units, by their numbers."""
