@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed values of the public registry for EPSG:3763: GRS80, transverse Mercator.
@@ -18,7 +18,19 @@ _ALPHA = (
     13 * _N**2 / 48 - 3 * _N**3 / 5,
     61 * _N**3 / 240,
 )
+_BETA = (
+    _N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96,
+    _N**2 / 48 + _N**3 / 15,
+    17 * _N**3 / 480,
+)
+_DELTA = (
+    2 * _N - 2 * _N**2 / 3 - 2 * _N**3,
+    7 * _N**2 / 3 - 8 * _N**3 / 5,
+    56 * _N**3 / 15,
+)
 _E = (FLATTENING * (2 - FLATTENING)) ** 0.5
+#: Numbers of the reference systems that coordinates are turned between: degrees of longitude and latitude, and the national grid in metres.
+DEGREES, GRID = 4326, 3763
 
 
 def mercator_sql(lon: str, lat: str) -> tuple[str, str]:
@@ -45,6 +57,46 @@ def projected(lon: str, lat: str) -> tuple[Column, Column]:
     return F.expr(x), F.expr(y)
 
 
+def degrees_sql(x: str, y: str) -> tuple[str, str]:
+    """SQL for longitude and latitude of a place on the grid: the inverse series, to the third order too."""
+    xi, eta = f"(({y} + {_origin_northing()!r}) / {_RECTIFYING!r})", f"(({x}) / {_RECTIFYING!r})"
+    xi1 = " - ".join([xi, *(f"{b!r} * sin({2 * (j + 1)} * {xi}) * cosh({2 * (j + 1)} * {eta})" for j, b in enumerate(_BETA))])
+    eta1 = " - ".join([eta, *(f"{b!r} * cos({2 * (j + 1)} * {xi}) * sinh({2 * (j + 1)} * {eta})" for j, b in enumerate(_BETA))])
+    conformal = f"asin(sin({xi1}) / cosh({eta1}))"
+    lat = " + ".join([conformal, *(f"{d!r} * sin({2 * (j + 1)} * {conformal})" for j, d in enumerate(_DELTA))])
+    return f"{ORIGIN_LON!r} + degrees(atan2(sinh({eta1}), cos({xi1})))", f"degrees({lat})"
+
+
+def unprojected(x: str, y: str) -> tuple[Column, Column]:
+    lon, lat = degrees_sql(x, y)
+    return F.expr(lon), F.expr(lat)
+
+
+def same_system(*geometries: Column) -> Column:
+    """The reference system that all geometries (with a field srid) have; reading it raises where they don't have one and the same."""
+    first, *others = [g.srid for g in geometries]
+    mixed = first.isNull()
+    for other in others:
+        mixed = mixed | ~first.eqNullSafe(other)
+    said = F.concat_ws(", ", *[F.coalesce(g.srid.cast("string"), F.lit("none")) for g in geometries])
+    return F.when(mixed, F.raise_error(F.concat(F.lit("geometries of different reference systems: "), said)).cast("int")).otherwise(first)
+
+
+def transformed(df: DataFrame, column: str, srid: int) -> DataFrame:
+    """df with a point column (struct<srid, x, y>) in another reference system. A point that is there already stays; a null stays null; any other system raises."""
+    if srid not in (DEGREES, GRID):
+        raise ValueError(f"only {DEGREES} and {GRID} are known")
+    x, y = f"`{column}`.x", f"`{column}`.y"
+    point, there = F.col(column), projected(x, y) if srid == GRID else unprojected(x, y)
+    other = DEGREES if srid == GRID else GRID
+    tag = F.lit(srid).cast(df.schema[column].dataType["srid"].dataType).alias("srid")
+    moved = F.struct(tag, there[0].alias("x"), there[1].alias("y"))
+    unknown = F.raise_error(F.concat(F.lit("unknown reference system: "), F.coalesce(point.srid.cast("string"), F.lit("none")))).cast("int")
+    same = F.struct(tag, point.x.alias("x"), point.y.alias("y"))
+    checked = F.when(point.srid.isin(DEGREES, GRID), point.srid).otherwise(unknown)
+    return df.withColumn(column, F.when(point.isNotNull(), F.when(checked == other, moved).otherwise(same)))
+
+
 def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt((x1 - x2) * (x1 - x2) + (y1 - y2) * (y1 - y2))
 

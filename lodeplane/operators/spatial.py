@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeplane.functions.geo import around, cell, distance, inside_rings, rings_meet
+from lodeplane.functions.overlay import made_valid, overlay, rings_area
 from lodeplane.operators.graph import connected_components
 from lodeplane.session import cut_lineage
 
@@ -113,6 +114,46 @@ def without_overlaps(primary: DataFrame, secondary: DataFrame, block: str, size:
     return primary.union(secondary.join(covered, "id", "left_anti").select(primary.columns))
 
 
+def _boxed(polygons: DataFrame, mark: str, block: str) -> DataFrame:
+    corners = F.flatten(F.filter("rings", lambda r: r.isNotNull()))
+    along = {"x": F.transform(corners, lambda p: p.x), "y": F.transform(corners, lambda p: p.y)}
+    ends = [f(v).alias(f"{mark}_{axis}{i}") for axis, v in along.items() for i, f in enumerate((F.array_min, F.array_max))]
+    return polygons.select(F.col("id").alias(f"{mark}_id"), F.col(block).alias("block"), *ends)
+
+
+def box_pairs(left: DataFrame, right: DataFrame, block: str, size: float) -> DataFrame:
+    """Rows (l_id, r_id, shared) of polygons (id, block, rings) of a block whose boxes share an area, `shared`. Only boxes are dealt to cells, and a pair is met in its first common one."""
+
+    def cells(df: DataFrame, mark: str) -> DataFrame:
+        span = lambda a: F.sequence(cell(F.col(f"{mark}_{a}0"), size), cell(F.col(f"{mark}_{a}1"), size))
+        return _boxed(df, mark, block).filter(f"{mark}_x0 IS NOT NULL").withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y")))
+
+    met = cells(left, "l").join(cells(right, "r"), ["block", "cx", "cy"])
+    low = lambda a: F.greatest(f"l_{a}0", f"r_{a}0")
+    side = lambda a: F.greatest(F.least(f"l_{a}1", f"r_{a}1") - low(a), F.lit(0.0))
+    first = (F.col("cx") == cell(low("x"), size)) & (F.col("cy") == cell(low("y"), size))
+    return met.filter(first).select("l_id", "r_id", (side("x") * side("y")).alias("shared")).filter("shared > 0")
+
+
+def polygon_overlaps(left: DataFrame, right: DataFrame, block: str, size: float, share: float = 0.0) -> DataFrame:
+    """Rows (l_id, r_id, shared, own): the area that polygons (id, block, rings: holes, parts, concave ones) of a block share, and the right one's own.
+
+    With a share, only pairs that share at least so much of the right one. Boxes come first: what their overlap rules out is not overlaid. Ids are
+    taken to be unique on each side; rings are sent once to each pair that is left.
+    """
+    own = right.select(F.col("id").alias("r_id"), F.col("rings").alias("r_rings"), rings_area(made_valid(F.col("rings"))).alias("own"))
+    pairs = box_pairs(left, right, block, size).join(own, "r_id").filter(F.col("shared") >= F.lit(share) * F.col("own"))
+    both = pairs.join(left.select(F.col("id").alias("l_id"), F.col("rings").alias("l_rings")), "l_id")
+    found = both.select("l_id", "r_id", rings_area(overlay(F.col("l_rings"), F.col("r_rings"))).alias("shared"), "own")
+    return found.filter((F.col("shared") > 0) & (F.col("shared") >= F.lit(share) * F.col("own")))
+
+
+def without_polygon_overlaps(primary: DataFrame, secondary: DataFrame, block: str, size: float, share: float = 0.5) -> DataFrame:
+    """Polygons (id, block, rings): all primary ones, and the secondary ones of whose area no single primary one covers `share`. One without an area stays."""
+    covered = polygon_overlaps(primary, secondary, block, size, share).select(F.col("r_id").alias("id"))
+    return primary.union(secondary.join(covered, "id", "left_anti").select(primary.columns))
+
+
 def slopes(grid: DataFrame, side: float) -> DataFrame:
     """grid (tile, row, col, z) of elevations plus slope in degrees by Horn's eight neighbours; null at a tile's rim or beside a gap.
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from lodeplane.plans import composites, entities, forms, history_and_series, landing, relational, scalar, shapes, sources_and_quality, spatial
+from lodeplane.plans import composites, entities, forms, history_and_series, landing, polygons, relational, scalar, shapes, sources_and_quality, spatial
 from lodeplane.plans.base import ORACLES, QUERIES
 
 FLAGSHIP = "latest_event_per_user"
 __all__ = [
-    "FLAGSHIP", "ORACLES", "QUERIES", "composites", "entities", "forms", "history_and_series", "landing", "relational", "scalar", "shapes", "sources_and_quality", "spatial",
+    "FLAGSHIP", "ORACLES", "QUERIES", "composites", "entities", "forms", "history_and_series", "landing", "polygons", "relational", "scalar", "shapes", "sources_and_quality", "spatial",
 ]
