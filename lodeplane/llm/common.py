@@ -54,12 +54,12 @@ def strings(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def shield(df: DataFrame, *keep: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
-    """df with all columns but `keep` under names that no operator uses, and what gives a result df's columns back."""
+def shield(df: DataFrame, *keep: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """df with all columns but `keep` under names that no operator uses, and what gives a result df's columns back, with named ones of the result's own."""
     inner = {c: c if c in keep else f"_in{i}" for i, c in enumerate(df.columns)}
     return (
         df.select(*[F.col(f"`{c}`").alias(x) for c, x in inner.items()]),
-        lambda out: out.select(*[F.col(x).alias(c) for c, x in inner.items()]),
+        lambda out, *more: out.select(*[F.col(x).alias(c) for c, x in inner.items()], *more),
     )
 
 

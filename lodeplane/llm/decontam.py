@@ -260,13 +260,14 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, item
     """docs (with a string column `text`) plus n_words, spans (disjoint runs of words hit) and items (ids, as strings).
 
     Null texts have no words. Items without words have no window; a null item id is listed as null. Equal items or windows
-    each count. docs' own columns n_words, spans and items are replaced, its other ones must not be named row, _spans or _items if the benchmark
-    is larger than block_bytes. An empty benchmark hits nothing.
+    each count. docs' own columns n_words, spans and items are replaced, its other ones stay whatever their names. An empty benchmark hits nothing.
     """
     docs = docs.drop("n_words", "spans", "items")
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(item_text, F.lit("")).alias("text"))
     if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > block_bytes:
-        return find_by_join(docs, items, size)
+        inner, restore = shield(docs, "text")  # the join's own columns must not meet those of docs
+        found = find_by_join(inner, items, size)
+        return restore(found, "n_words", "spans", "items")
     block = block_of([tuple(r) for r in items.collect()], size)  # at most block_bytes
     return probe(docs, block, prefixes(block, counted(docs, block)))
 

@@ -1,7 +1,8 @@
 """License scans by patience alignment.
 
-A notice is a template. In documents that hold enough of a template's distinct words, runs of words about as long as the
-template in which enough of them meet are aligned with it: words that occur once in both are anchors, the longest increasing
+A notice is a template. Coverage counts matched words, and a word matches at most as often as it stands in the template and in the text: so only
+documents, and only runs of words of at most one and a half times the template's length, that hold so many of its words, with repeats, are aligned with
+it, and nothing that would be covered is left out. Words that occur once in both are anchors, the longest increasing
 subsequence of their places is kept, and the gaps between anchors are aligned in the same way; equal words at the ends of
 a gap match too. Coverage is the share of the template's words that match. What a match leaves before and behind it is searched again.
 
@@ -24,8 +25,6 @@ from lodeplane.llm.common import pieces, table
 from lodeplane.llm.license_texts import NOTICES
 from lodeplane.llm.words import Filter, in_sorted, words
 
-#: Share of a template's distinct words that a run must hold to be aligned.
-CANDIDATE = 0.7
 #: Coverage that counts; templates of fewer than SHORT words must be covered whole.
 COVERAGE, SHORT = 0.85, 12
 #: Share of the words from the first match to the last that must match.
@@ -79,28 +78,29 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def candidate_runs(places: list[int], kinds: list[int], distinct: int, length: int) -> list[tuple[int, int, int]]:
-    """Runs (a, tight, b) of words [a, b) that hold enough of the template's distinct words; the fullest first, then the shortest.
+def candidate_runs(places: list[int], kinds: list[int], counts: dict[int, int], need: int, length: int) -> list[tuple[int, int, int]]:
+    """Runs (a, tight, b) of words [a, b) that hold `need` of the template's words, with repeats; the fullest first, then the shortest.
 
-    places: where words of the template stand in the document; kinds: which. [tight, b) holds the same distinct words.
+    places: where words of the template stand in the document; kinds: which; counts: how often each stands in the template. [tight, b) holds as many.
+    A match is at most length / DENSITY words long, so that the run that ends with it holds it.
     """
-    need, reach = max(1, int(np.ceil(CANDIDATE * distinct))), length + length // 2 + 2
+    reach = length + length // 2 + 2
     held: Counter = Counter()
     inner: Counter = Counter()
-    lo, tight, full = 0, 0, []
+    lo, tight, total, full = 0, 0, 0, []
     for hi, (p, k) in enumerate(zip(places, kinds, strict=True)):
+        total += held[k] < counts[k]
         held[k] += 1
         inner[k] += 1
         while places[lo] <= p - reach:
             held[kinds[lo]] -= 1
-            if not held[kinds[lo]]:
-                del held[kinds[lo]]
+            total -= held[kinds[lo]] < counts[kinds[lo]]
             lo += 1
-        while tight < lo or tight < hi and inner[kinds[tight]] > 1:
+        while tight < lo or tight < hi and inner[kinds[tight]] > counts[kinds[tight]]:
             inner[kinds[tight]] -= 1
             tight += 1
-        if len(held) >= need:
-            full.append((-len(held), p - places[tight], places[lo], places[tight], p + 1))
+        if total >= need:
+            full.append((-total, p - places[tight], places[lo], places[tight], p + 1))
     return [(a, t, b) for _, _, a, t, b in sorted(full)]
 
 
@@ -111,9 +111,10 @@ class Templates:
         self.keys = [w.key[a:b].tolist() for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
         self.all = np.unique(w.key)
         self.member = np.zeros((len(self.all), len(notices)), np.float32)
+        self.need = [int(np.ceil((COVERAGE if len(own) >= SHORT else 1.0) * len(own) - 1e-9)) for own in self.keys]
         for t, own in enumerate(self.keys):
-            self.member[np.searchsorted(self.all, np.array(own, np.uint64)), t] = 1
-        self.distinct = self.member.sum(axis=0)
+            np.add.at(self.member[:, t], np.searchsorted(self.all, np.array(own, np.uint64)), 1)
+        self.counts = [{k: int(self.member[k, t]) for k in np.flatnonzero(self.member[:, t]).tolist()} for t in range(len(notices))]
         key = lambda x: words(pa.array([" ".join(sorted(x))], pa.large_string())).key.tolist()
         self.telling, self.telling_gnu, (self.gnu, self.affero) = set(key(TELLING)), set(key(TELLING_GNU)), (*key(["gnu"]), *key(["affero"]))
         self.numbers = [
@@ -161,33 +162,38 @@ class Templates:
     def matches_within(self, t: int, key: np.ndarray, place: np.ndarray, kind: np.ndarray, lo: int, hi: int) -> Iterator[tuple[int, int, int]]:
         """Matches of template t in the words lo to hi - 1; what each leaves is searched again.
 
-        place, kind: where the template's words stand, and which. A run that doesn't match stands for those that end within an eighth
-        of the template from its end, as their alignments span nearly the same words.
+        place, kind: where the template's words stand, and which. Words that cover the template but for its telling words are another
+        license's: runs that lie in them by half aren't aligned any more.
         """
         own, todo = self.keys[t], [(lo, hi)]
-        length, distinct = len(own), int(self.distinct[t])
+        length, need = len(own), self.need[t]
         while todo:
             lo, hi = todo.pop()
             i, j = np.searchsorted(place, (lo, hi))
-            failed: list[int] = []
-            for loose, tight, end in candidate_runs(place[i:j].tolist(), kind[i:j].tolist(), distinct, length):
-                at = bisect_left(failed, end)
-                if any(abs(x - end) < length // 8 for x in failed[max(0, at - 1) : at + 1]):
+            others: list[tuple[int, int]] = []
+            aligned: set[tuple[int, int]] = set()
+            for loose, tight, end in candidate_runs(place[i:j].tolist(), kind[i:j].tolist(), self.counts[t], need, length):
+                if any(2 * (min(y, end) - max(x, tight)) > end - tight for x, y in others):
                     continue
                 found = None
                 for start in dict.fromkeys((tight, loose)):
                     a, b = max(lo, start - length // 4), min(hi, end + length // 4)
+                    if (a, b) in aligned:
+                        continue
+                    aligned.add((a, b))
                     run = key[a:b].tolist()
                     matched = patience(run, own)
-                    enough = len(matched) >= (COVERAGE if length >= SHORT else 1.0) * length
-                    if enough and len(matched) >= DENSITY * (matched[-1][0] + 1 - matched[0][0]) and self.agrees(t, run, matched):
-                        found = (a + matched[0][0], a + matched[-1][0] + 1, len(matched))
+                    if len(matched) < need or len(matched) < DENSITY * (matched[-1][0] + 1 - matched[0][0]):
+                        continue
+                    span = a + matched[0][0], a + matched[-1][0] + 1
+                    if self.agrees(t, run, matched):
+                        found = (*span, len(matched))
                         break
+                    others.append(span)
                 if found:
                     yield found
                     todo += [(lo, found[0]), (found[1], hi)]
                     break
-                failed.insert(at, end)
 
     def scan(self, column: pa.Array) -> list[list[tuple[int, int, str, float]]]:
         """Of each text: (first word, end, license, coverage), disjoint, in order."""
@@ -196,9 +202,10 @@ class Templates:
         kind, there = in_sorted(w.key[place], self.all)
         place, kind = place[there], kind[there]
         row = np.searchsorted(w.first, place, side="right") - 1
-        held = np.zeros((len(column), len(self.all)), np.float32)
-        held[row, kind] = 1
-        enough = (held @ self.member >= np.ceil(CANDIDATE * self.distinct)) & (self.distinct > 0)
+        held = np.zeros((len(column), len(self.all)), bool)
+        held[row, kind] = True
+        need = np.array(self.need)
+        enough = (held.astype(np.float32) @ self.member >= need) & (need > 0)  # a first look: whichever words there are could match as often as they may
         cuts = np.searchsorted(row, np.arange(len(column) + 1))
         out: list[list[tuple[int, int, str, float, int]]] = [[] for _ in range(len(column))]
         for r, t in np.argwhere(enough).tolist():

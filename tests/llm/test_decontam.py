@@ -79,3 +79,14 @@ def test_a_long_text(spark, make):
     items = [(1, " ".join(f"v{i}" for i in range(900_000, 900_014))), (2, "v1499999")]
     found = {r.doc_id: ([tuple(s) for s in r.spans], r["items"]) for r in find_windows(make(docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert found == {1: ([(900_000, 900_014), (1_499_999, 1_500_000)], ["1", "2"]), 2: ([], [])}
+
+
+def test_clashing_names_with_a_benchmark_of_any_size(spark):
+    """Columns named as those of the join keep their values whichever plan the benchmark's size asks for."""
+    docs = spark.createDataFrame([(1, "one two three four", 5, "s", 7.5), (2, None, 6, None, None)], "doc_id long, text string, row int, _spans string, _items double")
+    bench = spark.createDataFrame([("x", "two three"), ("y", "nine")], "item_id string, text string")
+    want = [(1, "one two three four", 5, "s", 7.5, 4, ["x"]), (2, None, 6, None, None, 0, [])]
+    for size in (1 << 21, 0):
+        found = find_windows(docs, bench, block_bytes=size)
+        assert found.columns == [*docs.columns, "n_words", "spans", "items"]
+        assert sorted((r.doc_id, r.text, r.row, r._spans, r._items, r.n_words, r["items"]) for r in found.collect()) == want
