@@ -41,6 +41,9 @@ BLOCKS = frozenset(
 RAW = frozenset("script style noscript template textarea iframe object svg math canvas audio video title noembed noframes xmp".split())
 CONTAINERS = frozenset("div section main body table".split())
 ARTICLES = frozenset(("article", "main"))
+FORMS = frozenset(("form", "fieldset"))
+#: A page whose text beside its forms is less than this share of its text with them is wrapped in a form.
+BESIDE_FORMS = 0.1
 NOT_TEXT = frozenset("nav header footer aside form button select menu dialog fieldset search head".split())
 NOT_TEXT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tablist status note".split())
 #: Words of a class or id that mark what isn't the article.
@@ -178,10 +181,10 @@ def unwanted_name(token: str, in_article: bool) -> bool:
     return parts[0] in TELLING_FIRST or last in NOT_TEXT_NAMES and not (last == "header" and in_article)
 
 
-def unwanted(tag: Tag, in_article: bool, by_name: bool) -> bool:
-    """Whether an element holds no text of the article. by_name: by class and id too."""
+def unwanted(tag: Tag, in_article: bool, by_name: bool, by_form: bool = True) -> bool:
+    """Whether an element holds no text of the article. by_name: by class and id too; by_form: forms and field sets hold none."""
     name = tag.name
-    if name in VOID:
+    if name in VOID or name in FORMS and not by_form:
         return False
     if name in NOT_TEXT and not (name == "header" and in_article):
         return True
@@ -198,7 +201,7 @@ def unwanted(tag: Tag, in_article: bool, by_name: bool) -> bool:
     return False
 
 
-def stripped(page: str, by_name: bool = True, window: int = WINDOW) -> Lines:
+def stripped(page: str, by_name: bool = True, window: int = WINDOW, by_form: bool = True) -> Lines:
     """The page's blocks as lines. An unwanted element ends at its end tag, or where an article begins."""
     lines, parts, linked = Lines(), [], 0
     link, article, skipping, depth = 0, 0, "", 0
@@ -237,7 +240,7 @@ def stripped(page: str, by_name: bool = True, window: int = WINDOW) -> Lines:
             parts.append(" ")
         elif name == "a":
             link = 0 if end else 1
-        elif not end and not token.attributes.endswith("/") and unwanted(token, article > 0, by_name):
+        elif not end and not token.attributes.endswith("/") and unwanted(token, article > 0, by_name, by_form):
             close()
             skipping, depth = name, 1
         elif name in BLOCKS:
@@ -265,9 +268,10 @@ def between_surge_and_dive(lines: Lines, window: int = WINDOW, surge: float = SU
     ahead = [sums[min(i + window, len(size))] - sums[i] for i in range(len(size))]
     least = min(surge, SHARE * max(ahead, default=0))
     kept, rising, within = [], [], False
-    for line, n, sum_ahead in zip(lines.text, size, ahead, strict=True):
+    for line, inside, n, sum_ahead in zip(lines.text, lines.inside, size, ahead, strict=True):
+        linked = line and inside and within  # a paragraph of links in the midst of an article element
         within = within and sum_ahead > 0 or n > 0 and sum_ahead >= least
-        if n > 0:
+        if n > 0 or linked:
             rising.append(line)
         if within:
             kept += rising
@@ -277,9 +281,17 @@ def between_surge_and_dive(lines: Lines, window: int = WINDOW, surge: float = SU
 
 
 def main_text(page: str, window: int = WINDOW, surge: float = SURGE) -> str:
-    """The page's text; where classes and ids leave none at all, they aren't believed."""
-    found = between_surge_and_dive(stripped(page, window=window), window, surge)
-    return "\n".join(found or between_surge_and_dive(stripped(page, by_name=False, window=window), window, surge))
+    """The page's text; where classes and ids leave none at all, they aren't believed, and neither are forms that hold nearly all of it."""
+
+    def read(by_form: bool) -> str:
+        found = between_surge_and_dive(stripped(page, window=window, by_form=by_form), window, surge)
+        return "\n".join(found or between_surge_and_dive(stripped(page, by_name=False, window=window, by_form=by_form), window, surge))
+
+    found = read(by_form=True)
+    if any(f"<{x}" in page or f"<{x.upper()}" in page for x in FORMS):
+        wrapped = read(by_form=False)
+        return found if len(found) >= BESIDE_FORMS * len(wrapped) else wrapped
+    return found
 
 
 def extract(pages: DataFrame, html_col: str = "html", window: int = WINDOW, surge: float = SURGE) -> DataFrame:

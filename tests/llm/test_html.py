@@ -103,3 +103,19 @@ def test_markup_of_any_size():
         small = time.monotonic() - start
         main_text(part * 160_000)
         assert time.monotonic() - start < 30 * max(small, 0.1)
+
+
+def test_pages_within_forms():
+    para = "<p>" + "A sentence of the article that is long enough to be one. " * 3 + "</p>"
+    text = " ".join(("A sentence of the article that is long enough to be one. " * 3).split())
+    page = f"<body><form id='aspnetForm'><div>{para}{para}</div><input name=q><nav><a href=x>Menu</a></nav></form><div><p>Short line.</p></div></body>"
+    assert main_text(page) == f"{text}\n{text}"
+    assert main_text(page.replace("form", "FIELDSET")) == f"{text}\n{text}"
+    assert main_text(f"<article>{para}<form><p>Sign up for our letter, it is free and you can leave at any time.</p></form>{para}</article>") == f"{text}\n{text}"
+
+
+def test_paragraphs_of_links_within_an_article():
+    para = "<p>" + "A sentence of the article that is long enough to be one. " * 3 + "</p>"
+    text = " ".join(("A sentence of the article that is long enough to be one. " * 3).split())
+    assert main_text(f"<article>{para}<p><a href=x>The whole report as a file</a></p>{para}</article>") == f"{text}\nThe whole report as a file\n{text}"
+    assert main_text(f"<div>{para}<p><a href=x>The whole report as a file</a></p>{para}</div>") == f"{text}\n{text}"
