@@ -45,7 +45,7 @@ PRIOR, PRIOR_FIXED, PRIOR_SINGLE = 30, 0.0064, 4.0
 TAIL, TAIL_DEVIATE = 0.99, 2.576
 #: Deviations; chosen from the rates above.
 TOLERANCE = 4.0
-#: Symbols of evidence that a score counts at most.
+#: Symbols of evidence that a score counts at most: a text's symbols depend on each other, so that more of them would make nearly every score 1.
 SCORE_SYMBOLS = 48
 
 
@@ -281,7 +281,8 @@ def train(training: DataFrame) -> Models | None:
 def identify(docs: DataFrame, models: Models | None, tolerance: float = TOLERANCE) -> DataFrame:
     """docs (with a string column text) plus lang_pred, score (0 to 1), cross_entropy (nats a symbol) and rejected.
 
-    A text that is null or has no letter is `und`, score 0, rejected; so is every text if there are no models. Columns of docs with
+    score is the language's probability among the known ones, halved for a text at the limit of rejection and next to nothing for one far beyond it: a
+    rejected text scores less than 0.5. A text that is null or has no letter is `und`, score 0, rejected; so is every text if there are no models. Columns of docs with
     these names are replaced. Each row depends on its text alone.
     """
     docs = docs.drop("lang_pred", "score", "cross_entropy", "rejected")
@@ -299,8 +300,10 @@ def identify(docs: DataFrame, models: Models | None, tolerance: float = TOLERANC
                 best = h[np.arange(len(j)), j]
                 weight = np.minimum(n, SCORE_SYMBOLS)
                 score = np.where(n > 0, 1 / np.exp(-(h - best[:, None]) * weight[:, None]).sum(axis=1), 0.0)
-                limit = models.centre[j] + tolerance * np.sqrt(models.fixed[j] + models.single[j] / np.maximum(n, 1))
-                bad = (n <= 0) | (best > limit)
+                limit = tolerance * np.sqrt(models.fixed[j] + models.single[j] / np.maximum(n, 1))
+                beyond = np.maximum(best - models.centre[j], 0) / np.maximum(limit, 1e-12)
+                bad = (n <= 0) | (beyond > 1)
+                score /= 1 + np.minimum(beyond, 1e6) ** 4
                 pred = [models.langs[k] if m > 0 else "und" for k, m in zip(j.tolist(), n.tolist(), strict=True)]
                 best = pa.array(best, mask=n <= 0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(best, pa.float64()), pa.array(bad, pa.bool_())], names=names)

@@ -4,7 +4,9 @@ import random
 import string
 
 import numpy as np
-from lodeplane.llm.langid import BITS, ORDER, discount, grams, identify, in_known_language, op9_kneser_ney_language_id, symbols, train
+from pyspark.sql import functions as F
+
+from lodeplane.llm.langid import BITS, ORDER, discount, grams, identify, in_known_language, op9_kneser_ney_language_id, symbols, train, train_on_documents
 from tests.oracle import SF
 
 TEXTS = {"en": "the quick brown fox jumps over the lazy dog and runs away from the house", "de": "der schnelle braune fuchs springt über den faulen hund und läuft davon"}
@@ -130,3 +132,12 @@ def test_a_long_text(spark, make):
     long = " ".join([TEXTS["de"]] * 30_000)
     out = {r.doc_id: r for r in identify(make([(1, long), (2, "the dog runs away")]), models).collect()}
     assert out[1].lang_pred == "de" and not out[1].rejected and out[2].lang_pred == "en"
+
+
+def test_rejected_texts_score_low(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    models = train_on_documents(docs)
+    odd = spark.createDataFrame([("Съешь же ещё этих мягких французских булок, да выпей чаю. " * 5,), ("xqzj kvwq zzxj qqkv jxzq wvkq " * 20,)], "text string")
+    assert all(r.rejected and r.score < 0.1 for r in identify(odd, models).collect())
+    own = identify(docs, models).groupBy("rejected").agg(F.min("score").alias("low"), F.max("score").alias("high")).collect()
+    assert all(r.high < 0.5 if r.rejected else r.low >= 0.1 for r in own)
