@@ -11,51 +11,106 @@ from lodeplane.functions import text as T
 from lodeplane.functions.geo import distance
 from lodeplane.operators.graph import connected_components
 from lodeplane.operators.spatial import within_distance
-from lodeplane.session import cut_lineage
+from lodeplane.session import cut_lineage, spread, stored
+
+
+#: Common elements that similar arrays must have in their lengthened prefixes: one by chance is frequent, several are not.
+MATCHES = 12
 
 
 def ranked_elements(base: DataFrame) -> DataFrame:
     """base (id, block, e: array without repeats) as id, block, n and o: the elements' hashes from rare to frequent in their block."""
-    exploded = base.select("id", "block", F.explode("e").alias("t")).select("id", "block", F.xxhash64("t").alias("t"))
+    return ranked_hashes(base.select("id", "block", F.transform("e", lambda x: F.xxhash64(x)).alias("h")))
+
+
+def ranked_hashes(base: DataFrame) -> DataFrame:
+    """The same of base (id, block, h: array of hashes)."""
+    exploded = base.select("id", "block", F.explode("h").alias("t"))
     counts = cut_lineage(exploded.groupBy("block", "t").agg(F.count("*").alias("n")))
     ordered = F.array_sort(F.collect_list(F.struct("n", "t")))
-    ranked = exploded.join(counts, ["block", "t"]).groupBy("id", "block").agg(ordered.alias("o"))
+    # rebalanced: the join then has two plain shuffles, of which a frequent element's can be split at run time
+    ranked = exploded.join(counts.hint("rebalance"), ["block", "t"]).groupBy("id", "block").agg(ordered.alias("o"))
     return ranked.select("id", "block", F.size("o").alias("n"), F.transform("o", lambda x: x["t"]).alias("o"))
 
 
-def prefix_pairs(ranked: DataFrame, length: Column, possible: Column) -> DataFrame:
-    """Pairs (a, b), a < b, of the same block whose prefixes share an element. `length` of o's elements are a prefix.
+def prefix_pairs(ranked: DataFrame, length: Column, possible: Column, matches: int = 1, overlap: Column | None = None) -> DataFrame:
+    """Pairs (a, b), a < b, of the same block whose prefixes share `matches` elements. `length` of o's elements are a prefix for one match, one more for each other.
 
-    `possible` is a condition on the sizes n_a, n_b of the two and the places i, j (from 0) of the shared element: what can't be similar
-    isn't paired.
+    `possible` is a condition on the sizes n_a, n_b of the two and the places i, j (from 0) of a shared element: what can't be similar
+    isn't paired. `overlap` is how many elements the two must share at least; where that is less than `matches`, it is what their prefixes must share.
     """
-    places = ranked.select("id", "block", "n", F.posexplode(F.slice("o", F.lit(1), length.cast("int"))).alias("i", "t"))
+    longer = F.least(F.col("n"), length.cast("int") + (matches - 1))
+    places = ranked.select("id", "block", "n", F.posexplode(F.slice("o", F.lit(1), longer)).alias("i", "t"))
     left = places.select(F.col("id").alias("a"), "block", F.col("n").alias("n_a"), "i", "t")
     right = places.select(F.col("id").alias("b"), "block", F.col("n").alias("n_b"), F.col("i").alias("j"), "t")
-    return left.join(right, ["block", "t"]).filter((F.col("a") < F.col("b")) & possible).select("a", "b").distinct()
+    met = left.join(right, ["block", "t"]).filter((F.col("a") < F.col("b")) & possible)
+    if matches == 1:
+        return met.select("a", "b").distinct()
+    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("_met"))
+    return counted.filter(F.col("_met") >= F.least(F.lit(matches), overlap)).select("a", "b")
 
 
-def jaccard_pairs(df: DataFrame, id_col: str, block: str, elements: str, threshold: float) -> DataFrame:
-    """Rows (a, b, similarity), a < b, of the same block whose arrays (without repeats) have at least this Jaccard similarity.
+def set_classes(df: DataFrame, id_col: str, block: str, elements: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of the same block with equal sets as one class: (id, class), and (id, block, n, h), a row a class, id being its least.
 
-    Only the necessary prefix of each array is joined: of n elements, ordered from rare to frequent in their block, the first
-    n - ceil(threshold * n) + 1 must hold one that a similar array's prefix also holds. Sizes and the shared element's places bound the
+    Elements are worked out and hashed once, into a stored table. Sets are told apart by their size and 128 bits of their sorted hashes. Rows with a null block
+    or without elements are in no class. Ids are taken to be unique.
+    """
+    base = df.select(F.col(id_col).alias("id"), F.col(block).alias("block"), F.array_sort(F.transform(elements, lambda x: F.xxhash64(x))).alias("h"))
+    base = base.filter(F.col("block").isNotNull() & (F.size("h") > 0))
+    key = [F.size("h").alias("n"), F.xxhash64("h").alias("k1"), F.xxhash64(F.lit(1), "h").alias("k2")]
+    base = stored(base.select("id", "block", *key, "h"), "sets")
+    names = ["block", "n", "k1", "k2"]
+    least = stored(base.groupBy(*names).agg(F.min("id").alias("class")), "classes")
+    members = base.select("id", *names).join(least, names).select("id", "class")
+    classes = base.join(least.select(F.col("class").alias("id")), "id").select("id", "block", "n", "h")
+    return members, classes
+
+
+def class_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """Rows (a, b, similarity), a < b, of classes (id, block, n, h) of the same block with at least this Jaccard similarity.
+
+    Only the necessary prefix of each array is joined: of n elements, ordered from rare to frequent in their block, similar arrays must share
+    one of the first n - ceil(threshold * n) + 1, and MATCHES of so many more. Sizes and the shared element's places bound the
     overlap that is left. Frequent elements hardly ever stand in a prefix, so that they don't pair all rows of a block; the whole
-    arrays are compared after. Ids are taken to be unique.
+    arrays of hashes are compared after.
     """
-    base = df.select(F.col(id_col).alias("id"), F.col(block).alias("block"), F.col(elements).alias("e")).filter(F.size("e") > 0)
     n, least = F.col("n"), F.lit(threshold)
-    overlap = F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j"))
+    rest = F.least(F.col("n_a") - F.col("i"), F.col("n_b") - F.col("j"))
     near_sizes = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - F.lit(1e-9)
+    needed = F.ceil(least / (1 + least) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-9))
     # places after the shared element, and what may stand before it in both
-    enough = overlap + F.least("i", "j") >= least / (1 + least) * (F.col("n_a") + F.col("n_b")) - F.lit(1e-9)
-    pairs = prefix_pairs(ranked_elements(base), n - F.ceil(least * n - F.lit(1e-9)) + 1, near_sizes & enough)
-    left, right = base.select(F.col("id").alias("a"), F.col("e").alias("ea")), base.select(F.col("id").alias("b"), F.col("e").alias("eb"))
-    shared = F.size(F.array_intersect("ea", "eb"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("similarity", shared / (F.size("ea") + F.size("eb") - shared))
+    enough = rest + F.least("i", "j") >= needed
+    ranked = ranked_hashes(spread(classes.select("id", "block", "h")))
+    pairs = prefix_pairs(ranked, n - F.ceil(least * n - F.lit(1e-9)) + 1, near_sizes & enough, MATCHES, needed)
+    left, right = classes.select(F.col("id").alias("a"), F.col("h").alias("ha")), classes.select(F.col("id").alias("b"), F.col("h").alias("hb"))
+    shared = F.size(F.array_intersect("ha", "hb"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("similarity", shared / (F.size("ha") + F.size("hb") - shared))
     return both.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
+def jaccard_pairs(df: DataFrame, id_col: str, block: str, elements: str, threshold: float) -> DataFrame:
+    """Rows (a, b, similarity), a < b, of the same block whose arrays (without repeats) have at least this Jaccard similarity.
+
+    Classes of equal sets are compared (see `class_pairs`) and then written out for their rows, equal ones with each other too: a result that
+    grows with the square of the copies. For entities `similar_entities` needs no such pairs. Ids are taken to be unique.
+    """
+    members, classes = set_classes(df, id_col, block, elements)
+    between = class_pairs(classes, threshold)
+    of = lambda side, cls: members.select(F.col("class").alias(cls), F.col("id").alias(side))
+    across = between.withColumnsRenamed({"a": "ca", "b": "cb"}).join(of("x", "ca"), "ca").join(of("y", "cb"), "cb")
+    across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
+    within = of("a", "c").join(of("b", "c"), "c").filter("a < b").select("a", "b", F.lit(1.0).alias("similarity"))
+    return across.union(within)
+
+
+def similar_entities(df: DataFrame, id_col: str, block: str, elements: str, threshold: float) -> DataFrame:
+    """Rows (id, entity) of df: the least id that a chain of similar rows of a block reaches. Equal sets are tied to their class, not to each other."""
+    members, classes = set_classes(df, id_col, block, elements)
+    ties = class_pairs(classes, threshold).select("a", "b").union(members.filter("id <> class").select(F.col("class").alias("a"), F.col("id").alias("b")))
+    return entities(df.select(F.col(id_col).alias("id")), ties, "id")
+
+
 def edit_pairs(df: DataFrame, id_col: str, block: str, name: str, threshold: float) -> DataFrame:
     """Rows (a, b, ratio), a < b, of the same block whose names have at least this edit ratio, more than 0.5. Empty names have no pairs.
 

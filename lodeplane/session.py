@@ -71,6 +71,12 @@ def release(spark: SparkSession) -> int:
     return n
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to all cores if it is a scan of fewer partitions: for work that costs more than moving the rows. A large table stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and go on from there; survives lost executors."""
     checkpoint_dir(df.sparkSession)
