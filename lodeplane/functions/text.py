@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Accented letters and their plain forms, place by place.
 ACCENTED = "áàâãäåçéèêëíìîïñóòôõöúùûüýÿÁÀÂÃÄÅÇÉÈÊËÍÌÎÏÑÓÒÔÕÖÚÙÛÜÝ"
@@ -61,13 +64,35 @@ def lookup_text(address: Column, *places: Column) -> Column:
     return out
 
 
+@F.arrow_udf(StringType())
+def composed(texts: pa.Array) -> pa.Array:
+    """Texts in Unicode's composed form: a letter and its accent are one character wherever there is one."""
+    return pc.utf8_normalize(texts, "NFC")
+
+
+def _plain_number(digits: Column) -> Column:
+    """Digits behind a point without zeros at their end."""
+    return F.regexp_replace(F.regexp_replace(digits, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+
+
 def canonical(value: Column, kind: str) -> Column:
-    """A value as text of which equal ones are equal: numbers without trailing zeros, texts composed and trimmed, booleans as words."""
-    if kind in ("byte", "short", "integer", "long", "float", "double") or kind.startswith("decimal"):
-        return F.regexp_replace(F.regexp_replace(F.format_string("%.6f", value.cast("double")), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    """A value as text of which equal ones are equal and no others: numbers without trailing zeros, texts composed and trimmed, booleans as words.
+
+    A double that six decimals give back exactly is written so, any other one in the fewest digits that do; whole numbers and decimals in full.
+    """
+    if kind in ("byte", "short", "integer", "long"):
+        return value.cast("string")
+    if kind.startswith("decimal"):
+        return F.when(value == F.floor(value), value.cast("decimal(38,0)").cast("string")).otherwise(_plain_number(value.cast("string")))
+    if kind in ("float", "double"):
+        number = value.cast("double") + F.lit(0.0)  # no negative zero
+        short = F.format_string("%.6f", number)
+        return F.when(value.isNull(), F.lit(None).cast("string")).when(short.try_cast("double") == number, _plain_number(short)).otherwise(number.cast("string"))
     if kind == "boolean":
         return F.when(value, "true").when(~value, "false")
-    return F.trim(value.cast("string"))
+    # a text's own separators are marked, so that it can't look like two columns
+    marked = F.replace(F.replace(value.cast("string"), F.lit("\u001e"), F.lit("\u001e\u001e")), F.lit("\u001f"), F.lit("\u001e\u001f"))
+    return F.trim(composed(marked))
 
 
 def content_hash(df: DataFrame, columns: Sequence[str]) -> Column:

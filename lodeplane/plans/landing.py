@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from lodeplane.functions.text import snake_columns
 from lodeplane.plans.base import query, table
 from lodeplane.session import checkpoint_dir
-from lodeplane.sources.files import append_after, carried_forward, newest_file, read_json_lines
+from lodeplane.sources.files import append_after, carried_forward, read_json_lines, read_newest
 from lodeplane.sources.sinks import load, row_gate, updated
 
 
@@ -36,13 +36,11 @@ def json_lines_with_bad_ones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)")
 def newest_landing_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of files named by year the last one."""
+    """Of loads named by year the last one, in as many files as it has."""
     path = _folder(spark, "years")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    orders.repartition("year").write.partitionBy("year").parquet(path)
-    # one file a year; a year in several files would be named by its folder
-    rows = spark.read.option("basePath", path).parquet(path)
-    return newest_file(rows).select("o_orderkey", "o_totalprice")
+    orders.write.option("maxRecordsPerFile", 500).partitionBy("year").parquet(path)
+    return read_newest(spark, path, "parquet", "o_orderkey long, o_totalprice double")
 
 
 @query("""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,7 @@ def evolved(current: T.StructType, incoming: DataFrame) -> DataFrame:
     return empty.unionByName(incoming, allowMissingColumns=True)
 
 
-def read_landing(spark: SparkSession, path: str, kind: str, schema: T.StructType | str, **options: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str | list[str], kind: str, schema: T.StructType | str, **options: str) -> DataFrame:
     """Files of a stated schema: parquet, orc, json, csv or xml. Nothing is inferred."""
     if kind not in ("parquet", "orc", "json", "csv", "xml", "text"):
         raise ValueError(f"no reader for {kind}")
@@ -48,10 +50,37 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> tup
     return rows.filter("r._bad IS NULL").select(*[F.col("r")[f.name].alias(f.name) for f in schema.fields]), bad
 
 
-def newest_file(df: DataFrame) -> DataFrame:
-    """The rows of the file that is last by name, of a table read from files named by their time."""
-    named = df.select("*", F.col("_metadata.file_path").alias("_file"))
-    return named.join(F.broadcast(named.agg(F.max("_file").alias("_file"))), "_file").drop("_file")  # one row
+#: What names a load in a file's or folder's name: all before a part's number and the suffixes.
+LOAD_NAME = r"^(.*?)(?:[-_.]?part[-_]?[0-9].*|[.][^/]*)?$"
+
+
+def newest_load(spark: SparkSession, folder: str, named: str = LOAD_NAME) -> list[str]:
+    """The paths in a folder that belong to the load that is last by name: one file, all of its parts, or a folder; only names are listed.
+
+    named: a pattern whose first group is a load's name. Names that begin with a dot or an underscore are no loads. Raises without any.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = [x.getPath() for x in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    loads: dict[str, list[str]] = {}
+    for x in found:
+        name = x.getName()
+        if name[0] not in "._" and (m := re.search(named, name)):
+            loads.setdefault(m[1], []).append(x.toString())
+    if not loads:
+        raise FileNotFoundError(f"no load in {folder}")
+    return sorted(loads[max(loads)])
+
+
+def read_newest(spark: SparkSession, folder: str, kind: str, schema: T.StructType | str, named: str = LOAD_NAME, **options: str) -> DataFrame:
+    """The newest load of a landing folder, all of its files and no others."""
+    return read_landing(spark, newest_load(spark, folder, named), kind, schema, **options)
+
+
+def newest_file(df: DataFrame, named: str = LOAD_NAME) -> DataFrame:
+    """The rows of the load that is last by name, of a table that is read from files named by their time already; `read_newest` reads nothing else."""
+    load = F.regexp_extract(F.regexp_extract(F.col("_metadata.file_path"), "([^/]*)$", 1), named, 1)
+    known = df.select("*", load.alias("_load"))
+    return known.join(F.broadcast(known.agg(F.max("_load").alias("_load"))), "_load").drop("_load")  # one row
 
 
 def carried_forward(known: DataFrame, fresh: DataFrame, keys: list[str], seen: str, stale_before: Column) -> DataFrame:

@@ -1,6 +1,7 @@
 """Fixtures and properties of the relational operators."""
 
 import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -17,7 +18,7 @@ from lodeplane.operators.relational import any_join, latest_by, mode_by, newest_
 from lodeplane.operators.series import change_rates, weighted_mean
 from lodeplane.operators.spatial import density_clusters, nearest, points_in_polygons, within_distance, without_overlaps
 from lodeplane.session import checkpoint_dir, release, stored
-from lodeplane.sources.files import SchemaChanged, append_after, carried_forward, evolved, newest_file, overwrite_slices, read_json_lines, read_landing
+from lodeplane.sources.files import SchemaChanged, append_after, carried_forward, evolved, newest_file, newest_load, overwrite_slices, read_json_lines, read_landing, read_newest
 from lodeplane.sources.sinks import row_gate, updated
 from lodeplane.streaming.events import drain, event_stream, windowed_counts
 
@@ -346,6 +347,34 @@ def test_content_hashes(spark):
         T.content_hash(spark.createDataFrame([([1],)], "n array<int>"), ["n"])
 
 
+def test_content_hashes_tell_all_values_apart(spark):
+    def hash_of(rows, schema):
+        df = spark.createDataFrame(rows, schema)
+        # under one name, so that values alone make the difference
+        df = df.toDF(*"abc"[: len(df.columns)])
+        return [r[0] for r in df.select(T.content_hash(df, df.columns)).collect()]
+
+    numbers = [1e-7, 2e-7, 0.1, 0.1 + 2**-54, 1 / 3, 1e300, -1e300, 1e22, 1e22 + 2**22, 5e-324, 0.0, 1.5, 150.0]
+    assert len(set(hash_of([(x,) for x in numbers], "n double"))) == len(set(numbers))
+    assert hash_of([(0.0,), (-0.0,)], "n double")[0] == hash_of([(-0.0,)], "n double")[0] == hash_of([(0,)], "n int")[0]
+    assert hash_of([(Decimal("150.00"),)], "n decimal(10,2)") == hash_of([(150,)], "n long") == hash_of([(150.0,)], "n double")
+    assert hash_of([("caf\u00e9",)], "t string") == hash_of([("cafe\u0301",)], "t string")
+    assert hash_of([("x\u001fb=y", None)], "a string, b string") != hash_of([("x", "y")], "a string, b string")
+    assert hash_of([("x\u001e\u001f",)], "a string") != hash_of([("x\u001f",)], "a string")
+
+
+def test_a_load_of_several_files_is_read_whole(spark, tmp_path):
+    for name, k in (("2024-01.json", 1), ("2024-02.part-0.json", 2), ("2024-02.part-1.json", 3), ("_SUCCESS", 9), (".x.json", 9)):
+        (tmp_path / name).write_text(f'{{"k": {k}}}\n')
+    assert sorted(r.k for r in read_newest(spark, str(tmp_path), "json", "k long").collect()) == [2, 3]
+    assert len(newest_load(spark, str(tmp_path))) == 2
+    loaded = spark.read.schema("k long").json([str(tmp_path / n) for n in ("2024-01.json", "2024-02.part-0.json", "2024-02.part-1.json")])
+    assert sorted(r.k for r in newest_file(loaded).collect()) == [2, 3]
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        newest_load(spark, str(tmp_path / "empty"))
+
+
 def test_sounds(spark):
     pairs = spark.createDataFrame([("smith jon", "smyth john", True), ("smith", "schmidt", False), ("", "", False), ("tab", "top", True)], "a string, b string, want boolean")
     assert pairs.filter(T.sounds_alike(F.col("a"), F.col("b")) != F.col("want")).count() == 0
