@@ -95,3 +95,15 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         before = state
         edges = cut_lineage(_small_star(_large_star(edges)))
     raise RuntimeError(f"no components after {max_rounds} rounds")
+
+
+def chain_ends(ways: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """Rows (node, end) from ways (node, up), at most one up a node and no circles: where each node's way ends. Each round doubles the ways' length."""
+    ways = ways.select("node", F.col("up").alias("end"))
+    for _ in range(max_rounds):
+        onward = ways.select(F.col("node").alias("end"), F.col("end").alias("_next"))
+        after = cut_lineage(ways.join(onward, "end", "left").select("node", F.coalesce("_next", "end").alias("end"), F.col("_next").isNotNull().alias("moved")))
+        if after.filter("moved").isEmpty():
+            return after.drop("moved")
+        ways = after.drop("moved")
+    raise RuntimeError(f"ways don't end after {max_rounds} rounds")

@@ -20,14 +20,12 @@ from pyspark.sql import types as T
 
 from lodeplane.operators.relational import newest_by
 from lodeplane.session import stored
+from lodeplane.sources.versions import Conflict as Conflict
+from lodeplane.sources.versions import Versions, delete, names
 
 BUCKET = "_bucket"
 
 
-class Conflict(Exception):
-    """Another writer committed first."""
-
-
 class RepeatedKeys(ValueError):
     """Updates hold a key twice, or a null in one."""
 
@@ -51,6 +49,7 @@ class MergeTable:
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
+        self.versions = Versions(spark, self.path)
 
     @classmethod
     def create(cls, spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType, buckets: int = 64) -> MergeTable:
@@ -62,48 +61,15 @@ class MergeTable:
         table.commit(Version(0, list(keys), buckets, schema.json()))
         return table
 
-    # files
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _names(self, folder: str) -> list[str]:
-        p, fs = self._fs(f"{self.path}/{folder}")
-        return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
-
     def commit(self, version: Version) -> Version:
-        """Make a version the current one, if its number is free."""
-        jvm = self.spark._jvm
-        final, fs = self._fs(f"{self.path}/versions/{version.number:012d}.json")
-        draft = jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions/.{uuid.uuid4().hex}")
-        out = fs.create(draft, False)
-        out.write(bytearray(json.dumps(version.__dict__).encode()))
-        out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
-        try:
-            context.rename(draft, final, self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
-        except Exception as e:
-            fs.delete(draft, False)
-            if "FileAlreadyExists" in str(e):
-                raise Conflict(f"version {version.number} of {self.path} is there already") from e
-            raise
+        self.versions.commit(version.number, version.__dict__)
         return version
 
     # reading
 
-    def numbers(self) -> list[int]:
-        return [int(x.removesuffix(".json")) for x in self._names("versions") if x.endswith(".json") and x[0] != "."]
-
     def version(self, number: int | None = None) -> Version:
         """The state of that number, else the newest."""
-        if number is None:
-            known = self.numbers()
-            if not known:
-                raise FileNotFoundError(f"no table at {self.path}")
-            number = known[-1]
-        [row] = self.spark.read.text(f"{self.path}/versions/{number:012d}.json", wholetext=True).collect()
-        return Version(**json.loads(row[0]))
+        return Version(**self.versions.load(number))
 
     def read(self, number: int | None = None) -> DataFrame:
         """The rows of a version; readers keep theirs whatever is committed meanwhile."""
@@ -161,20 +127,18 @@ class MergeTable:
         merged = both.select(*[F.col(f.name) if f.name in keys else value(f).alias(f.name) for f in columns], BUCKET)
         run = uuid.uuid4().hex
         merged.repartition(BUCKET, F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(4))).write.partitionBy(BUCKET).parquet(f"{self.path}/data/{run}")
-        written = {x.removeprefix(f"{BUCKET}=") for x in self._names(f"data/{run}") if x.startswith(f"{BUCKET}=")}
+        written = {x.removeprefix(f"{BUCKET}=") for x in names(self.spark, f"{self.path}/data/{run}") if x.startswith(f"{BUCKET}=")}
         runs = {b: r for b, r in before.runs.items() if int(b) not in set(touched)} | {b: run for b in sorted(written)}
         return self.commit(Version(before.number + 1, keys, before.buckets, columns.json(), runs))
 
     def vacuum(self, keep: int = 1) -> int:
         """Delete all but the newest `keep` versions, and the runs that none of those holds; how many runs went. Not while others read older versions or write."""
-        numbers = self.numbers()
+        numbers = self.versions.numbers()
         held = {r for n in numbers[-keep:] for r in self.version(n).runs.values()}
         for n in numbers[:-keep]:
-            p, fs = self._fs(f"{self.path}/versions/{n:012d}.json")
-            fs.delete(p, False)
-        gone = [r for r in self._names("data") if r not in held]
+            self.versions.drop(n)
+        gone = [r for r in names(self.spark, f"{self.path}/data") if r not in held]
         for r in gone:
-            p, fs = self._fs(f"{self.path}/data/{r}")
-            fs.delete(p, True)
+            delete(self.spark, f"{self.path}/data/{r}")
         return len(gone)
 
