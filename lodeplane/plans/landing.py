@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lodeplane.functions.text import snake_columns
 from lodeplane.plans.base import query, table
 from lodeplane.session import checkpoint_dir
+from lodeplane.sources.drifting import read_drifting
 from lodeplane.sources.files import append_after, carried_forward, read_json_lines, read_newest
 from lodeplane.sources.sinks import load, row_gate, updated
 
@@ -91,3 +92,28 @@ def details_carried_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snake_named_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys in camel case as columns in snake case."""
     return snake_columns(table(spark, sf_dir, "events").select(F.col("event_id").alias("eventId"), F.col("user_id").alias("appUserId"), F.col("event_type").alias("Kind ofEvent")))
+
+
+@query("""
+SELECT p_partkey AS code, p_name AS title, CASE WHEN p_size % 3 = 2 THEN NULL ELSE p_size END AS places, p_retailprice AS price, p_size % 3 AS year FROM part
+""")
+def drifting_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that came in files of three layouts: headers in other rows, columns shifted, renamed, missing or in another order, notes between rows."""
+    path = _folder(spark, "drift")
+    k, part = F.col("p_partkey"), table(spark, sf_dir, "part")
+    price = F.replace(F.col("p_retailprice").cast("string"), F.lit("."), F.lit(","))
+    layouts = [
+        ("Report of the year;;;\n\nCode;Title;Places;Price\n(1);(2);(3);(4)\n", F.concat_ws(";", k, "p_name", "p_size", price)),
+        (";Notes\n;Code of part;Price;Remark;Title;No. of places\n", F.concat_ws(";", F.lit(""), k, price, F.lit('"a; b"'), "p_name", "p_size")),
+        (";;Part  code;Title;Price;\n", F.concat_ws(";", F.lit(""), F.lit("x"), k, "p_name", price)),
+    ]
+    for year, (head, line) in enumerate(layouts):  # files of at most a few thousand lines, as they would come
+        lines = part.filter(F.col("p_size") % 3 == year).groupBy(F.floor(k / 2000).alias("page")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+        lines.select(F.concat(F.lit(head), F.array_join("lines", "\n"), F.lit("\nTotal;;;")).alias("value"), F.lit(year).alias("year"), "page").write.mode("append").partitionBy("year", "page").text(path)
+    columns = {"code": T.LongType(), "title": T.StringType(), "places": T.IntegerType(), "price": T.DoubleType()}
+    names = {"Code": "code", "Code of part": "code", "Part code": "code", "Title": "title", "Places": "places", "No. of places": "places", "Price": "price"}
+    found = []
+    for year in range(3):
+        read, _ = read_drifting(spark, f"{path}/year={year}/*", ("Code", "Code of part", "Part code"), columns, names, "[0-9]+")
+        found.append(read.withColumn("year", F.lit(year)).drop("file"))
+    return found[0].union(found[1]).union(found[2])
