@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -70,6 +70,26 @@ def composed(texts: pa.Array) -> pa.Array:
     return pc.utf8_normalize(texts, "NFC")
 
 
+@F.arrow_udf(StringType())
+def _decomposed(texts: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(texts, "NFD")
+
+
+def unaccented(c: Column) -> Column:
+    """A text without accents: every letter that has marks loses them, in any script; letters that are no others with a mark stay."""
+    return composed(F.regexp_replace(_decomposed(c), r"\p{M}+", ""))
+
+
+def first_matching(array: Column, pattern: str) -> Column:
+    """The first element of an array of texts that the pattern is found in; null without one."""
+    return F.get(F.filter(array, lambda x: x.rlike(pattern)), F.lit(0))
+
+
+def flags(c: Column, patterns: Mapping[str, str]) -> list[Column]:
+    """For each name whether its pattern is found in a text, upper or lower case; false for null."""
+    return [F.coalesce(c.rlike(f"(?iu){p}"), F.lit(False)).alias(name) for name, p in patterns.items()]
+
+
 def _plain_number(digits: Column) -> Column:
     """Digits behind a point without zeros at their end."""
     return F.regexp_replace(F.regexp_replace(digits, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -100,3 +100,28 @@ def stratified_top(df: DataFrame, area: str, stratum: str, order: Sequence[Colum
     rest = ranked.filter(F.col("_rn") > n).join(gaps, area)
     fill = rest.withColumn("_more", F.row_number().over(Window.partitionBy(area).orderBy(*order))).filter("_more <= _gap")
     return first.drop("_rn").withColumn("backfilled", F.lit(False)).unionByName(fill.drop("_rn", "_gap", "_more").withColumn("backfilled", F.lit(True)))
+
+
+def filled_slots(df: DataFrame, items: str, slots: Mapping[str, Sequence[str]]) -> DataFrame:
+    """df with a column a slot, from an array of struct<tag, value> with different values.
+
+    Slots are filled in order, each with the value of the first element not taken yet that has one of its tags, earlier tags before later ones. Slots that stay
+    empty then take the elements left over, in their order, whatever their tags; without enough of them they are null.
+    """
+    names = list(slots)
+    own = {s: f"_slot{i}" for i, s in enumerate(names)}
+    for i, (slot, tags) in enumerate(slots.items()):
+        taken = [F.col(own[s]) for s in names[:i]]
+        free = F.filter(items, lambda x: F.coalesce(~F.array_contains(F.array_compact(F.array(*taken)), x.value), F.lit(True))) if taken else F.col(items)
+        df = df.withColumn(own[slot], F.coalesce(*[_first_tagged(free, tag) for tag in tags]))
+    taken = F.array_compact(F.array(*[F.col(own[s]) for s in names]))
+    df = df.withColumn("_rest", F.transform(F.filter(items, lambda x: ~F.array_contains(taken, x.value)), lambda x: x.value))
+    empty = F.lit(0)
+    for slot in names:
+        df = df.withColumn(slot, F.coalesce(F.col(own[slot]), F.get("_rest", empty)))
+        empty = empty + F.col(own[slot]).isNull().cast("int")
+    return df.drop("_rest", *own.values())
+
+
+def _first_tagged(items: Column, tag: str) -> Column:
+    return F.get(F.filter(items, lambda x: x.tag == tag), F.lit(0)).value

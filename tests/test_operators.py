@@ -14,7 +14,7 @@ from lodeplane.operators import quality as Q
 from lodeplane.operators.graph import connected_components, stars
 from lodeplane.operators.history import incremental_merge, lifecycle, scd2_apply, stable_ids
 from lodeplane.operators.linkage import edit_pairs, entities, jaccard_pairs
-from lodeplane.operators.relational import any_join, latest_by, mode_by, newest_by, numbered, or_join, range_lookup, two_pass_lookup
+from lodeplane.operators.relational import filled_slots, any_join, latest_by, mode_by, newest_by, numbered, or_join, range_lookup, two_pass_lookup
 from lodeplane.operators.series import change_rates, weighted_mean
 from lodeplane.operators.spatial import density_clusters, nearest, points_in_polygons, within_distance, without_overlaps
 from lodeplane.session import checkpoint_dir, release, stored
@@ -416,3 +416,16 @@ def test_stored_tables_are_released_and_a_cluster_needs_a_shared_folder(spark):
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Cluster)
+
+
+def test_slots_and_what_fills_them(spark):
+    kind = "id int, items array<struct<tag:string,value:string>>, _x int"
+    rows = [(1, [("b", "v1"), ("a", "v2"), ("c", "v3"), ("a", "v4"), (None, "v5")], 1), (2, [("c", "v1")], 1), (3, [], 1), (4, None, 1), (5, [("a", "v1"), ("a", "v2")], 1)]
+    got = {r.id: (r.one, r.two, r.three) for r in filled_slots(spark.createDataFrame(rows, kind), "items", {"one": ["a", "b"], "two": ["x"], "three": ["b", "a"]}).collect()}
+    assert got == {1: ("v2", "v3", "v1"), 2: ("v1", None, None), 3: (None,) * 3, 4: (None,) * 3, 5: ("v1", None, "v2")}
+
+
+def test_letters_without_accents_and_first_matches(spark):
+    df = spark.createDataFrame([("Çà et là, Ệ ǖ ñ Ω\u0301 ß ø", ["x", None, "a1", "b2"]), (None, None), ("", [])], "t string, a array<string>")
+    got = df.select(T.unaccented(F.col("t")).alias("t"), T.first_matching(F.col("a"), "[0-9]").alias("a"), *T.flags(F.col("t"), {"la": " LÀ", "no": "zz"})).collect()
+    assert [tuple(r) for r in got] == [("Ca et la, E u n Ω ß ø", "a1", True, False), (None, None, False, False), ("", None, False, False)]
