@@ -11,6 +11,10 @@ from lodeplane.operators.graph import connected_components
 from lodeplane.session import cut_lineage
 
 
+#: Values of a column that each point gets a row for in `nearest`.
+MOST_VALUES = 1000
+
+
 def within_distance(left: DataFrame, right: DataFrame, reach: float) -> DataFrame:
     """Rows (a, b, d) of points (id, x, y) at most `reach` apart: cells of that size, each point of right in its nine cells."""
     a = left.select(F.col("id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), cell(F.col("x"), reach).alias("cx"), cell(F.col("y"), reach).alias("cy"))
@@ -74,14 +78,18 @@ def rings_meeting(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
 def nearest(points: DataFrame, targets: DataFrame, size: float, by: str | None = None, rounds: int = 40) -> DataFrame:
     """Rows (id, target, d): of the targets (target, x, y) the nearest to each point (id, x, y), the least of several; none without targets.
 
-    by: a column of targets with few values; then a row for each point and value, with the nearest target of that value. Points look at
+    by: a column of targets with at most MOST_VALUES values; then a row for each point and value, with the nearest target of that value. Points look at
     the nine cells around them; a target at most a cell's side away is the nearest. The others look again in cells twice as large, so
     that each round joins fewer points. All values share the rounds.
     """
     keys = ["id"] if by is None else ["id", by]
     left = points.select("id", "x", "y")
     if by is not None:
-        left = left.crossJoin(F.broadcast(targets.select(by).distinct()))  # a row a value
+        values = [r[0] for r in targets.select(by).distinct().limit(MOST_VALUES + 1).collect()]
+        if len(values) > MOST_VALUES:
+            raise ValueError(f"{by} has more than {MOST_VALUES} values: each point would get a row for each")
+        kind = targets.schema[by].dataType
+        left = left.withColumn(by, F.explode(F.array(*[F.lit(v).cast(kind) for v in values]).cast(f"array<{kind.simpleString()}>")))
     if targets.isEmpty():
         return left.select(*keys, F.lit(None).cast(targets.schema["target"].dataType).alias("target"), F.lit(None).cast("double").alias("d"))
     done = None

@@ -58,6 +58,10 @@ def ring_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.round(area(F.array(corner(x0, x0), corner(x0 + a, x0), corner(x0, x0 + b))), 3).alias("area"))
 
 
+#: For each mode its weight and the metres in which its worth falls to a third.
+DECAYS = ((0.5, 800.0), (0.3, 350.0), (0.2, 5000.0))
+
+
 @query(f"""
 WITH c AS {_CUSTOMERS}, s AS {_SUPPLIERS}, n AS (SELECT c.id, s.id % 3 AS mode, min(sqrt((c.x - s.x) ** 2 + (c.y - s.y) ** 2)) AS d FROM c, s GROUP BY 1, 2)
 SELECT id, round(sum(CASE mode WHEN 0 THEN 0.5 * exp(-d / 800) WHEN 1 THEN 0.3 * exp(-d / 350) ELSE 0.2 * exp(-d / 5000) END), 6) AS score FROM n GROUP BY 1
@@ -67,9 +71,8 @@ def knn_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = _points(spark, sf_dir, "customer", "c_custkey")
     targets = _points(spark, sf_dir, "supplier", "s_suppkey").withColumnRenamed("id", "target").withColumn("mode", F.col("target") % 3)
     near = nearest(points, targets, 300.0, by="mode")
-    weights = ((0.5, 800.0), (0.3, 350.0), (0.2, 5000.0))
     of = lambda m, w, reach: F.sum(F.when(F.col("mode") == m, F.exp(-F.coalesce("d", F.lit(99_999.0)) / reach) * w)).alias(f"m{m}")
-    by_mode = near.groupBy("id").agg(*[of(m, *x) for m, x in enumerate(weights)])
+    by_mode = near.groupBy("id").agg(*[of(m, *x) for m, x in enumerate(DECAYS)])
     return by_mode.select("id", F.round(F.col("m0") + F.col("m1") + F.col("m2"), 6).alias("score"))
 
 
