@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeplane.functions import text as T
-from lodeplane.functions.geo import distance
+from lodeplane.functions.geo import around, cell, distance
 from lodeplane.operators.graph import connected_components
-from lodeplane.operators.spatial import within_distance
 from lodeplane.session import cut_lineage, spread, stored
 
 
 #: Common elements that similar arrays must have in their lengthened prefixes: one by chance is frequent, several are not.
 MATCHES = 12
 
+#: Records of one side that are compared as a block by `link_by_votes`.
+BLOCK = 1024
+
 
 def ranked_elements(base: DataFrame) -> DataFrame:
     """base (id, block, e: array without repeats) as id, block, n and o: the elements' hashes from rare to frequent in their block."""
@@ -145,46 +147,76 @@ def entities(members: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
     return members.join(found, id_col, "left").withColumn("entity", F.coalesce("component", id_col)).drop("component")
 
 
-def pick(candidates: DataFrame, vote: str, score: Column, least: float) -> DataFrame:
-    """One vote for each left id: of the right ones whose score reaches the threshold the best, the nearest, the least."""
-    order = F.struct((-F.col("_s")).alias("s"), F.col("d"), F.col("r"))
-    top = candidates.withColumn("_s", score).filter(F.col("_s") >= least).groupBy("l").agg(F.min(order).alias("x"))
-    return top.select("l", F.col("x.r").alias("r"), F.lit(vote).alias("vote"), (-F.col("x.s")).alias("score"), F.col("x.d").alias("d"))
+def _signed(df: DataFrame, key: str, sound: Callable[[Column], Column]) -> DataFrame:
+    """Records with all that their votes need, worked out once: `key`, then name, area, code, x, y, hashed trigrams g and words w, and the sound k, as key_*."""
+    hashed = lambda e: F.transform(e, lambda t: F.xxhash64(t))
+    named = df.select("id", T.folded(F.coalesce("name", F.lit(""))).alias("name"), "area", "code", "x", "y")
+    name = F.col("name")
+    held = {"g": hashed(T.padded_trigrams(name)), "w": hashed(T.tokens(name)), "k": F.when(name != "", sound(name))}
+    signed = named.withColumns(held)
+    return signed.select(F.col("id").alias(key), *[F.col(c).alias(f"{key}_{c}") for c in signed.columns[1:]])
+
+
+def _meeting(a: DataFrame, b: DataFrame, reach: float) -> DataFrame:
+    """a and b side by side where they may be of one area or near each other, each pair at least once: keys are hashes of areas and of cells.
+
+    What is of one key is cut into blocks of BLOCK records on both sides, and each pair of blocks is a group of the join: none holds more than about BLOCK * BLOCK pairs.
+    """
+    area = lambda s: F.when(F.col(f"{s}_area") != "", F.xxhash64(F.lit("area"), f"{s}_area"))
+    placed = lambda s: F.col(f"{s}_x").isNotNull() & F.col(f"{s}_y").isNotNull()
+    at = lambda s: (cell(F.col(f"{s}_x"), reach), cell(F.col(f"{s}_y"), reach))
+    place = lambda cx, cy: F.xxhash64(F.lit("cell"), cx, cy)
+    cells = F.when(placed("r"), F.transform(around(*at("r")), lambda c: place(c["cx"], c["cy"])))
+    left = a.withColumn("_key", F.explode(F.array(area("l"), F.when(placed("l"), place(*at("l")))))).filter("_key IS NOT NULL")
+    right = b.withColumn("_key", F.explode(F.concat(F.array(area("r")), F.coalesce(cells, F.array().cast("array<bigint>"))))).filter("_key IS NOT NULL")
+    count = lambda df, n: df.groupBy("_key").agg(F.ceil(F.count("*") / BLOCK).alias(n))
+    many = stored(count(left, "_nl").join(count(right, "_nr"), "_key").filter("_nl > 1 OR _nr > 1"), "blocks")
+
+    def cut(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        """Rows with their own block, once for each block of the other side."""
+        sized = df.join(many, "_key", "left").fillna(1, ["_nl", "_nr"])
+        n = {"l": F.col("_nl"), "r": F.col("_nr")}
+        mine = F.pmod(F.xxhash64(F.lit("block"), key), n.pop(key)).alias(own)
+        return sized.select("*", mine, F.explode(F.sequence(F.lit(0).cast("bigint"), *[c - 1 for c in n.values()])).alias(other)).drop("_nl", "_nr")
+
+    return cut(left, "l", "_i", "_j").join(cut(right, "r", "_j", "_i"), ["_key", "_i", "_j"]).drop("_key", "_i", "_j")
 
 
 def link_by_votes(
-    left: DataFrame, right: DataFrame, reach: float, score_guard: float = 0.7, distance_guard: float = 3000.0,
+    left: DataFrame, right: DataFrame, reach: float, score_guard: float = 0.7, distance_guard: float = 3000.0, sound: Callable[[Column], Column] = T.sound_key,
 ) -> DataFrame:
     """Each record of left with its match in right: l, r, method, confidence, votes, score, d. Both have id, name, area, code, x, y.
 
     A record with a code takes of the right ones with that code the most similar, then the nearest (method `code`, high). The others meet
-    those of the same area (not empty) or at most `reach` away: two joins on keys instead of one on a disjunction. By trigrams (0.6), edits (0.5), tokens (0.3) and
+    those of the same area (not empty) or at most `reach` away. By trigrams (0.6), edits (0.5), tokens (0.3) and
     sound, each picks one; the right record with the most picks, then the least, is the match. Three votes give high confidence, two medium; one step
-    less if the trigram vote's score and distance don't pass the guards. One vote is no match: unmatched records stay, with nulls.
+    less if the trigram vote's score and distance don't pass the guards. One vote is no match: unmatched records stay, with nulls. Of equal scores
+    the nearest is picked, records without a place last, then the least. `sound` gives a folded name's key: `sound_key`, or
+    `phonetic.metaphone_key`; names that are empty or have no key don't sound alike.
+
+    Pairs are scored where their records meet, and only picks are moved on: what an area holds is compared in blocks, however many it holds.
     """
-    folded = lambda df: df.withColumn("name", T.folded(F.coalesce("name", F.lit(""))))
-    a = folded(left).select(F.col("id").alias("l"), F.col("name").alias("a"), "area", "code", F.col("x").alias("ax"), F.col("y").alias("ay"))
-    b = folded(right).select(F.col("id").alias("r"), F.col("name").alias("b"), F.col("area").alias("area_b"), F.col("code").alias("code_b"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    apart = distance(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
-    trigram = T.trigram_similarity(F.col("a"), F.col("b"))
-
-    coded = a.join(b, F.col("code") == F.col("code_b")).withColumns({"d": apart, "s": trigram})
-    best = coded.groupBy("l").agg(F.min(F.struct((-F.col("s")).alias("s"), "d", "r")).alias("x"))
+    a, b = _signed(left, "l", sound), _signed(right, "r", sound)
+    d = distance(F.col("l_x"), F.col("l_y"), F.col("r_x"), F.col("r_y"))
+    trigram = F.coalesce(T.jaccard(F.col("l_g"), F.col("r_g")), F.lit(0.0))
+    order = lambda s: F.struct((-s).alias("s"), F.col("d").isNull().alias("unplaced"), F.col("d"), F.col("r"))
+
+    coded = a.join(b, F.col("l_code") == F.col("r_code")).select("l", "r", d.alias("d"), trigram.alias("s"))
+    best = coded.groupBy("l").agg(F.min(order(F.col("s"))).alias("x"))
     direct = best.select("l", F.col("x.r").alias("r"), F.lit("code").alias("method"), F.lit("high").alias("confidence"), F.lit(4).cast("long").alias("votes"), (-F.col("x.s")).alias("score"), F.col("x.d").alias("d"))
 
-    open_ids = a.join(direct.select("l"), "l", "left_anti")
-    same_area = open_ids.filter("area <> ''").join(b, F.col("area") == F.col("area_b")).select("l", "r")
-    places = lambda df, key, x, y: df.select(F.col(key).alias("id"), F.col(x).alias("x"), F.col(y).alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
-    near = within_distance(places(open_ids, "l", "ax", "ay"), places(b, "r", "bx", "by"), reach).select(F.col("a").alias("l"), F.col("b").alias("r"))
-    candidates = cut_lineage(same_area.union(near).distinct().join(open_ids, "l").join(b, "r").withColumn("d", apart).select("l", "r", "a", "b", "d"))
-    x, y = F.col("a"), F.col("b")
-    longer = F.greatest(F.length(x), F.length(y))
-    votes = (
-        pick(candidates, "trigram", trigram, 0.6)
-        .union(pick(candidates.filter(longer > 0), "edit", T.edit_ratio(x, y), 0.5))
-        .union(pick(candidates, "token", T.jaccard(T.tokens(x), T.tokens(y)), 0.3))
-        .union(pick(candidates, "sound", T.sounds_alike(x, y).cast("double"), 1.0))
-    )
+    known = b.select(F.col("r_code").alias("l_code")).filter("l_code IS NOT NULL").distinct()
+    met = _meeting(a.join(known, "l_code", "left_anti"), b, reach).withColumn("d", d)
+    candidates = met.filter(((F.col("l_area") == F.col("r_area")) & (F.col("l_area") != "")) | (F.col("d") <= reach))
+    x, y = F.length("l_name"), F.length("r_name")
+    longer = F.greatest(x, y)
+    # lengths too far apart need no count of edits
+    edit = F.when((longer > 0) & (2 * F.abs(x - y) <= longer), 1 - F.levenshtein("l_name", "r_name") / longer)
+    tests = {"trigram": (trigram, 0.6), "edit": (edit, 0.5), "token": (T.jaccard(F.col("l_w"), F.col("r_w")), 0.3), "sound": (F.when(F.col("l_k") == F.col("r_k"), 1.0), 1.0)}
+    given = F.array(*[F.struct(F.lit(vote).alias("vote"), s.alias("s"), F.lit(least).alias("least")) for vote, (s, least) in tests.items()])
+    passed = candidates.select("l", "r", "d", F.inline(given)).filter("s >= least")
+    picks = passed.groupBy("l", "vote").agg(F.min(order(F.col("s"))).alias("x"))
+    votes = picks.select("l", "vote", F.col("x.r").alias("r"), (-F.col("x.s")).alias("score"), F.col("x.d").alias("d"))
     by_trigram = F.col("vote") == "trigram"
     counts = votes.groupBy("l", "r").agg(F.count("*").alias("n"), F.max(F.when(by_trigram, F.struct("score", "d"))).alias("t"))
     chosen = counts.groupBy("l").agg(F.min(F.struct((-F.col("n")).alias("n"), "r")).alias("x"), F.max("t").alias("t"))
