@@ -38,6 +38,20 @@ def mode_by(df: DataFrame, keys: Sequence[str], value: str, name: str = "mode")
     return counts.groupBy(*keys).agg(least).select(*keys, F.col("_best.v").alias(name), (-F.col("_best.n")).alias("n"))
 
 
+def modes(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> DataFrame:
+    """Of each key the most frequent value of several columns (new name: column), the least one of several; null where a key has only nulls.
+
+    All columns are counted in one pass: a row becomes a row for each of its values that isn't null.
+    """
+    kinds = {name: df.schema[column].dataType for name, column in values.items()}
+    slot = lambda i, name: F.struct(F.lit(i).alias("_slot"), *[(F.col(values[n]) if n == name else F.lit(None).cast(kinds[n])).alias(f"_{n}") for n in values])
+    given = [F.when(F.col(column).isNotNull(), slot(i, name)) for i, (name, column) in enumerate(values.items())]
+    given.append(slot(-1, None))  # so that every key stays
+    counts = df.select(*keys, F.inline(F.array_compact(F.array(*given)))).groupBy(*keys, "_slot", *[f"_{n}" for n in values]).agg(F.count("*").alias("_n"))
+    best = [F.min(F.when(F.col("_slot") == i, F.struct((-F.col("_n")).alias("n"), F.col(f"_{name}").alias("v")))).alias(name) for i, name in enumerate(values)]
+    return counts.groupBy(*keys).agg(*best).select(*keys, *[F.col(f"{name}.v").alias(name) for name in values])
+
+
 def or_join(left: DataFrame, right: DataFrame, conditions: Sequence[Column], pair: Sequence[str]) -> DataFrame:
     """Pairs for which any of several equality conditions holds: a union of equi-joins without repeats, instead of a nested loop."""
     parts = [left.join(right, c).select(*pair) for c in conditions]
