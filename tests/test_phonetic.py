@@ -1,11 +1,11 @@
-"""Double metaphone against published codes, and its column form."""
+"""Double metaphone against codes that its published rules give (written down from the rules, not from a list of their author), and its column form."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodeplane.functions.phonetic import codes, double_metaphone, metaphone_key
 
-PUBLISHED = """
+EXPECTED = """
 Smith SM0 XMT; Schmidt XMT SMT; Thompson TMPS TMPS; Thomas TMS TMS; Catherine K0RN KTRN; Katherine K0RN KTRN; Richard RXRT RKRT; Bob PP PP; Eric ARK ARK; Geoff JF KF;
 Dave TF TF; Ray R R; Steven STFN STFN; Randy RNT RNT; Bryce PRS PRS; Brian PRN PRN; Michael MKL MXL; Dumb TM TM; Hugh H H; Caesar SSR SSR; Chianti KNT KNT;
 Chemistry KMST KMST; Chorus KRS KRS; Orchestra ARKS ARKS; Architect ARKT ARKT; Arch ARX ARK; Czerny SRN XRN; focaccia FKX FKX; bellocchio PLX PLX; bacchus PKS PKS; accident AKST AKST;
@@ -17,8 +17,8 @@ Knight NT NT; Gnome NM NM; Pneumonia NMN NMN; Psalm SLM SLM; Wright RT RT; Xavie
 """
 
 
-@pytest.mark.parametrize("line", PUBLISHED.replace("\n", " ").split(";"))
-def test_published_codes(line):
+@pytest.mark.parametrize("line", EXPECTED.replace("\n", " ").split(";"))
+def test_codes_by_the_rules(line):
     name, first, other = line.split()
     assert codes(name) == (first, other)
 
