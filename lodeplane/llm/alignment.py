@@ -85,16 +85,24 @@ class Side:
         """Keep the units' tokens; whether each unit's bytes are those of a space and the unit.
 
         Units are encoded a few hundred at once, joined by spaces, as tokens end before each; their tokens are told apart by their bytes.
+        A unit with white space at an end, which would run on into its neighbour's, is encoded alone.
         """
         spelled: list[bool] = []
-        groups = [units[i : i + UNITS_JOINED] for i in range(0, len(units), UNITS_JOINED)]
+        groups: list[list[str]] = []
+        joinable = False
+        for unit in units:
+            alone = unit[0].isspace() or unit[-1].isspace()
+            if alone or not joinable or len(groups[-1]) == UNITS_JOINED:
+                groups.append([])
+            groups[-1].append(unit)
+            joinable = not alone
         for group, found in zip(groups, self.encode([" ".join(g) for g in groups]), strict=True):
             ids = pa.array(found, pa.int32())
             spelling, raw = self.spelling.take(ids), f" {' '.join(group)}".encode()
             ends = np.frombuffer(spelling.buffers()[1], np.int32, len(ids) + 1)[1:] if len(ids) else np.zeros(1, np.int32)
-            if ends[-1] == len(raw) and spelling.buffers()[2].slice(0, len(raw)).to_pybytes() == raw:
-                sizes = pc.binary_length(pa.array(group)).to_numpy() + 1
-                self.keep(ids.to_numpy(), np.searchsorted(ends, np.cumsum(sizes)) + 1)
+            bounds = np.cumsum(pc.binary_length(pa.array(group)).to_numpy() + 1)
+            if ends[-1] == len(raw) and spelling.buffers()[2].slice(0, len(raw)).to_pybytes() == raw and np.isin(bounds, ends).all():
+                self.keep(ids.to_numpy(), np.searchsorted(ends, bounds) + 1)
                 spelled += [True] * len(group)
             else:
                 for unit, ids in zip(group, self.encode(group), strict=True):

@@ -102,6 +102,11 @@ def test_stretches_give_the_text_back():
     assert all(x for x in stretches(text, 20))
 
 
+def test_white_space_at_the_ends_does_not_run_into_the_next_unit(make, both):
+    docs = [(1, "one \xa0"), (2, "\n\ntwo"), (3, "three  "), (4, "  four\t"), (5, "\xa0\r five"), (6, "six\n"), (7, " "), (8, "\n \n"), (9, "nine  \n"), (10, " ten")]
+    assert rows(cross_tokenizer_alignment(make(docs).coalesce(1), *tokenizer_files())) == brute(docs, both)
+
+
 def test_a_long_text(make, both):
     text = "Ein langer Text mit vielen Wörtern. " * 60_000
     [row] = cross_tokenizer_alignment(make([(1, text)]), *tokenizer_files()).collect()
