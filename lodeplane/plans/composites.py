@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodeplane.functions.geo import area, centroid, clipped, repaired
 from lodeplane.operators.relational import mode_by, newest_by
-from lodeplane.operators.spatial import density_clusters, points_in_polygons
+from lodeplane.operators.spatial import density_clusters, polygons_at
 from lodeplane.plans.base import query, table
 from lodeplane.session import checkpoint_dir
 from lodeplane.sources.sinks import load
@@ -96,7 +96,7 @@ def located_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     cx, cy, r = (p * 7919 % 4000).cast("double"), (p * 31 % 4000).cast("double"), F.col("p_size") + 20.5
     corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     areas = table(spark, sf_dir, "part").select(p.alias("polygon"), F.array(corner(cx - r, cy), corner(cx, cy - r), corner(cx + r, cy), corner(cx, cy + r)).alias("ring"))
-    inside = points_in_polygons(points.select("id", "x", "y"), areas, 64.0).groupBy("id").agg(F.min("polygon").alias("area"))
+    inside = polygons_at(points.select("id", "x", "y"), areas, 64.0).select("id", F.col("first").alias("area"))
     category = F.when(F.col("kind").isin("BUILDING", "FURNITURE"), "home").when(F.col("kind").isin("MACHINERY", "AUTOMOBILE"), "works").otherwise("other")
     return points.join(inside, "id", "left").select("id", category.alias("category"), "area")
 

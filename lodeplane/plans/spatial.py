@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeplane.functions.geo import area, mercator_sql, projected
-from lodeplane.operators.relational import newest_by
-from lodeplane.operators.spatial import density_clusters, nearest, points_in_polygons, slopes, within_distance, without_overlaps
+from lodeplane.operators.spatial import density_clusters, nearest, points_in_polygons, polygons_at, slopes, within_distance, without_overlaps
 from lodeplane.plans.base import query, table
 
 
@@ -42,11 +41,19 @@ SELECT id, polygon FROM c, z WHERE abs(x - cx) + abs(y - cy) < r
 """)
 def points_in_diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points inside four-cornered rings."""
+    return points_in_polygons(_points(spark, sf_dir, "customer", "c_custkey"), _diamonds(spark, sf_dir), 64.0)
+
+
+def _diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     cx, cy, r = (k * 7919 % 4000).cast("double"), (k * 31 % 4000).cast("double"), F.col("p_size") + 20.5
     corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    rings = table(spark, sf_dir, "part").select(k.alias("polygon"), F.array(corner(cx - r, cy), corner(cx, cy - r), corner(cx + r, cy), corner(cx, cy + r)).alias("ring"))
-    return points_in_polygons(_points(spark, sf_dir, "customer", "c_custkey"), rings, 64.0)
+    return table(spark, sf_dir, "part").select(k.alias("polygon"), F.array(corner(cx - r, cy), corner(cx, cy - r), corner(cx + r, cy), corner(cx, cy + r)).alias("ring"))
+
+
+def zones_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each point within `points_in_diamonds` how many it lies in and the first: rows (id, n, first)."""
+    return polygons_at(_points(spark, sf_dir, "customer", "c_custkey"), _diamonds(spark, sf_dir), 64.0)
 
 
 @query("SELECT p_partkey, round((p_size + 1.0) * (p_partkey % 7 + 1) / 2, 3) AS area FROM part")
@@ -107,7 +114,7 @@ SELECT c.id, coalesce(n_zones, 0) AS n_zones, first_zone, coalesce(n_near, 0) AS
 """)
 def site_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What zones a site lies in and what is near it, in one row."""
-    zones = points_in_diamonds(spark, sf_dir).groupBy("id").agg(F.count("*").alias("n_zones"), F.min("polygon").alias("first_zone"))
+    zones = zones_of(spark, sf_dir).select("id", F.col("n").alias("n_zones"), F.col("first").alias("first_zone"))
     near = within_distance_pairs(spark, sf_dir).groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n_near"), F.min("b").alias("first_near"))
     sites = _points(spark, sf_dir, "customer", "c_custkey").select("id")
     return sites.join(zones, "id", "left").join(near, "id", "left").fillna(0, ["n_zones", "n_near"])
@@ -119,8 +126,7 @@ SELECT id, min(polygon) AS polygon FROM c, z WHERE abs(x - cx) + abs(y - cy) < r
 """)
 def first_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A lateral look-up with a limit of one, with a stated order."""
-    hits = points_in_diamonds(spark, sf_dir).withColumn("order", -F.col("polygon"))
-    return newest_by(hits, ["id"], "order").select("id", "polygon")
+    return zones_of(spark, sf_dir).select("id", F.col("first").alias("polygon"))
 
 
 @query("""

@@ -429,3 +429,21 @@ def test_letters_without_accents_and_first_matches(spark):
     df = spark.createDataFrame([("Çà et là, Ệ ǖ ñ Ω\u0301 ß ø", ["x", None, "a1", "b2"]), (None, None), ("", [])], "t string, a array<string>")
     got = df.select(T.unaccented(F.col("t")).alias("t"), T.first_matching(F.col("a"), "[0-9]").alias("a"), *T.flags(F.col("t"), {"la": " LÀ", "no": "zz"})).collect()
     assert [tuple(r) for r in got] == [("Ca et la, E u n Ω ß ø", "a1", True, False), (None, None, False, False), ("", None, False, False)]
+
+
+def test_copies_of_polygons_are_looked_at_once_and_all_of_them_found(spark, monkeypatch):
+    from lodeplane.operators import spatial
+
+    monkeypatch.setattr(spatial, "BLOCK", 7)
+    monkeypatch.setattr(spatial, "COMPARED", 20)
+    ring = lambda x, y, n: [(float(x), float(y)), (float(x + n), float(y)), (float(x + n), float(y + n)), (float(x), float(y + n))]
+    shapes = [(k, [ring(k % 3, 0, 9), ring(k % 3 + 2, 2, 3), ring(40, 40, 2)]) for k in range(40)]
+    polygons = spark.createDataFrame(shapes, "polygon long, rings array<array<struct<x: double, y: double>>>")
+    at = [(100 * x + y, float(x), float(y)) for x in range(14) for y in range(11)] + [(9000, 41.0, 41.0), (9001, None, 1.0)]
+    points = spark.createDataFrame(at, "id long, x double, y double")
+    box = lambda x, y, r: r[0][0] < x < r[2][0] and r[0][1] < y < r[2][1]
+    shut = lambda x, y, r: r[0][0] <= x <= r[2][0] and r[0][1] <= y <= r[2][1]
+    want = sorted((i, k) for i, x, y in at for k, (a, b, c) in shapes if x is not None and (box(x, y, a) and not shut(x, y, b) or box(x, y, c)))
+    assert sorted(map(tuple, spatial.points_in_polygons(points, polygons, 4.0).collect())) == want
+    found = {r.id: (r.n, r.first) for r in spatial.polygons_at(points, polygons, 4.0).collect()}
+    assert found == {i: (len(ks), min(ks)) for i in {i for i, _ in want} if (ks := [k for j, k in want if j == i])}
