@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeplane.session import cut_lineage
+from lodeplane.session import cut_lineage, dealt
 
 #: Rows up to which a dimension is broadcast without asking the optimizer.
 SMALL_ROWS = 100_000
@@ -53,9 +53,21 @@ def modes(df: DataFrame, keys: Sequence[str], values: Mapping[str, str]) -> Data
 
 
 def or_join(left: DataFrame, right: DataFrame, conditions: Sequence[Column], pair: Sequence[str]) -> DataFrame:
-    """Pairs for which any of several equality conditions holds: a union of equi-joins without repeats, instead of a nested loop."""
-    parts = [left.join(right, c).select(*pair) for c in conditions]
-    return reduce(DataFrame.union, parts).distinct()
+    """Pairs for which any of several equality conditions holds: a union of equi-joins without repeats, instead of a nested loop.
+
+    A pair is left to the first condition that it meets. Where the pair's columns tell the rows of each side apart, which is counted first, no pair comes twice
+    then, and the pairs needn't be compared with each other.
+    """
+    parts, before = [], None
+    left = dealt(left)  # a table in one file would be one task with all pairs
+    for c in conditions:
+        parts.append(left.join(right, c if before is None else c & ~before).select(*pair))
+        held = F.coalesce(c, F.lit(False))
+        before = held if before is None else before | held
+    pairs = reduce(DataFrame.union, parts)
+    keys = [[c for c in pair if c in side.columns] for side in (left, right)]
+    alone = all(own and side.groupBy(*own).count().filter("count > 1").isEmpty() for side, own in zip((left, right), keys, strict=True))
+    return pairs if alone else pairs.distinct()
 
 
 def any_join(left: DataFrame, right: DataFrame, key: str, array: str, how: str = "inner") -> DataFrame:

@@ -447,3 +447,34 @@ def test_copies_of_polygons_are_looked_at_once_and_all_of_them_found(spark, monk
     assert sorted(map(tuple, spatial.points_in_polygons(points, polygons, 4.0).collect())) == want
     found = {r.id: (r.n, r.first) for r in spatial.polygons_at(points, polygons, 4.0).collect()}
     assert found == {i: (len(ks), min(ks)) for i in {i for i, _ in want} if (ks := [k for j, k in want if j == i])}
+
+
+def test_pairs_of_a_disjunction_come_once_without_being_compared(spark):
+    from lodeplane.operators.relational import or_join
+
+    def pairs(a, b):
+        left, right = spark.createDataFrame(a, "i long, x int, y int"), spark.createDataFrame(b, "j long, u int, v int")
+        return or_join(left, right, [left.x == right.u, left.y == right.v], ["i", "j"])
+
+    a, b = [(1, 1, 1), (2, 1, None), (3, None, 2), (4, 5, 1)], [(1, 1, 1), (2, 1, 2), (3, None, 1)]
+    found = pairs(a, b)
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (3, 2), (4, 1), (4, 3)]
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, pairs([*a, (1, 9, 1)], b).collect())) == sorted(map(tuple, found.collect()))
+
+
+def test_boxes_covered_by_any_share(spark):
+    import random
+
+    from lodeplane.operators import spatial
+
+    draw = random.Random(5)
+    boxes = lambda n, at: [(at + i, "k", x := float(draw.randint(0, 12)), y := float(draw.randint(0, 12)), x + draw.randint(1, 9), y + draw.randint(1, 9)) for i in range(n)]
+    p, s, schema = boxes(9, 0), boxes(60, 100), "id long, block string, x0 double, y0 double, x1 double, y1 double"
+    over = lambda a, b, i: max(0.0, min(a[i + 2], b[i + 2]) - max(a[i], b[i]))
+    for share in (0.2, 1 / 3, 0.5, 0.75, 1.0):
+        want = [b[0] for b in s if not any(over(a, b, 2) * over(a, b, 3) >= share * (b[4] - b[2]) * (b[5] - b[3]) for a in p)]
+        out = spatial.without_overlaps(spark.createDataFrame(p, schema), spark.createDataFrame(s, schema), "block", 5.0, share)
+        assert sorted(r.id for r in out.collect()) == sorted([a[0] for a in p] + want)
+    # one that is covered is done with the first that covers it
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
