@@ -31,15 +31,23 @@ def first_matching_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _turns(spark, sf_dir).select("conv_id", first_matching(texts, "[0-9]{2}").alias("numbered"), first_matching(texts, "(?i)^(what|how|why|can)").alias("question"))
 
 
-@query("""
-SELECT conv_id, bool_or(regexp_matches(text, '(?i)please')) AS polite, bool_or(regexp_matches(text, '(?i)[0-9]{3}')) AS numbers, bool_or(regexp_matches(text, '(?i)\\b(the|der|le)\\b')) AS articles, bool_or(role = 'system') AS has_system
-FROM conversations GROUP BY 1
+#: The articles as whole words: beside letters, digits, marks or underscores of any script they are parts of others.
+_ARTICLES = r"(^|[^\p{L}\p{N}\p{M}_])(the|der|le)($|[^\p{L}\p{N}\p{M}_])"
+
+
+@query(f"""
+SELECT conv_id, coalesce(bool_or(regexp_matches(v, '(?i)please')), FALSE) AS polite, coalesce(bool_or(regexp_matches(v, '(?i)[0-9]{{3}}')), FALSE) AS numbers,
+  coalesce(bool_or(regexp_matches(v, '(?i){_ARTICLES}')), FALSE) AS articles, coalesce(bool_or(lower(role) = 'system'), FALSE) AS has_system
+FROM (SELECT conv_id, role, concat_ws(chr(10), CAST(turn AS VARCHAR), role, text) AS v FROM conversations) GROUP BY 1
 """)
 def json_text_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flags over a document's JSON text, whichever of its fields a pattern is found in, upper or lower case."""
+    """Flags over a document's JSON text, whichever of its fields a pattern is found in, upper or lower case. Words are looked for in the fields' values, not in the marks that JSON writes them with."""
     documents = _turns(spark, sf_dir).select("conv_id", F.to_json("x").alias("document"))
-    found = flags(F.col("document"), {"polite": "please", "numbers": "[0-9]{3}", "articles": r"\b(the|der|le)\b", "has_system": '"role":"SYSTEM"'})
-    return documents.select("conv_id", *found)
+    read = F.from_json("document", "array<struct<turn: string, role: string, text: string>>")
+    values = F.array_join(F.transform(read, lambda v: F.concat_ws("\n", v.turn, v.role, v.text)), "\n")
+    held = documents.select("conv_id", "document", values.alias("values"))
+    found = flags(F.col("values"), {"polite": "please", "numbers": "[0-9]{3}", "articles": _ARTICLES})
+    return held.select("conv_id", *found, *flags(F.col("document"), {"has_system": '"role":"SYSTEM"'}))
 
 
 @query("""
