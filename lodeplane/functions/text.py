@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
@@ -67,7 +68,9 @@ def lookup_text(address: Column, *places: Column) -> Column:
 @F.arrow_udf(StringType())
 def composed(texts: pa.Array) -> pa.Array:
     """Texts in Unicode's composed form: a letter and its accent are one character wherever there is one."""
-    return pc.utf8_normalize(texts, "NFC")
+    # Arrow's own NFC leaves letters and their accents apart; texts of plain letters need no look
+    plain = pc.string_is_ascii(texts).to_pylist()
+    return pa.array([x if x is None or same else unicodedata.normalize("NFC", x) for x, same in zip(texts.to_pylist(), plain, strict=True)], pa.string())
 
 
 @F.arrow_udf(StringType())

@@ -47,9 +47,15 @@ def as_of_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
-SELECT c_custkey, sha256('c_acctbal=' || regexp_replace(regexp_replace(printf('%.6f', c_acctbal), '(\\.[0-9]*?)0+$', '\\1'), '\\.$', '') || chr(31) || 'c_custkey=' || c_custkey || chr(31) ||
-  'c_name=' || c_name || CASE WHEN c_custkey % 2 = 0 THEN chr(31) || 'flag=' || CASE WHEN c_custkey % 4 = 0 THEN 'true' ELSE 'false' END ELSE '' END) AS h FROM customer
+#: Six decimals where they give the number back exactly, else the fewest digits that do; no negative zero.
+_NUMBER = """CASE WHEN c_acctbal = 0 THEN '0' WHEN CAST(printf('%.6f', c_acctbal) AS DOUBLE) = c_acctbal
+  THEN regexp_replace(regexp_replace(printf('%.6f', c_acctbal), '(\\.[0-9]*?)0+$', '\\1'), '\\.$', '') ELSE CAST(c_acctbal AS VARCHAR) END"""
+_TEXT = "trim(nfc_normalize(replace(replace(' ' || c_name || ' ', chr(30), chr(30) || chr(30)), chr(31), chr(30) || chr(31))))"
+
+
+@query(f"""
+SELECT c_custkey, sha256(concat_ws(chr(31), 'c_acctbal=' || {_NUMBER}, 'c_custkey=' || c_custkey, 'c_name=' || {_TEXT},
+  'flag=' || CASE WHEN c_custkey % 4 = 0 THEN 'true' WHEN c_custkey % 2 = 0 THEN 'false' END)) AS h FROM customer
 """)
 def content_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashes that don't change with a number's type, blanks around a text or a missing column."""
