@@ -9,6 +9,7 @@ from lodeplane.functions.geo import DEGREES, GRID, degrees_sql, is_simple, merca
 from lodeplane.functions.overlay import made_valid, overlay, rings_area
 from lodeplane.operators.spatial import polygon_overlaps, without_polygon_overlaps
 from lodeplane.plans.base import query, table
+from lodeplane.session import spread
 
 
 def _ring(*corners: tuple[Column | float, Column | float]) -> Column:
@@ -22,7 +23,7 @@ def _notched(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y, s = k * 37 % 400, k * 91 % 401, 12 + k % 9
     outer = _ring((x, y), (x + s, y), (x + s, y + s - 4), (x + s - 4, y + s - 4), (x + s - 4, y + s), (x, y + s))
     hole = _ring((x + 3, y + 3), (x + 7, y + 3), (x + 7, y + 7), (x + 3, y + 7))
-    return table(spark, sf_dir, "part").select(k.alias("id"), F.col("p_type").alias("area"), F.array(outer, hole).alias("rings"))
+    return spread(table(spark, sf_dir, "part")).select(k.alias("id"), F.col("p_type").alias("area"), F.array(outer, hole).alias("rings"))
 
 
 #: The same as signed boxes: the square, less its hole, less its corner. They nest or are apart, so that their overlaps' signed sum is the shapes' overlap.
@@ -85,7 +86,7 @@ def repaired_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     spike = F.array(_ring((none, none), (a, none), (a, b), (a * 2, b), (a, b), (none, b), (none, none)))
     back = F.array(_ring((none, none), (none, none), (a / 2, none), (a, none), (a / 4, none), (a, none), (a, b), (none, b)))
     twice = F.array(_ring((none, none), (a, none), (a, b), (none, b)), _ring((a / 2, b / 2), (a, b / 2), (a, b), (a / 2, b)))
-    shapes = table(spark, sf_dir, "part").select("p_partkey", made_valid(F.when(k % 4 == 0, bow).when(k % 4 == 1, spike).when(k % 4 == 2, back).otherwise(twice)).alias("rings"))
+    shapes = spread(table(spark, sf_dir, "part")).select("p_partkey", made_valid(F.when(k % 4 == 0, bow).when(k % 4 == 1, spike).when(k % 4 == 2, back).otherwise(twice)).alias("rings"))
     return shapes.select("p_partkey", F.size("rings").alias("n_rings"), F.forall("rings", is_simple).alias("all_simple"), F.round(rings_area(F.col("rings")), 6).alias("area"))
 
 

@@ -124,3 +124,15 @@ def test_overlap_dedup_edges(spark):
     assert sorted(r.id for r in without_polygon_overlaps(primary, secondary, "block", 3.0).collect()) == [1, 2, 3, 4, 11, 12, 13, 14, 15, 16, 17]
     assert sorted(map(tuple, polygon_overlaps(primary, secondary, "block", 3.0).collect())) == [(1, 10, 4.0, 4.0), (1, 11, 4.0, 16.0)]
     assert without_polygon_overlaps(primary.limit(0), secondary.limit(0), "block", 3.0).count() == 0
+
+
+def test_shapes_that_lie_alike_are_overlaid_once():
+    from lodeplane.functions import overlay as O
+
+    ring = np.array([(0, 0), (8, 0), (8, 5.25), (3, 8), (0, 8)], float)
+    O._held.clear()
+    for dx, dy in ((0, 0), (7, 9), (-40, 1000)):
+        a, b = [ring + (dx, dy)], [ring + (dx + 2.5, dy + 1)]
+        for how in O.KEEP:
+            assert [r.tolist() for r in O.overlaid_once(a, b, how)] == [r.tolist() for r in O.overlaid(a, b, how)]
+    assert len(O._held) == len(O.KEEP)
