@@ -12,7 +12,7 @@ from lodeplane.functions.geo import area, centroid, clipped, repaired
 from lodeplane.operators.relational import mode_by, newest_by
 from lodeplane.operators.spatial import density_clusters, polygons_at
 from lodeplane.plans.base import query, table
-from lodeplane.session import checkpoint_dir
+from lodeplane.session import checkpoint_dir, evened
 from lodeplane.sources.sinks import load
 
 _CUSTOMERS = "(SELECT c_custkey AS id, CAST(c_custkey * 7919 % 4000 AS DOUBLE) AS x, CAST(c_custkey * 104729 % 4001 AS DOUBLE) AS y, c_mktsegment, c_nationkey FROM customer)"
@@ -111,7 +111,7 @@ def polygon_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = F.col("p_size") + F.lit(1.0), (F.col("p_partkey") % 11 + 3).cast("double")
     ring = repaired(F.array(corner(0, 0), corner(a, 0), corner(a, 0), corner(a, b), corner(0, b), corner(0, 0)))
     window = F.array(corner(0, 0), corner(20, 0), corner(20, 8), corner(0, 8))
-    shapes = table(spark, sf_dir, "part").select("p_partkey", ring.alias("ring"))
+    shapes = evened(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", ring.alias("ring"))
     middle = centroid(F.col("ring"))
     return shapes.select("p_partkey", F.round(area(clipped(F.col("ring"), window)), 6).alias("overlap"), F.round(area(F.col("ring")), 6).alias("area"), F.round(middle.x, 6).alias("cx"), F.round(middle.y, 6).alias("cy"))
 
